@@ -1,4 +1,4 @@
-"""Mail HTML to Markdown, written as one ordered table of replacements.
+"""Mail HTML to Markdown: pairs of tags by ordered rules, all other tags in one pass.
 
 Known limits: nested lists come out flat, ordered lists use bullets, tables become
 lines, and Markdown signs in the text are not escaped.
@@ -6,7 +6,10 @@ lines, and Markdown signs in the text are not escaped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from html.entities import name2codepoint
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,40 +17,51 @@ from pyspark.sql import functions as F
 from entitylake import constants as K
 from entitylake.functions import text as T
 
-_SPACE = K.WHITESPACE_CLASS
 _ATTRS = r"(?:\s[^>]*)?"
-_BLOCKS = (
-    "address|article|aside|blockquote|body|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|"
-    "header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul|br"
-)
+
+# Tags that start and end a block.
+BLOCK_TAGS = (
+    "address article aside blockquote body dd div dl dt figure footer form header html main "
+    "nav ol p pre section table tbody td tfoot th thead tr ul"
+).split()
+# What single tags turn into; closing tags carry their slash. Tags not named here go.
+TAG_TEXT = {
+    **{f"h{n}": "\n\n" + "#" * n + " " for n in range(1, 7)},
+    **{f"/h{n}": "\n\n" for n in range(1, 7)},
+    "li": "\n*   ",
+    "/li": "\n",
+    "br": "\n",
+    "hr": "\n\n* * *\n\n",
+}
+TAG_PATTERN = r"^(/?[a-zA-Z][a-zA-Z0-9:._-]*)" + _ATTRS + "/?>"
+DECLARATION_PATTERN = r"^![a-zA-Z][^>]*>"
 
 # One space next to a block tag carries no meaning once white space is collapsed.
-TIGHTEN_RULE = (rf"(?i) ?(</?(?:{_BLOCKS}){_ATTRS}/?>) ?", r"$1")
-
-# Applied in this order to markup whose white space is already collapsed.
-MARKDOWN_RULES: tuple[tuple[str, str], ...] = (
-    *((rf"(?i)<h{n}{_ATTRS}>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
-    (r"(?i)</h[1-6]\s*>", "\n\n"),
-    (rf"(?is)<(?:strong|b){_ATTRS}>(.*?)</(?:strong|b)\s*>", "**$1**"),
-    (rf"(?is)<(?:em|i){_ATTRS}>(.*?)</(?:em|i)\s*>", "_$1_"),
-    (rf"(?is)<code{_ATTRS}>(.*?)</code\s*>", "`$1`"),
-    (r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["'][^>]*>(.*?)</a\s*>""", "[$2]($1)"),
+_TIGHT = "|".join([*BLOCK_TAGS, "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li", "br"])
+TIGHTEN_RULE = (rf"(?i) ?(</?(?:{_TIGHT}){_ATTRS}/?>) ?", r"$1")
+
+# Tags that need their partner or their attributes, in this order, each with the signs
+# one of which a text must hold for the rule to matter.
+PAIR_RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
+    (rf"(?is)<(?:strong|b){_ATTRS}>(.*?)</(?:strong|b)\s*>", "**$1**", ("</strong", "</b")),
+    (rf"(?is)<(?:em|i){_ATTRS}>(.*?)</(?:em|i)\s*>", "_$1_", ("</em", "</i")),
+    (rf"(?is)<code{_ATTRS}>(.*?)</code\s*>", "`$1`", ("</code",)),
+    (
+        r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["'][^>]*>(.*?)</a\s*>""",
+        "[$2]($1)",
+        ("</a",),
+    ),
     (
         r"""(?is)<img\s[^>]*?\balt\s*=\s*["']([^"'>]*)["'][^>]*?\bsrc\s*=\s*["']([^"'>]*)["'][^>]*>""",
         "![$1]($2)",
+        ("<img",),
     ),
     (
         r"""(?is)<img\s[^>]*?\bsrc\s*=\s*["']([^"'>]*)["'][^>]*?\balt\s*=\s*["']([^"'>]*)["'][^>]*>""",
         "![$2]($1)",
+        ("<img",),
     ),
-    (r"""(?is)<img\s[^>]*?\bsrc\s*=\s*["']([^"'>]*)["'][^>]*>""", "![]($1)"),
-    (rf"(?i)<li{_ATTRS}>", "\n*   "),
-    (r"(?i)</li\s*>", "\n"),
-    (rf"(?i)<br{_ATTRS}/?>", "\n"),
-    (rf"(?i)<hr{_ATTRS}/?>", "\n\n* * *\n\n"),
-    (rf"(?i)</?(?:{_BLOCKS}){_ATTRS}>", "\n\n"),
-    (K.LEFTOVER_TAG_PATTERN, ""),
-    (r"<![a-zA-Z][^>]*>", ""),
+    (r"""(?is)<img\s[^>]*?\bsrc\s*=\s*["']([^"'>]*)["'][^>]*>""", "![]($1)", ("<img",)),
 )
 
 # A reference ends the text before it, so splitting on '&' finds each one exactly once
@@ -65,9 +79,54 @@ def clean_mail_html(html: Column) -> Column:
     return html
 
 
+def _has_any(text: Column, signs: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(sign)) for sign in signs])
+
+
+def _rule(pattern: str, replacement: str, needed: Column) -> Callable[[Column], Column]:
+    return lambda text: F.when(
+        needed, F.regexp_replace(text, pattern, replacement)
+    ).otherwise(text)
+
+
+def _apply_pairs(markup: Column) -> Column:
+    """The pair rules a text needs; looking for a sign is far cheaper than a pattern."""
+
+    def rules(low: Column) -> Column:
+        out = markup
+        for pattern, replacement, signs in PAIR_RULES:
+            out = T.bind(out, _rule(pattern, replacement, _has_any(low, signs)))
+        return out
+
+    return T.bind(F.lower(markup), rules)
+
+
+def _render_tags(markup: Column) -> Column:
+    """All other tags at once: each ends the text before it, so a split finds them."""
+    texts = F.create_map(*[F.lit(x) for pair in TAG_TEXT.items() for x in pair])
+    blocks = [*BLOCK_TAGS, *[f"/{name}" for name in BLOCK_TAGS]]
+
+    def render(piece: Column) -> Column:
+        rest = F.substring(piece, F.locate(">", piece) + 1, F.length(piece))
+
+        def by_name(name: Column) -> Column:
+            return (
+                F.when(name.isin(*blocks), F.concat(F.lit("\n\n"), rest))
+                .when(name != "", F.concat(F.coalesce(F.try_element_at(texts, name), F.lit("")), rest))
+                .when(piece.rlike(DECLARATION_PATTERN), rest)
+                .otherwise(F.concat(F.lit("<"), piece))
+            )
+
+        return T.bind(F.lower(F.regexp_extract(piece, TAG_PATTERN, 1)), by_name)
+
+    rendered = F.transform(
+        F.split(markup, "<"), lambda piece, i: F.when(i == 0, piece).otherwise(render(piece))
+    )
+    return F.array_join(rendered, "")
+
+
 def _collapse(markup: Column) -> Column:
-    single = F.regexp_replace(markup, _SPACE + "+", " ")
-    return F.regexp_replace(single, *TIGHTEN_RULE)
+    return F.regexp_replace(T.collapse_space(markup), *TIGHTEN_RULE)
 
 
 def _render_preformatted(piece: Column) -> Column:
@@ -103,8 +162,11 @@ def decode_references(text: Column) -> Column:
             F.lower(F.left(name, F.lit(2))) == "#x",
             F.conv(F.substring(name, 3, 6), 16, 10),
         ).when(F.left(name, F.lit(1)) == "#", F.substring(name, 2, 7))
-        char = F.coalesce(
-            F.try_element_at(named, name), _codepoint_text(number.try_cast("bigint"))
+        char = (
+            F.when(name == "amp", F.lit("&"))
+            .when(name == "nbsp", F.lit(chr(160)))
+            .when(number.isNotNull(), _codepoint_text(number.try_cast("bigint")))
+            .otherwise(F.try_element_at(named, name))
         )
         rest = F.substring(piece, F.length(name) + 2, F.length(piece))
         return F.coalesce(
@@ -124,18 +186,22 @@ def decode_references(text: Column) -> Column:
 
 def markup_to_markdown(html: Column) -> Column:
     """Headings, emphasis, code, links, images, lists and blocks to Markdown."""
-    out = _collapse_outside_pre(html)
-    for pattern, replacement in MARKDOWN_RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    out = decode_references(out)
+    out = decode_references(_render_tags(T.bind(_collapse_outside_pre(html), _apply_pairs)))
     return T.js_trim(F.regexp_replace(out, "\n{3,}", "\n\n"))
 
 
 def drop_style_lines(markdown: Column) -> Column:
     """Remove lines that are plainly style sheet leftovers."""
-    lines = F.split(markdown, "\n")
-    kept = F.filter(lines, lambda line: ~line.rlike(K.STYLE_LINE_PATTERN))
-    joined = F.array_join(kept, "\n")
+
+
+    def keep(text: Column) -> Column:
+        kept = F.filter(F.split(text, "\n"), lambda line: ~line.rlike(K.STYLE_LINE_PATTERN))
+        # One look at the whole text spares the split in the usual case.
+        return F.when(text.rlike("(?m)" + K.STYLE_LINE_PATTERN), F.array_join(kept, "\n")).otherwise(
+            text
+        )
+
+    joined = T.bind(markdown, keep)
     return T.js_trim(F.regexp_replace(joined, "\n{3,}", "\n\n"))
 
 

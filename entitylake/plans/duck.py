@@ -14,6 +14,19 @@ from entitylake.functions import html as H
 from entitylake.functions import tokens as W
 
 _fresh = count()
+_ATTRS = r"(?:\s[^>]*)?"
+# Tag by tag instead of in one pass, to check the pass of the Spark side.
+_TAG_RULES = (
+    *((rf"(?i)<h{n}{_ATTRS}/?>", "\n\n" + "#" * n + " ") for n in range(1, 7)),
+    (r"(?i)</h[1-6]\s*>", "\n\n"),
+    (rf"(?i)<li{_ATTRS}/?>", "\n*   "),
+    (r"(?i)</li\s*>", "\n"),
+    (rf"(?i)<br{_ATTRS}/?>", "\n"),
+    (rf"(?i)<hr{_ATTRS}/?>", "\n\n* * *\n\n"),
+    (rf"(?i)</?(?:{'|'.join(H.BLOCK_TAGS)}){_ATTRS}/?>", "\n\n"),
+    (rf"</?[a-zA-Z][a-zA-Z0-9:._-]*{_ATTRS}/?>", ""),
+    (r"<![a-zA-Z][^>]*>", ""),
+)
 ORIGIN = "https://search.example.org"
 
 
@@ -128,7 +141,9 @@ def decode(x: str) -> str:
 def markdown(x: str) -> str:
     """Conversion for mail without ``pre`` blocks."""
     out = collapse(trim(clean_html(x)))
-    for pattern, replacement in H.MARKDOWN_RULES:
+    for pattern, replacement, _ in H.PAIR_RULES:
+        out = replace_all(out, pattern, replacement)
+    for pattern, replacement in _TAG_RULES:
         out = replace_all(out, pattern, replacement)
     out = decode(out)
     out = trim(replace_all(out, "\n{3,}", "\n\n"))
