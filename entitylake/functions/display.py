@@ -32,12 +32,13 @@ def _kind(v: str) -> str:
     return f"schema_of_variant({v})"
 
 
+# These look one level deep only, while the kind of a value describes all of it.
 def _is_object(v: str) -> str:
-    return f"startswith({_kind(v)}, 'OBJECT')"
+    return f"(try_variant_get({v}, '$', 'map<string,variant>') IS NOT NULL)"
 
 
 def _is_array(v: str) -> str:
-    return f"startswith({_kind(v)}, 'ARRAY')"
+    return f"(try_variant_get({v}, '$', 'array<variant>') IS NOT NULL)"
 
 
 def _get(v: str, key: str, kind: str = "variant") -> str:

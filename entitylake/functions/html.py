@@ -141,7 +141,9 @@ def _render_preformatted(piece: Column) -> Column:
 def _collapse_outside_pre(html: Column) -> Column:
     rendered = F.transform(
         F.split(html, r"(?i)<pre\b"),
-        lambda piece, i: F.when(i == 0, _collapse(piece)).otherwise(_render_preformatted(piece)),
+        lambda piece, i: F.rtrim(
+            F.when(i == 0, _collapse(piece)).otherwise(_render_preformatted(piece))
+        ),
     )
     return F.array_join(rendered, "")
 

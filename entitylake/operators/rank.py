@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake import constants as K
+from entitylake.functions import text as T
 from entitylake.functions import tokens as W
 from entitylake.operators import predicates as P
 
@@ -22,7 +23,7 @@ def _weight(tf: Column, words: Column, df: Column, docs: Column, average: Column
     return rarity * tf * (K.BM25_K1 + 1) / (tf + K.BM25_K1 * length)
 
 
-def _occurrences(words: str, term: str) -> Column:
+def _occurrences(words: Column, term: str) -> Column:
     return F.size(F.filter(words, lambda w: w == term))
 
 
@@ -42,12 +43,16 @@ def score_text(entities: DataFrame, query: str, words: Column | None = None) ->
     terms = query_terms(query)
     if not terms:
         raise ValueError("a query needs at least one word")
-    counted = entities.withColumn("words", P.search_words() if words is None else words)
-    counted = counted.select(
-        *entities.columns,
-        F.size("words").alias("length"),
-        *[_occurrences("words", term).alias(f"tf{i}") for i, term in enumerate(terms)],
+    # The generator hands the counts on as values, so neither the filter below nor the
+    # scores split the text again.
+    counts = T.bind(
+        P.search_words() if words is None else words,
+        lambda all_words: F.struct(
+            F.size(all_words).alias("length"),
+            *[_occurrences(all_words, term).alias(f"tf{i}") for i, term in enumerate(terms)],
+        ),
     )
+    counted = entities.select("*", F.inline(F.array(counts)))
     corpus = counted.agg(
         F.struct(
             F.count("*").alias("docs"),

@@ -114,8 +114,10 @@ def agg5_hits_per_query(spark, sf):
                  source AS collection_id, {Q.trim('text')} AS body FROM documents
           UNION ALL SELECT 'conv.' || conv_id, 'Pages', '{Q.ORIGIN}/entities/conv.' || conv_id, 'conversations',
                  string_agg({Q.trim('text')}, chr(10) || chr(10) ORDER BY turn) FROM conversations GROUP BY conv_id),
-        e AS (SELECT *, regexp_extract(body, '(?is)(?:.{{0,97}})of the(?:.{{0,97}})', 0) AS excerpt FROM b)
-        SELECT id, schema, link, collection_id, excerpt FROM e WHERE excerpt <> ''""",
+        e AS (SELECT *, length(regexp_extract(body, '(?is)^(.*?)of the', 1)) AS before FROM b
+          WHERE regexp_matches(body, '(?i)of the'))
+        SELECT id, schema, link, collection_id,
+          right(left(body, before), 97) || substring(body, before + 1, 6 + 97) AS excerpt FROM e""",
 )
 def wrk5_citations(spark, sf):
     files = TB.entities(spark, sf, TB.documents, TB.conversation_files)

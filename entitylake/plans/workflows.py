@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitylake.functions import text as T
 from entitylake.operators import bodies as BD
 from entitylake.operators import joins as J
 from entitylake.operators import predicates as P
@@ -113,15 +114,20 @@ def citations(
     only exist on its pages.
     """
     body = F.coalesce("bodyMarkdown", "bodyText")
-    word = phrase.lower()
-    side = max(0, (excerpt_chars - len(word)) // 2)
+    side = max(0, (excerpt_chars - len(phrase)) // 2)
     bodies = BD.full_body(entities, children).select(
         "id",
-        F.regexp_extract(
-            body, rf"(?is)(?:.{{0,{side}}}){re.escape(word)}(?:.{{0,{side}}})", 0
+        T.bind(
+            F.regexp_instr(body, F.lit(f"(?i){re.escape(phrase)}")),
+            lambda at: F.when(
+                at > 0,
+                F.substring(
+                    body, F.greatest(at - side, F.lit(1)), F.least(at - 1, F.lit(side)) + len(phrase) + side
+                ),
+            ),
         ).alias("excerpt"),
     )
-    cited = bodies.filter(F.col("excerpt") != "")
+    cited = bodies.filter(F.col("excerpt").isNotNull())
     return entities.select("id", "schema", "link", "collection_id").join(cited, "id")
 
 

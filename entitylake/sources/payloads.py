@@ -63,7 +63,7 @@ def scan_envelopes(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()
 def scan_entities(df: DataFrame, body: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
     """Entities from rows that hold one JSON object each; other rows are left out
     here and reported by :func:`rejected_entities`."""
-    one = F.expr("filter(array(doc), d -> startswith(schema_of_variant(d), 'OBJECT'))")
+    one = F.expr("filter(array(doc), d -> try_variant_get(d, '$', 'map<string,variant>') IS NOT NULL)")
     return entities_from_documents(
         decode(df, body).select(*keep, F.posexplode(one).alias("rank", "doc")), keep
     )
@@ -94,7 +94,7 @@ def entities_from_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> Data
     )
     shown = opened.select(
         "*",
-        D.display_map("p").alias("shown"),
+        D.display_map(_OWN_VALUES).alias("shown"),
         F.expr(
             "transform_values(links_v, (k, x) -> "
             "IF(schema_of_variant(x) = 'STRING', CAST(x AS STRING), NULL))"
@@ -111,7 +111,6 @@ def entities_from_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> Data
     schema = F.coalesce(T.nonblank(raw_schema), F.lit(K.UNKNOWN_SCHEMA))
     own_id = T.nonblank(D.string_field("doc", "id"))
     listed = D.text_list("try_variant_get(doc, '$.schemata', 'variant')")
-    is_list = D.is_array(_prop("recipients"))
     shaped = shown.select(
         *keep,
         U.canonical_id(own_id, F.col("links")).alias("id"),
@@ -125,8 +124,7 @@ def entities_from_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> Data
         F.try_element_at("links", F.lit(K.UI_LINK_KEY)).alias("link"),
         F.map_filter(
             "shown",
-            lambda k, v: ~k.isin(*K.HEAVY_FIELDS, "parent", "ancestors")
-            & ~((k == "recipients") & is_list),
+            lambda k, v: ~k.isin(*K.HEAVY_FIELDS),
         ).alias("props"),
         "texts",
         _differing(F.col("shown"), F.col("texts")).alias("heavy_props"),
@@ -148,6 +146,13 @@ def entities_from_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> Data
     return shaped if keep else S.conform(shaped)
 
 
+# Linked entities have columns of their own; recipients that are no list stay a property.
+_OWN_VALUES = (
+    "map_filter(p, (k, x) -> k NOT IN ('parent', 'ancestors') "
+    "AND NOT (k = 'recipients' AND try_variant_get(x, '$', 'array<variant>') IS NOT NULL))"
+)
+
+
 def _prop(name: str) -> str:
     return f"try_element_at(p, '{name}')"
 
