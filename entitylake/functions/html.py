@@ -103,7 +103,7 @@ def _apply_pairs(markup: Column) -> Column:
 
 def _render_tags(markup: Column) -> Column:
     """All other tags at once: each ends the text before it, so a split finds them."""
-    texts = F.create_map(*[F.lit(x) for pair in TAG_TEXT.items() for x in pair])
+    texts = T.literal_map(TAG_TEXT)
     blocks = [*BLOCK_TAGS, *[f"/{name}" for name in BLOCK_TAGS]]
 
     def render(piece: Column) -> Column:
@@ -155,9 +155,7 @@ def _codepoint_text(codepoint: Column) -> Column:
 
 def decode_references(text: Column) -> Column:
     """Replace named, decimal and hexadecimal character references, each once."""
-    named = F.create_map(
-        *[F.lit(x) for name, cp in sorted(NAMED_REFERENCES.items()) for x in (name, chr(cp))]
-    )
+    named = T.literal_map({name: chr(cp) for name, cp in sorted(NAMED_REFERENCES.items())})
 
     def decode(piece: Column, name: Column) -> Column:
         number = F.when(

@@ -24,6 +24,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def literal_map(entries: dict[str, str]) -> Column:
+    """A constant map, as one SQL expression instead of a call for every entry."""
+
+    def quoted(text: str) -> str:
+        escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+
+    return F.expr(f"map({', '.join(quoted(x) for pair in entries.items() for x in pair)})")
+
+
 def js_trim(text: Column) -> Column:
     """Trim every Unicode white-space character, not only U+0020."""
     return F.btrim(text, F.lit(K.WHITESPACE))

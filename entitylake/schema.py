@@ -8,7 +8,7 @@ string values (numbers or objects in a body field), which is nearly never.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,17 +72,16 @@ COLUMNS = ENTITIES.fieldNames()
 def conform(df: DataFrame) -> DataFrame:
     """Give a table every entity column, in order; missing ones are NULL."""
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(field.name) if field.name in present else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
+            f"CAST({field.name if field.name in present else 'NULL'} AS {field.dataType.simpleString()})"
+            f" AS {field.name}"
             for field in ENTITIES.fields
         ]
     )
 
 
-def texts(**values):
+def texts(**values: Column) -> Column:
     """The ``texts`` struct with the given body fields set."""
     empty = F.lit(None).cast("array<string>")
     return F.struct(*[values.get(name, empty).alias(name) for name in K.HEAVY_FIELDS])

@@ -20,6 +20,8 @@ def local_session(cores: str = "8", app: str = "entitylake", memory: str = "20g"
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every expression takes longer than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
