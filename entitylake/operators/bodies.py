@@ -141,12 +141,14 @@ def full_body(
     children: DataFrame | None = None,
     max_children: int = K.MAX_CHILD_PAGES,
     include_raw: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Uncut bodies: mail first, then own page text, then the text of child pages.
 
-    Three branches by type, so mails and pages with text are never shuffled.
+    Three branches by type, so mails and pages with text are never shuffled. ``keep``
+    carries more entity columns along.
     """
-    keep = ("raw",) if include_raw else ()
+    keep = (*keep, "raw") if include_raw else keep
     mails = mail_bodies(entities, keep)
     pages = page_bodies(entities, keep).withColumn("bodyTextFromChildren", F.lit(False))
     joined = parent_bodies(entities, children, max_children, keep).withColumn(

@@ -18,6 +18,20 @@ def _first(rows: DataFrame, partition: list[str], order: list[Column], n: int) -
     return rows.withColumn("place", F.row_number().over(window)).filter(F.col("place") <= n)
 
 
+def first_in_slices(
+    rows: DataFrame, key: str, order: list[Column], n: int, slice_by: str, slices: int = SLICES
+) -> DataFrame:
+    """The first ``n`` rows of each ``key`` and their ``place``, counted from 1.
+
+    Every group is reduced in slices of ``slice_by`` before it comes together, so a group
+    of any size costs its last task ``slices * n`` rows at most. Meant for narrow rows,
+    which may be the result of other work: they are computed once and moved twice.
+    """
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(slice_by), F.lit(slices)))
+    reduced = _first(sliced, [key, "slice"], order, n).select(*rows.columns)
+    return _first(reduced, [key], order, n)
+
+
 def first_per_group(
     rows: DataFrame,
     key: str,
@@ -27,7 +41,7 @@ def first_per_group(
     hot_group_rows: int = HOT_GROUP_ROWS,
     slices: int = SLICES,
 ) -> DataFrame:
-    """The first ``n`` rows of each ``key`` and their ``place``, counted from 1.
+    """The same for wide rows that come straight from a scan, moved only once.
 
     Spark already keeps only ``n`` rows per key and input partition before the shuffle.
     That still sends ``n`` rows from every input partition of a huge group to one task,

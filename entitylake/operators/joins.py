@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entitylake.functions import bounds as B
 from entitylake.operators import predicates as P
-from entitylake.operators.groups import first_per_group
+from entitylake.operators.groups import first_in_slices
 
 
 def get_entity(entities: DataFrame, entity_id: str) -> DataFrame:
@@ -30,7 +30,7 @@ def top_hit_ids(hits: DataFrame, count: int | None = None, search_key: str | Non
     if size == 0:
         return named.limit(0).select(search_key, F.col("own_id").alias("id"))
     ranked = named.select(search_key, "rank", F.col("own_id").alias("id"))
-    return first_per_group(ranked, search_key, [F.col("rank"), F.col("id")], size, slice_by="id").select(
+    return first_in_slices(ranked, search_key, [F.col("rank"), F.col("id")], size, slice_by="id").select(
         search_key, "rank", "id"
     )
 

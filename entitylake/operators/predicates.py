@@ -6,9 +6,9 @@ NULL, when the property is absent, so ``~`` means "does not have".
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,22 +66,24 @@ def has_term(term: str, line: Column | None = None) -> Column:
     return has_phrase(term, line)
 
 
-def has_all(terms: Iterable[str], line: Column | None = None) -> Column:
-    """Every term; the text is normalised once."""
-    wanted = [f" {' '.join(W.literal_words(t))} " for t in terms]
-    return _on_line(line, lambda x: reduce(and_, [F.contains(x, F.lit(t)) for t in wanted]))
+def on_text(test: Callable[[Column], Column]) -> Column:
+    """A condition of several terms and phrases on one entity: ``test`` gets the word
+    line, which is made once however often it is used."""
+    return F.coalesce(T.bind(search_line(), test), F.lit(False))
 
 
-def has_any(terms: Iterable[str], line: Column | None = None) -> Column:
-    wanted = [f" {' '.join(W.literal_words(t))} " for t in terms]
-    return _on_line(
-        line, lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(t)) for t in wanted])
-    )
+def has_all(terms: Iterable[str], line: Column | None = None) -> Column:
+    wanted = list(terms)
+    if line is None:
+        return on_text(lambda x: has_all(wanted, x))
+    return reduce(and_, [has_phrase(t, line) for t in wanted])
 
 
-def _on_line(line: Column | None, test) -> Column:
-    line = search_line() if line is None else line
-    return F.coalesce(T.bind(line, test), F.lit(False))
+def has_any(terms: Iterable[str], line: Column | None = None) -> Column:
+    wanted = list(terms)
+    if line is None:
+        return on_text(lambda x: has_any(wanted, x))
+    return reduce(or_, [has_phrase(t, line) for t in wanted])
 
 
 def must(*conditions: Column) -> Column:

@@ -14,7 +14,6 @@ from entitylake.functions import tokens as W
 from entitylake.operators import predicates as P
 
 POSTING_BUCKETS = 256
-POSTING_SLICES = 16
 
 
 def _weight(tf: Column, words: Column, df: Column, docs: Column, average: Column) -> Column:
@@ -101,17 +100,14 @@ def corpus_stats(entities: DataFrame, text: Column | None = None) -> DataFrame:
     )
 
 
-def write_postings(
-    postings: DataFrame, path: str, buckets: int = POSTING_BUCKETS, slices: int = POSTING_SLICES
-) -> None:
+def write_postings(postings: DataFrame, path: str, buckets: int = POSTING_BUCKETS) -> None:
     """Parquet by token bucket, sorted by token inside each file.
 
-    A very common token is spread over ``slices`` tasks by entity, so no task receives
-    all of its occurrences.
+    Rebalancing splits a bucket that a very common token fills into files of the advised
+    size, and merges small ones, so no task receives all occurrences of a token.
     """
     placed = postings.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
-    slice_of = F.pmod(F.xxhash64("id"), F.lit(slices))
-    placed.repartition("bucket", slice_of).sortWithinPartitions("bucket", "token", "id").write.partitionBy(
+    placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token", "id").write.partitionBy(
         "bucket"
     ).parquet(path)
 

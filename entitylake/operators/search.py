@@ -12,7 +12,7 @@ from entitylake import constants as K
 from entitylake.functions import bounds as B
 from entitylake.operators import predicates as P
 from entitylake.operators import rank as R
-from entitylake.operators.groups import first_per_group
+from entitylake.operators.groups import first_in_slices
 
 
 def matching(
@@ -49,13 +49,35 @@ def matching(
     return rows if where is None else rows.filter(where)
 
 
+# Beyond this offset a page is found by id and score alone and fetched afterwards.
+DEEP_OFFSET = 100_000
+
+
+def _by_score(hits: DataFrame) -> DataFrame:
+    return hits.orderBy(F.col("score").desc_nulls_last(), F.col("id"))
+
+
 def page(hits: DataFrame, limit: int | None = None, offset: float | None = 0) -> DataFrame:
-    """One page of the hits, best score first, ties by id."""
-    ordered = hits.orderBy(F.col("score").desc_nulls_last(), F.col("id"))
+    """One page of the hits, best score first, ties by id.
+
+    A limited page is a top-k: every task keeps its best rows, without a full sort. Two
+    cases would otherwise pull too much into one task: a deep page carries ids and scores
+    only until it is known, and an offset without a limit takes the skipped ids away
+    before the distributed sort.
+    """
     skip, size = B.clean_offset(offset), B.clamp_limit(limit)
-    if skip:
-        ordered = ordered.offset(skip)
-    return ordered if size is None else ordered.limit(size)
+    if size is None:
+        if skip:
+            skipped = _by_score(hits.select("id", "score")).limit(skip).select("id")
+            hits = hits.join(skipped, "id", "left_anti").select(*hits.columns)
+        return _by_score(hits)
+    if skip > DEEP_OFFSET:
+        wanted = _by_score(hits.select("id", "score")).offset(skip).limit(size).select("id")
+        # At most one page of ids.
+        hits = hits.join(F.broadcast(wanted), "id", "left_semi").select(*hits.columns)
+        skip = 0
+    ordered = _by_score(hits)
+    return (ordered.offset(skip) if skip else ordered).limit(size)
 
 
 def search(
@@ -124,7 +146,7 @@ def facets(hits: DataFrame, fields: Iterable[str], top: int | None = None) -> Da
     if top is None:
         return counts
     order = [F.col("n").desc(), F.col("value")]
-    return first_per_group(counts, "facet", order, top, slice_by="value").select(
+    return first_in_slices(counts, "facet", order, top, slice_by="value").select(
         "facet", "value", "n"
     )
 

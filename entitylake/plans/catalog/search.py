@@ -80,9 +80,10 @@ def flt5_proximity(spark, sf):
         AND NOT contains(line, ' from ')""",
 )
 def flt6_boolean(spark, sf):
-    line = P.search_line()
-    either = P.has_term("the", line) | P.has_term("les", line)
-    return _ids(S.matching(_docs(spark, sf), either & ~P.has_term("from", line)))
+    where = P.on_text(
+        lambda line: (P.has_term("the", line) | P.has_term("les", line)) & ~P.has_term("from", line)
+    )
+    return _ids(S.matching(_docs(spark, sf), where))
 
 
 @query(
@@ -91,9 +92,11 @@ def flt6_boolean(spark, sf):
         AND NOT contains(line, ' from ') AND NOT contains(line, ' was the ')""",
 )
 def flt7_must_and_must_not(spark, sf):
-    wanted = P.must(P.has_term("the"), P.has_term("with"))
-    unwanted = P.must_not(P.has_term("from"), P.has_phrase("was the"))
-    return _ids(S.matching(_docs(spark, sf), wanted & unwanted))
+    where = P.on_text(
+        lambda line: P.must(P.has_term("the", line), P.has_term("with", line))
+        & P.must_not(P.has_term("from", line), P.has_phrase("was the", line))
+    )
+    return _ids(S.matching(_docs(spark, sf), where))
 
 
 @query(

@@ -14,6 +14,7 @@ from entitylake.operators import bodies as BD
 from entitylake.operators import joins as J
 from entitylake.operators import predicates as P
 from entitylake.operators import search as S
+from entitylake.operators import shape as SH
 
 
 def follow_company(entities: DataFrame, name: str, link_keys: Iterable[str]) -> DataFrame:
@@ -42,11 +43,12 @@ def mentions(
 ) -> DataFrame:
     """Documents and mails that hold a name variant and none of the excluded phrases."""
     wanted, unwanted = list(variants), list(excluded)
-    line = P.search_line()
-    condition = P.has_any(wanted, line)
-    if unwanted:
-        condition = condition & ~P.has_any(unwanted, line)
-    return S.matching(entities, condition, schema=list(schemas))
+
+    def mentioned(line: Column) -> Column:
+        found = P.has_any(wanted, line)
+        return found & ~P.has_any(unwanted, line) if unwanted else found
+
+    return S.matching(entities, P.on_text(mentioned), schema=list(schemas))
 
 
 def triage(
@@ -115,20 +117,19 @@ def citations(
     """
     body = F.coalesce("bodyMarkdown", "bodyText")
     side = max(0, (excerpt_chars - len(phrase)) // 2)
-    bodies = BD.full_body(entities, children).select(
-        "id",
-        T.bind(
-            F.regexp_instr(body, F.lit(f"(?i){re.escape(phrase)}")),
-            lambda at: F.when(
-                at > 0,
-                F.substring(
-                    body, F.greatest(at - side, F.lit(1)), F.least(at - 1, F.lit(side)) + len(phrase) + side
-                ),
+    bodies = BD.full_body(entities, children, keep=("link", "collection_id"))
+    excerpt = T.bind(
+        F.regexp_instr(body, F.lit(f"(?i){re.escape(phrase)}")),
+        lambda at: F.when(
+            at > 0,
+            F.substring(
+                body, F.greatest(at - side, F.lit(1)), F.least(at - 1, F.lit(side)) + len(phrase) + side
             ),
-        ).alias("excerpt"),
+        ),
     )
-    cited = bodies.filter(F.col("excerpt").isNotNull())
-    return entities.select("id", "schema", "link", "collection_id").join(cited, "id")
+    return bodies.select(
+        "id", "schema", "link", "collection_id", SH.evaluated_once(excerpt).alias("excerpt")
+    ).filter(F.col("excerpt").isNotNull())
 
 
 def cross_border(

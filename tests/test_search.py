@@ -98,6 +98,13 @@ def test_paging(corpus):
     assert ordered == ["y", "x", "a", "b", "c", "d"]
     assert [r.id for r in S.page(corpus, 2, 1).collect()] == ["x", "a"]
     assert [r.id for r in S.page(corpus, 0).collect()] == ["y"]
+    assert [r.id for r in S.page(corpus, None, 4).collect()] == ["c", "d"]
+
+
+def test_deep_page(corpus, monkeypatch):
+    monkeypatch.setattr(S, "DEEP_OFFSET", 1)
+    assert [r.id for r in S.page(corpus, 3, 2).collect()] == ["a", "b", "c"]
+    assert S.page(corpus, 3, 2).columns == corpus.columns
 
 
 def test_search_scores_and_highlights(corpus):
@@ -121,7 +128,7 @@ def test_postings_and_text_give_the_same_scores(corpus):
 def test_postings_on_storage(spark, corpus, tmp_path):
     path = str(tmp_path / "postings")
     postings = R.build_postings(corpus)
-    R.write_postings(postings, path, buckets=4, slices=2)
+    R.write_postings(postings, path, buckets=4)
     stored = R.read_postings(spark, path)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, postings.collect()))
     assert ids(R.fuzzy_ids(stored, "putin", 1)) == ids(S.matching(corpus, P.has_fuzzy("putin", 1)))
