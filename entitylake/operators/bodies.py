@@ -38,12 +38,13 @@ def first_children(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES, *
 def child_bodies(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES, **options) -> DataFrame:
     """Texts of the first pages joined with blank lines, one row per parent.
 
-    The window, the running length and the grouping share one exchange on the parent.
+    The limit, the running length and the grouping share one exchange and one sort.
     A page that starts beyond the body guard is counted but not collected, so a row holds
     no more than about twice the guard whatever the pages contain.
     """
     pages = first_children(children, max_children, **options).filter(F.col("text").isNotNull())
-    before = Window.partitionBy("parent_id").orderBy("place").rowsBetween(
+    # The order of the first window again, so its sort serves both.
+    before = Window.partitionBy("parent_id").orderBy("position", "id").rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = pages.withColumn(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entitylake import constants as K
+from entitylake.functions import text as T
 from entitylake.operators import bodies as B
 from entitylake.plans import duck as Q
 from entitylake.plans.catalog.registry import query
@@ -31,8 +32,6 @@ def _with_bodies(spark, sf):
 )
 def joi1_child_page_bodies(spark, sf):
     """Files without text: their pages joined in order and cut for display."""
-    from entitylake.functions import text as T
-
     joined = B.parent_bodies(_files(spark, sf)).withColumn("cut", T.cut_at_boundary(F.col("bodyText"), 200))
     return joined.select(
         "id",
@@ -182,7 +181,7 @@ def set2_body_branches(spark, sf):
 @query(
     "aud1_missing_bodies",
     f"""WITH f AS (SELECT DISTINCT conv_id FROM conversations),
-        kept AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user' AND conv_id % 3 > 0 AND {Q.trim('text')} <> '')
+        kept AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user' AND length({Q.trim('text')}) >= 400)
         SELECT 'conv.' || conv_id AS id, 'Pages' AS schema, 'title' AS present_keys FROM f
         WHERE conv_id NOT IN (SELECT conv_id FROM kept)
         UNION ALL SELECT 'person.' || c_custkey, 'Person', 'balance, countries, name, topics' FROM customer
@@ -194,12 +193,10 @@ def set2_body_branches(spark, sf):
         FROM documents WHERE {Q.trim('text')} = ''""",
 )
 def aud1_missing_bodies(spark, sf):
-    """People, empty mails and texts, and files whose pages were lost."""
+    """People, empty mails and texts, and files none of whose questions is long."""
     pages = TB.conversation_pages(spark, sf)
-    left = pages.filter(
-        (F.get(F.col("props")["author"], F.lit(0)) == "user")
-        & (F.regexp_extract("id", r"conv\.(\d+)", 1).cast("bigint") % 3 > 0)
-    )
+    long = F.length(T.flatten_text(F.col("texts.bodyText"))) >= 400
+    left = pages.filter((F.get(F.col("props")["author"], F.lit(0)) == "user") & long)
     entities = TB.entities(spark, sf, TB.documents, TB.conversation_files, TB.mails, TB.people)
     return B.missing_body(entities, children=left)
 
