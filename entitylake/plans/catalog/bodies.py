@@ -181,7 +181,7 @@ def set2_body_branches(spark, sf):
 @query(
     "aud1_missing_bodies",
     f"""WITH f AS (SELECT DISTINCT conv_id FROM conversations),
-        kept AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user' AND length({Q.trim('text')}) >= 400)
+        kept AS (SELECT DISTINCT conv_id FROM conversations WHERE role = 'user' AND length({Q.trim('text')}) >= 300)
         SELECT 'conv.' || conv_id AS id, 'Pages' AS schema, 'title' AS present_keys FROM f
         WHERE conv_id NOT IN (SELECT conv_id FROM kept)
         UNION ALL SELECT 'person.' || c_custkey, 'Person', 'balance, countries, name, topics' FROM customer
@@ -195,7 +195,7 @@ def set2_body_branches(spark, sf):
 def aud1_missing_bodies(spark, sf):
     """People, empty mails and texts, and files none of whose questions is long."""
     pages = TB.conversation_pages(spark, sf)
-    long = F.length(T.flatten_text(F.col("texts.bodyText"))) >= 400
+    long = F.length(T.flatten_text(F.col("texts.bodyText"))) >= 300
     left = pages.filter((F.get(F.col("props")["author"], F.lit(0)) == "user") & long)
     entities = TB.entities(spark, sf, TB.documents, TB.conversation_files, TB.mails, TB.people)
     return B.missing_body(entities, children=left)
