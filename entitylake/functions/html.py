@@ -75,7 +75,9 @@ _MAX_CODEPOINT = 0x10FFFF
 def clean_mail_html(html: Column) -> Column:
     """Drop comments, style, script, head and XML declarations."""
     for pattern in K.MAIL_NOISE_PATTERNS:
-        html = F.regexp_replace(html, pattern, "")
+        # Patterns for declarations and comments start with their own sign.
+        sign = "<!--" if "<!--" in pattern else "<?" if "<\\?" in pattern else "<"
+        html = T.replace_where(html, sign, pattern, "")
     return html
 
 
@@ -187,7 +189,7 @@ def decode_references(text: Column) -> Column:
 def markup_to_markdown(html: Column) -> Column:
     """Headings, emphasis, code, links, images, lists and blocks to Markdown."""
     out = decode_references(_render_tags(T.bind(_collapse_outside_pre(html), _apply_pairs)))
-    return T.js_trim(F.regexp_replace(out, "\n{3,}", "\n\n"))
+    return T.js_trim(T.squeeze_newlines(out))
 
 
 def drop_style_lines(markdown: Column) -> Column:
@@ -202,13 +204,13 @@ def drop_style_lines(markdown: Column) -> Column:
         )
 
     joined = T.bind(markdown, keep)
-    return T.js_trim(F.regexp_replace(joined, "\n{3,}", "\n\n"))
+    return T.js_trim(T.squeeze_newlines(joined))
 
 
 def strip_leftover_tags(markdown: Column) -> Column:
     """Remove tag-like chunks that survive conversion, decoded ones included."""
-    out = F.regexp_replace(markdown, K.LEFTOVER_TAG_PATTERN, "")
-    return T.js_trim(F.regexp_replace(out, K.COMMENT_PATTERN, ""))
+    out = T.replace_where(markdown, "<", K.LEFTOVER_TAG_PATTERN, "")
+    return T.js_trim(T.replace_where(out, "<!--", K.COMMENT_PATTERN, ""))
 
 
 def mail_markdown(html: Column) -> Column:

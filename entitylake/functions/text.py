@@ -24,6 +24,22 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def replace_where(text: Column, sign: str, pattern: str, replacement: str) -> Column:
+    """``regexp_replace`` only for texts that hold ``sign``, without which the pattern
+    cannot match; looking for a sign is far cheaper than a pattern."""
+    return bind(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit(sign)), F.regexp_replace(t, pattern, replacement)
+        ).otherwise(t),
+    )
+
+
+def squeeze_newlines(text: Column) -> Column:
+    """Three and more line breaks become two."""
+    return replace_where(text, "\n\n\n", "\n{3,}", "\n\n")
+
+
 def literal_map(entries: dict[str, str]) -> Column:
     """A constant map, as one SQL expression instead of a call for every entry."""
 
