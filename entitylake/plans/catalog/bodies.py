@@ -226,3 +226,21 @@ def lim7_listed_keys(spark, sf):
     key = F.col("o_orderkey") % 3
     keys = F.when(key == 1, few).when(key == 2, many)
     return TB.table(spark, sf, "orders").select("o_orderkey", B.listed_keys(keys).alias("keys"))
+
+
+@query(
+    "bod3_child_fallback",
+    f"""WITH {_CHILD_BODIES} SELECT id, 'Pages' AS schema, md5(body) AS body, length(body) AS full_chars,
+        length(body) > {K.MAX_CONVERSION_CHARS} AS source_cut, pages FROM child""",
+)
+def bod3_child_fallback(spark, sf):
+    """Only files without own text fall back to their pages."""
+    corpus = TB.entities(spark, sf, TB.documents, TB.conversation_files, TB.conversation_pages)
+    return B.parent_bodies(corpus).select(
+        "id",
+        "schema",
+        F.md5("bodyText").alias("body"),
+        F.col("bodyTextFullChars").alias("full_chars"),
+        F.col("htmlSourceTruncated").alias("source_cut"),
+        F.col("childPageCount").alias("pages"),
+    )

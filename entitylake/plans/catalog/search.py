@@ -472,3 +472,13 @@ def joi5_pivot(spark, sf):
 def joi5_referring(spark, sf):
     rich = S.matching(TB.companies(spark, sf), P.prop_num_cmp("balance", ">", 5000))
     return J.referring(TB.contracts(spark, sf), "supplier", rich)
+
+
+@query(
+    "lim1_limit_clamp",
+    """SELECT 'order.' || o_orderkey AS id, o_totalprice AS score FROM orders
+       ORDER BY o_totalprice DESC, 'order.' || o_orderkey LIMIT 1""",
+)
+def lim1_limit_clamp(spark, sf):
+    """A limit below one is one."""
+    return S.page(_scored_orders(spark, sf), limit=-5).select("id", "score")

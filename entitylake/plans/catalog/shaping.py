@@ -292,3 +292,95 @@ def lim6_value_cap(spark, sf):
     return SH.search_records(many).select(
         "id", F.size(F.try_element_at("properties", F.lit("codes"))).alias("kept")
     )
+
+
+def _order_json(spark, sf, **fields):
+    """Orders as JSON entities with the given outer fields."""
+    orders = TB.table(spark, sf, "orders")
+    key = F.concat(F.lit("order."), F.col("o_orderkey").cast("string"))
+    body = F.struct(key.alias("id"), *[value.alias(name) for name, value in fields.items()])
+    return P.scan_entities(orders.select(F.to_json(body).alias("raw")))
+
+
+@query(
+    "prj8_property_values",
+    """SELECT 'order.' || o_orderkey AS id, o_orderstatus AS status, o_orderpriority AS priority,
+       NULL::VARCHAR AS blank, o_orderstatus || '|true|' || o_custkey AS mixed FROM orders""",
+)
+def prj8_property_values(spark, sf):
+    properties = F.struct(
+        F.concat(F.lit(" "), F.col("o_orderstatus")).alias("status"),
+        F.array(F.lit(None).cast("string"), F.lit("  "), F.col("o_orderpriority")).alias("priority"),
+        F.array(F.lit(""), F.lit(" ")).alias("blank"),
+    )
+    mixed = F.to_json(F.struct(F.col("o_orderstatus").alias("s")))
+    rows = TB.table(spark, sf, "orders").select(
+        F.concat(
+            F.regexp_replace(
+                F.to_json(
+                    F.struct(
+                        F.concat(F.lit("order."), F.col("o_orderkey").cast("string")).alias("id"),
+                        properties.alias("properties"),
+                    )
+                ),
+                r"\}\}\z",
+                "",
+            ),
+            F.lit(',"mixed":['),
+            F.regexp_extract(mixed, r":(.*)\}\z", 1),
+            F.lit(",true,null,"),
+            F.col("o_custkey").cast("string"),
+            F.lit("]}}"),
+        ).alias("raw")
+    )
+    return P.scan_entities(rows).select(
+        "id", *[_joined("props", name).alias(name) for name in ("status", "priority", "blank", "mixed")]
+    )
+
+
+@query(
+    "prj11_dataset",
+    """SELECT 'order.' || o_orderkey AS id, CASE o_orderstatus WHEN 'O' THEN 'O' WHEN 'F' THEN o_orderpriority
+       ELSE 'person.' || o_custkey END AS dataset FROM orders""",
+)
+def prj11_dataset(spark, sf):
+    status = F.col("o_orderstatus")
+    rows = _order_json(
+        spark,
+        sf,
+        dataset=F.when(status == "O", F.concat(F.lit(" "), status)).otherwise(F.lit(" ")),
+        collection_id=F.when(status == "F", F.col("o_orderpriority")),
+        collection=F.struct(F.concat(F.lit("person."), F.col("o_custkey").cast("string")).alias("id")),
+    )
+    return SH.search_records(rows).select("id", "dataset")
+
+
+@query(
+    "prj13_link",
+    """SELECT 'order.' || o_orderkey AS id, ' /ui/' || o_orderstatus || ' ' AS link FROM orders""",
+)
+def prj13_link(spark, sf):
+    """The link is kept as it is, white space included."""
+    rows = _order_json(
+        spark,
+        sf,
+        links=F.struct(F.concat(F.lit(" /ui/"), F.col("o_orderstatus"), F.lit(" ")).alias("ui")),
+    )
+    return SH.search_records(rows).select("id", "link")
+
+
+@query(
+    "prj17_body_lengths",
+    f"""WITH d AS (SELECT *, {Q.trim('text')} AS body FROM documents), c AS (SELECT *, {Q.cut('body', 1000)} AS cut FROM d)
+        SELECT 'doc.' || doc_id AS id, length(cut) < length(body) AS truncated, length(body) AS full_chars,
+        length(cut) AS returned_chars FROM c
+        UNION ALL SELECT 'person.' || c_custkey, NULL, NULL, NULL FROM customer""",
+)
+def prj17_body_lengths(spark, sf):
+    rows = TB.entities(spark, sf, TB.documents, TB.people)
+    return SH.slim(rows, body_markdown_max_chars=1000).select(
+        "id",
+        F.col("truncatedBody").alias("truncated"),
+        F.col("bodyMarkdownFullChars").alias("full_chars"),
+        F.col("bodyMarkdownReturnedChars").alias("returned_chars"),
+    )
