@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import rule_table, weighted_mix
+from entitylake.llm import bin_slack, bitplanes, rule_table, weighted_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": rule_table.op5_quality_rules,
+    "op6_bit_planes": bitplanes.op6_bit_planes,
+    "op7_bin_slack": bin_slack.op7_bin_slack,
     "op10_weighted_mix": weighted_mix.op10_weighted_mix,
 }
 

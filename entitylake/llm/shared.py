@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         block = (np.cumsum(sizes, dtype=np.int64) - sizes) // BATCH_CHARS
         edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for low, high in zip(edges, edges[1:], strict=False):
