@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import bin_slack, bitplanes, rule_table, weighted_mix
+from entitylake.llm import bin_slack, bitplanes, bradley_terry, ecoc_language, rule_table, weighted_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ecoc_language": ecoc_language.op3_ecoc_language,
+    "op4_bradley_terry": bradley_terry.op4_bradley_terry,
     "op5_quality_rules": rule_table.op5_quality_rules,
     "op6_bit_planes": bitplanes.op6_bit_planes,
     "op7_bin_slack": bin_slack.op7_bin_slack,
