@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import bin_slack, bitplanes, bradley_terry, chat_template, ecoc_language, rule_table, weighted_mix
+from entitylake.llm import bin_slack, bitplanes, bradley_terry, chat_template, ecoc_language, rule_table, syncmers, weighted_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ecoc_language": ecoc_language.op3_ecoc_language,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": rule_table.op5_quality_rules,
     "op6_bit_planes": bitplanes.op6_bit_planes,
     "op7_bin_slack": bin_slack.op7_bin_slack,
+    "op8_syncmers": syncmers.op8_syncmers,
     "op9_chat_template": chat_template.op9_chat_template,
     "op10_weighted_mix": weighted_mix.op10_weighted_mix,
 }
