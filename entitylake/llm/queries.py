@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import bin_slack, bitplanes, bradley_terry, chat_template, ecoc_language, html_template, rule_table, syncmers, weighted_mix
+from entitylake.llm import bin_slack, bitplanes, bradley_terry, chat_template, chosen_path, ecoc_language, html_template, rule_table, syncmers, weighted_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_template": html_template.op1_html_template,
+    "op2_chosen_path": chosen_path.op2_chosen_path,
     "op3_ecoc_language": ecoc_language.op3_ecoc_language,
     "op4_bradley_terry": bradley_terry.op4_bradley_terry,
     "op5_quality_rules": rule_table.op5_quality_rules,
