@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.llm.components import components
-from entitylake.llm.shared import WORD, slices, written
+from entitylake.llm.shared import WORD, fresh_name, slices, written
 from entitylake.llm.shingles import MinHash, linked, mixed, shingle_sets
 
 PERCENT = 80
@@ -287,13 +287,14 @@ def deduplicated(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     found = written(similar(docs, ident, text).select("doc_id", "text_hash", "component"))
     grouped = found.where("component IS NOT NULL")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x")
+    one, two = fresh_name(docs, "llm_id"), fresh_name(docs, "llm_hash")
     keep = written(
-        grouped.groupBy("component").agg(first).select(F.col("x.doc_id").alias("llm_id"), F.col("x.text_hash").alias("llm_hash"))
+        grouped.groupBy("component").agg(first).select(F.col("x.doc_id").alias(one), F.col("x.text_hash").alias(two))
     )
-    same = number.eqNullSafe(F.col("llm_id")) & (F.xxhash64(body) == F.col("llm_hash"))
-    chosen = docs.join(keep, same, "left_semi")
+    chosen = docs.join(keep, number.eqNullSafe(F.col(one)) & (F.xxhash64(body) == F.col(two)), "left_semi")
     repeated = grouped.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.join(keep, F.col("doc_id").eqNullSafe(F.col("llm_id")) & (F.col("text_hash") == F.col("llm_hash")), "left_semi").isEmpty():
+    same = F.col("doc_id").eqNullSafe(F.col(one)) & (F.col("text_hash") == F.col(two))
+    if not repeated.join(keep, same, "left_semi").isEmpty():
         chosen = chosen.dropDuplicates([ident, text])
     empty = docs.where(body.isNull() | ~body.rlike(WORD))
     return chosen.unionByName(empty)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.llm.bradley_terry import held_out
-from entitylake.llm.shared import slices, without
+from entitylake.llm.shared import fresh_name, slices, without
 
 UNDETERMINED = "und"
 BUCKETS = 4096
@@ -208,7 +208,8 @@ def identified(docs: DataFrame, model: Languages, text: str = "text") -> DataFra
             yield pd.DataFrame([model.decode(x) for x in series], columns=["lang_pred", "score", "ambiguous"])
 
     kept = [F.col(f"`{name}`") for name in without(docs, "lang_pred", "score", "ambiguous").columns]
-    return docs.select(*kept, decoded(F.col(f"`{text}`")).alias("llm_found")).select(*kept, "llm_found.*")
+    found = fresh_name(docs, "llm_found")
+    return docs.select(*kept, decoded(F.col(f"`{text}`")).alias(found)).select(*kept, f"{found}.*")
 
 
 def op3_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
