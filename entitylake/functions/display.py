@@ -263,7 +263,7 @@ def present_keys(properties: str) -> Column:
     """Keys whose value is neither null nor an empty list; blank strings count."""
     return F.expr(
         f"map_keys(map_filter({properties}, (k, x) -> NOT is_variant_null(x) "
-        "AND to_json(x) <> '[]'))"
+        "AND coalesce(size(try_variant_get(x, '$', 'array<variant>')), 1) <> 0))"
     )
 
 
@@ -284,14 +284,26 @@ def score(v: str) -> Column:
     return F.expr(_let(either, lambda n: f"IF(abs({n}) < double('Infinity'), {n}, NULL)"))
 
 
-def linked_ids(v: str) -> Column:
-    """Ids a property points to: strings as they are, nested entities by their id."""
+def _linked_ids(v: str) -> str:
     item, kept = _name("l"), _name("l")
     one = f"IF({_is_object(item)}, {_text(_get(item, 'id'))}, {_nonblank(_text(item))})"
     ids = (
         f"filter(transform({_unnest(v)}, {item} -> {one}), {kept} -> {kept} IS NOT NULL)"
     )
-    return F.expr(_let(ids, lambda c: f"IF(size({c}) > 0, {c}, NULL)"))
+    return _let(ids, lambda c: f"IF(size({c}) > 0, {c}, NULL)")
+
+
+def linked_ids(v: str) -> Column:
+    """Ids a property points to: strings as they are, nested entities by their id."""
+    return F.expr(_linked_ids(v))
+
+
+def linked_map(properties: str) -> Column:
+    """Ids of the properties that hold nested entities; NULL when none does."""
+    item = _name("o")
+    nested = f"map_filter({properties}, (k, x) -> exists({_unnest('x')}, {item} -> coalesce({_is_object(item)}, false)))"
+    ids = f"map_filter(transform_values({nested}, (k, x) -> {_linked_ids('x')}), (k, x) -> x IS NOT NULL)"
+    return F.expr(_let(ids, lambda m: f"IF(size({m}) > 0, {m}, NULL)"))
 
 
 def is_object(v: str) -> Column:
@@ -303,9 +315,16 @@ def is_array(v: str) -> Column:
 
 
 def snippets(v: str) -> Column:
-    """Highlight fragments as strings; one item when the value is no list."""
-    item = _name("h")
-    as_text = f"IF({_kind(item)} = 'STRING', CAST({item} AS STRING), to_json({item}))"
-    listed = f"transform({_unnest(v)}, {item} -> {as_text})"
+    """Highlight fragments that are strings; one item when the value is no list."""
+    item, kept = _name("h"), _name("h")
+    listed = f"filter(transform({_unnest(v)}, {item} -> {_text(item)}), {kept} -> {kept} IS NOT NULL)"
     present = f"coalesce({_kind(v)} <> 'VOID', false)"
     return F.expr(f"IF({present}, {_let(listed, lambda c: f'IF(size({c}) > 0, {c}, NULL)')}, NULL)")
+
+
+def mixed_highlight(v: str) -> Column:
+    """The highlight as JSON when anything in it is not a string, for output as it came."""
+    item = _name("h")
+    present = f"coalesce({_kind(v)} <> 'VOID', false)"
+    odd = f"exists({_unnest(v)}, {item} -> coalesce({_kind(item)} <> 'STRING', true))"
+    return F.expr(f"IF({present} AND {odd}, to_json({v}), NULL)")

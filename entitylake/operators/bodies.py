@@ -10,11 +10,11 @@ from entitylake import constants as K
 from entitylake.functions import bounds as B
 from entitylake.functions import text as T
 from entitylake.operators import shape as SH
-from entitylake.operators.groups import first_per_group
+from entitylake.operators.groups import first_in_slices
 
 _JOINER = len(K.PARAGRAPH)
-# Enough of the joined text to tell that the guard applies and where it cuts.
-_COLLECTED = K.MAX_CONVERSION_CHARS + _JOINER
+# Code points that one row may hold: four bytes each stay below what a string can have.
+MAX_ROW_CHARS = 500_000_000
 
 
 def child_rows(entities: DataFrame) -> DataFrame:
@@ -28,45 +28,63 @@ def child_rows(entities: DataFrame) -> DataFrame:
     )
 
 
-def first_children(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES, **options) -> DataFrame:
+def first_children(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES) -> DataFrame:
     """The first pages of each parent, in index order, with or without text."""
     B.within("max_children", max_children, 1, K.MAX_CHILD_PAGES)
     order = [F.col("position"), F.col("id")]
-    return first_per_group(children, "parent_id", order, max_children, slice_by="id", **options)
+    return first_in_slices(children, "parent_id", order, max_children, slice_by="id")
 
 
-def child_bodies(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES, **options) -> DataFrame:
-    """Texts of the first pages joined with blank lines, one row per parent.
+def child_bodies(
+    children: DataFrame, max_children: int | None = None, max_source_chars: int | None = None
+) -> DataFrame:
+    """Texts of all pages joined with blank lines, one row per parent.
 
-    The limit, the running length and the grouping share one exchange and one sort.
-    A page that starts beyond the body guard is counted but not collected, so a row holds
-    no more than about twice the guard whatever the pages contain.
+    ``max_children`` limits the pages, ``max_source_chars`` the joined text; without them
+    nothing is left out. ``childPagesTotal`` counts all pages of the parent, blank ones too,
+    and ``childPagesCut`` says that pages were left out. Lengths are summed before texts come
+    together: a file too long for one row ends the job with its name instead of being cut
+    (``child_rows`` in order is the form for those). Sums and grouping share one exchange.
     """
-    pages = first_children(children, max_children, **options).filter(F.col("text").isNotNull())
-    # The order of the first window again, so its sort serves both.
-    before = Window.partitionBy("parent_id").orderBy("position", "id").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    placed = pages.withColumn(
-        "start", F.coalesce(F.sum(F.length("text") + _JOINER).over(before), F.lit(0))
-    )
-    piece = F.struct("place", F.left("text", F.lit(_COLLECTED + 1)).alias("text"))
-    grouped = placed.groupBy("parent_id").agg(
-        F.count("*").alias("childPageCount"),
-        (F.sum(F.length("text") + _JOINER) - _JOINER).alias("raw_chars"),
-        F.array_sort(F.collect_list(F.when(F.col("start") <= _COLLECTED, piece))).alias("pieces"),
-    )
-    joined = F.array_join(
-        F.transform("pieces", lambda p: p.getField("text")), K.PARAGRAPH
+    place = F.lit(1)
+    if max_children is not None:
+        if max_children < 1:
+            raise ValueError(f"max_children must be 1 or more, got {max_children!r}")
+        place = F.row_number().over(Window.partitionBy("parent_id").orderBy("position", "id"))
+    ranked = children.withColumn("place", place)
+    inside = F.lit(True) if max_children is None else F.col("place") <= max_children
+    chars = F.sum(F.when(inside, F.length("text") + _JOINER)).over(Window.partitionBy("parent_id"))
+    too_long = F.raise_error(F.concat(F.lit("too long for one row: file "), F.col("parent_id")))
+    text = F.when(F.col("chars") > MAX_ROW_CHARS, too_long.cast("string")).otherwise(F.col("text"))
+    piece = F.struct("position", "id", text.alias("text"))
+    wanted = F.col("inside") & F.col("text").isNotNull()
+    grouped = (
+        ranked.withColumn("inside", inside)
+        .withColumn("chars", chars)
+        .groupBy("parent_id")
+        .agg(
+            F.count_if(wanted).alias("childPageCount"),
+            F.count("*").alias("childPagesTotal"),
+            (F.count_if(~F.col("inside")) > 0).alias("childPagesCut"),
+            F.array_sort(F.collect_list(F.when(wanted, piece))).alias("pieces"),
+        )
     )
-    return grouped.select(
+    joined = F.array_join(F.transform("pieces", lambda p: p.getField("text")), K.PARAGRAPH)
+    sourced = grouped.withColumn("source", SH.evaluated_once(joined))
+    return sourced.select(
         "parent_id",
-        SH.evaluated_once(SH.full_page_body(joined)).alias("bodyText"),
-        (F.col("raw_chars") > K.MAX_CONVERSION_CHARS).alias("htmlSourceTruncated"),
+        SH.evaluated_once(SH.full_page_body(F.col("source"), max_source_chars)).alias("bodyText"),
+        _cut(F.col("source"), max_source_chars).alias("htmlSourceTruncated"),
         "childPageCount",
+        "childPagesTotal",
+        "childPagesCut",
     ).filter(F.col("bodyText").isNotNull())
 
 
+def _cut(source: Column, max_source_chars: int | None) -> Column:
+    return F.lit(False) if max_source_chars is None else F.length(source) > max_source_chars
+
+
 def _sources(entities: DataFrame) -> DataFrame:
     """Entities with the text their own body comes from."""
     page_text, _ = SH.own_page_text()
@@ -81,15 +99,17 @@ def _needs_children() -> Column:
     return T.is_page_parent(F.col("schema")) & F.col("plain").isNull() & F.col("id").isNotNull()
 
 
-def mail_bodies(entities: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def mail_bodies(
+    entities: DataFrame, keep: tuple[str, ...] = (), max_source_chars: int | None = None
+) -> DataFrame:
     """Markdown of every mail whose HTML converts to some text."""
     return (
         _sources(entities.filter(T.is_email(F.col("schema"))))
         .select(
             "id",
             F.col("raw_schema").alias("schema"),
-            SH.evaluated_once(SH.full_mail_body(F.col("html"))).alias("bodyMarkdown"),
-            (F.length("html") > K.MAX_CONVERSION_CHARS).alias("htmlSourceTruncated"),
+            SH.evaluated_once(SH.full_mail_body(F.col("html"), max_source_chars)).alias("bodyMarkdown"),
+            _cut(F.col("html"), max_source_chars).alias("htmlSourceTruncated"),
             *keep,
         )
         .filter(F.col("bodyMarkdown").isNotNull())
@@ -97,15 +117,17 @@ def mail_bodies(entities: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def page_bodies(entities: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def page_bodies(
+    entities: DataFrame, keep: tuple[str, ...] = (), max_source_chars: int | None = None
+) -> DataFrame:
     """Plain text of every page or paged file that has text of its own."""
     return (
         _sources(entities.filter(T.is_page(F.col("schema"))))
         .select(
             "id",
             F.col("raw_schema").alias("schema"),
-            SH.evaluated_once(SH.full_page_body(F.col("plain"))).alias("bodyText"),
-            (F.length("plain") > K.MAX_CONVERSION_CHARS).alias("htmlSourceTruncated"),
+            SH.evaluated_once(SH.full_page_body(F.col("plain"), max_source_chars)).alias("bodyText"),
+            _cut(F.col("plain"), max_source_chars).alias("htmlSourceTruncated"),
             *keep,
         )
         .filter(F.col("bodyText").isNotNull())
@@ -116,8 +138,9 @@ def page_bodies(entities: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def parent_bodies(
     entities: DataFrame,
     children: DataFrame | None = None,
-    max_children: int = K.MAX_CHILD_PAGES,
+    max_children: int | None = None,
     keep: tuple[str, ...] = (),
+    max_source_chars: int | None = None,
 ) -> DataFrame:
     """Bodies of paged files without own text, joined from their pages.
 
@@ -125,7 +148,8 @@ def parent_bodies(
     key is hot.
     """
     parents = _sources(entities.filter(T.is_page_parent(F.col("schema")))).filter(_needs_children())
-    bodies = child_bodies(child_rows(entities if children is None else children), max_children)
+    pages = child_rows(entities if children is None else children)
+    bodies = child_bodies(pages, max_children, max_source_chars)
     return parents.join(bodies, F.col("id") == F.col("parent_id")).select(
         "id",
         F.col("raw_schema").alias("schema"),
@@ -133,6 +157,8 @@ def parent_bodies(
         F.length("bodyText").alias("bodyTextFullChars"),
         "htmlSourceTruncated",
         "childPageCount",
+        "childPagesTotal",
+        "childPagesCut",
         *keep,
     )
 
@@ -140,19 +166,22 @@ def parent_bodies(
 def full_body(
     entities: DataFrame,
     children: DataFrame | None = None,
-    max_children: int = K.MAX_CHILD_PAGES,
+    max_children: int | None = None,
     include_raw: bool = False,
     keep: tuple[str, ...] = (),
+    max_source_chars: int | None = None,
 ) -> DataFrame:
     """Uncut bodies: mail first, then own page text, then the text of child pages.
 
+    Whole texts and all pages unless ``max_source_chars`` or ``max_children`` limit them.
+
     Three branches by type, so mails and pages with text are never shuffled. ``keep``
     carries more entity columns along.
     """
     keep = (*keep, "raw") if include_raw else keep
-    mails = mail_bodies(entities, keep)
-    pages = page_bodies(entities, keep).withColumn("bodyTextFromChildren", F.lit(False))
-    joined = parent_bodies(entities, children, max_children, keep).withColumn(
+    mails = mail_bodies(entities, keep, max_source_chars)
+    pages = page_bodies(entities, keep, max_source_chars).withColumn("bodyTextFromChildren", F.lit(False))
+    joined = parent_bodies(entities, children, max_children, keep, max_source_chars).withColumn(
         "bodyTextFromChildren", F.lit(True)
     )
     rows = mails.unionByName(pages, allowMissingColumns=True).unionByName(
@@ -168,6 +197,8 @@ def full_body(
         "htmlSourceTruncated",
         "bodyTextFromChildren",
         "childPageCount",
+        "childPagesTotal",
+        "childPagesCut",
         *keep,
     )
 
@@ -189,13 +220,11 @@ def listed_keys(keys: Column, limit: int = K.MAX_LISTED_KEYS) -> Column:
     return T.bind(F.array_sort(F.coalesce(keys, F.array().cast("array<string>"))), render)
 
 
-def missing_body(
-    entities: DataFrame, children: DataFrame | None = None, max_children: int = K.MAX_CHILD_PAGES
-) -> DataFrame:
+def missing_body(entities: DataFrame, children: DataFrame | None = None) -> DataFrame:
     """Entities without any body text, with the property names they do have.
 
-    Only paged files without own text need a join, and it compares ids alone: the page
-    texts are reduced to a flag before they are ranked or moved.
+    Only paged files without own text need a join, and it compares ids alone: any page
+    with text counts, and its text is never moved.
     """
     sourced = _sources(entities).select(
         "id",
@@ -204,15 +233,12 @@ def missing_body(
         "present_keys",
         F.col("plain"),
         SH.evaluated_once(
-            F.coalesce(SH.full_mail_body(F.col("html")), SH.full_page_body(F.col("plain"))).isNull()
+            F.coalesce(SH.full_mail_body(F.col("html"), None), SH.full_page_body(F.col("plain"), None)).isNull()
         ).alias("bodyless"),
     )
     bodyless = sourced.filter("bodyless")
-    flagged = child_rows(entities if children is None else children).withColumn(
-        "text", F.when(F.col("text").isNotNull(), F.lit(""))
-    )
     with_pages = (
-        first_children(flagged, max_children)
+        child_rows(entities if children is None else children)
         .filter(F.col("text").isNotNull())
         .select(F.col("parent_id").alias("id"))
         .distinct()

@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A group above this many rows is reduced in slices first. No more than
-# rows / HOT_GROUP_ROWS groups can be that large, which bounds what is broadcast:
-# a hundred billion rows give at most a hundred thousand keys.
-HOT_GROUP_ROWS = 1_000_000
+# Slices that a group is reduced in before it comes together.
 SLICES = 256
 
 
@@ -24,35 +21,9 @@ def first_in_slices(
     """The first ``n`` rows of each ``key`` and their ``place``, counted from 1.
 
     Every group is reduced in slices of ``slice_by`` before it comes together, so a group
-    of any size costs its last task ``slices * n`` rows at most. Meant for narrow rows,
-    which may be the result of other work: they are computed once and moved twice.
+    of any size costs its last task ``slices * n`` rows at most. Spark drops what is beyond
+    the first ``n`` of a slice before each shuffle, so wide rows move in that number only.
     """
     sliced = rows.withColumn("slice", F.pmod(F.xxhash64(slice_by), F.lit(slices)))
     reduced = _first(sliced, [key, "slice"], order, n).select(*rows.columns)
     return _first(reduced, [key], order, n)
-
-
-def first_per_group(
-    rows: DataFrame,
-    key: str,
-    order: list[Column],
-    n: int,
-    slice_by: str,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-    slices: int = SLICES,
-) -> DataFrame:
-    """The same for wide rows that come straight from a scan, moved only once.
-
-    Spark already keeps only ``n`` rows per key and input partition before the shuffle.
-    That still sends ``n`` rows from every input partition of a huge group to one task,
-    so groups above ``hot_group_rows`` are first reduced in slices of ``slice_by``. The
-    count reads the key alone. When no group is large the broadcast is empty and the
-    adaptive plan drops that branch.
-    """
-    hot = rows.groupBy(key).count().filter(F.col("count") > hot_group_rows).select(key)
-    usual = rows.join(F.broadcast(hot), key, "left_anti")
-    large = rows.join(F.broadcast(hot), key, "left_semi").withColumn(
-        "slice", F.pmod(F.xxhash64(slice_by), F.lit(slices))
-    )
-    reduced = _first(large, [key, "slice"], order, n).select(*usual.columns)
-    return _first(usual.unionByName(reduced), [key], order, n)

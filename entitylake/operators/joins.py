@@ -26,7 +26,7 @@ def top_hit_ids(hits: DataFrame, count: int | None = None, search_key: str | Non
     named = hits.filter(F.col("own_id").isNotNull())
     size = B.top_hits(count)
     if search_key is None:
-        return named.orderBy("rank").limit(size).select(F.col("own_id").alias("id"))
+        return named.orderBy("rank", "own_id").limit(size).select(F.col("own_id").alias("id"))
     if size == 0:
         return named.limit(0).select(search_key, F.col("own_id").alias("id"))
     ranked = named.select(search_key, "rank", F.col("own_id").alias("id"))
@@ -42,11 +42,14 @@ def fetch_top_hits(entities: DataFrame, hits: DataFrame, count: int | None = Non
 
 
 def links(entities: DataFrame, key: str) -> DataFrame:
-    """``source_id, role, target_id`` for each id in a property."""
+    """``source_id, role, target_id`` for each id in a property.
+
+    Nested entities count by their id, not by the name that their property shows.
+    """
     return entities.select(
         F.col("id").alias("source_id"),
         F.lit(key).alias("role"),
-        F.explode(F.array_distinct(P.values(key))).alias("target_id"),
+        F.explode(F.array_distinct(P.linked(key))).alias("target_id"),
     )
 
 

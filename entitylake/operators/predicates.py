@@ -6,6 +6,8 @@ NULL, when the property is absent, so ``~`` means "does not have".
 
 from __future__ import annotations
 
+import calendar
+import re
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from operator import and_, or_
@@ -25,8 +27,6 @@ _COMPARE = {
     "<=": lambda x, y: x <= y,
     "=": lambda x, y: x == y,
 }
-# More type names than this are compared by a join instead of a list.
-MAX_LISTED_SCHEMAS = 10_000
 
 
 def search_text() -> Column:
@@ -76,22 +76,23 @@ def has_all(terms: Iterable[str], line: Column | None = None) -> Column:
     wanted = list(terms)
     if line is None:
         return on_text(lambda x: has_all(wanted, x))
-    return reduce(and_, [has_phrase(t, line) for t in wanted])
+    return reduce(and_, [has_phrase(t, line) for t in wanted], match_all())
 
 
 def has_any(terms: Iterable[str], line: Column | None = None) -> Column:
     wanted = list(terms)
     if line is None:
         return on_text(lambda x: has_any(wanted, x))
-    return reduce(or_, [has_phrase(t, line) for t in wanted])
+    return reduce(or_, [has_phrase(t, line) for t in wanted], F.lit(False))
 
 
 def must(*conditions: Column) -> Column:
-    return reduce(and_, conditions)
+    """All conditions; none at all hold for every entity."""
+    return reduce(and_, conditions, match_all())
 
 
 def must_not(*conditions: Column) -> Column:
-    return reduce(and_, [~c for c in conditions])
+    return reduce(and_, [~c for c in conditions], match_all())
 
 
 def is_close(word: Column, term: str, n: int) -> Column:
@@ -110,6 +111,8 @@ def has_fuzzy(term: str, n: int = 2, words: Column | None = None) -> Column:
 def near(terms: Iterable[str], n: int, words: Column | None = None) -> Column:
     """All terms within a stretch of text whose ends lie ``n`` words apart or less."""
     wanted = list(dict.fromkeys(w for t in terms for w in W.literal_words(t)))
+    if not wanted:
+        return match_all()
 
     def close_together(all_words: Column) -> Column:
         places = F.filter(
@@ -142,6 +145,11 @@ def values(key: str) -> Column:
     return F.try_element_at("props", F.lit(key))
 
 
+def linked(key: str) -> Column:
+    """Ids that a property points to."""
+    return F.coalesce(F.try_element_at("linked", F.lit(key)), values(key))
+
+
 def _any_value(key: str, test) -> Column:
     return F.coalesce(
         F.exists(values(key), lambda v: F.coalesce(test(v), F.lit(False))), F.lit(False)
@@ -165,8 +173,18 @@ def prop_date_cmp(key: str, op: str, date: str) -> Column:
     return _any_value(key, lambda v: _COMPARE[op](v.try_cast("date"), wanted))
 
 
+def _period_end(date: str) -> str:
+    """The last day of a year or month; a whole date as it is."""
+    parts = [int(part) for part in date.strip().split("-")] if re.fullmatch(r"\d{4}(-\d{1,2})?", date.strip()) else []
+    if not parts:
+        return date
+    month = parts[1] if len(parts) == 2 else 12
+    return f"{parts[0]:04d}-{month:02d}-{calendar.monthrange(parts[0], month)[1]:02d}"
+
+
 def prop_date_between(key: str, low: str, high: str) -> Column:
-    first, last = F.lit(low).cast("date"), F.lit(high).cast("date")
+    """Both ends included: an upper end that is a year or a month counts to its last day."""
+    first, last = F.lit(low).cast("date"), F.lit(_period_end(high)).cast("date")
     return _any_value(key, lambda v: v.try_cast("date").between(first, last))
 
 
@@ -199,18 +217,9 @@ schemata_is = schemata_in
 
 
 def with_descendants(entities: DataFrame, names: str | Iterable[str], closure: DataFrame) -> DataFrame:
-    """The same by a table of types and ancestors.
-
-    The type names below ``names`` are few in any real model; their number is checked
-    and they become a list that reaches the scan. A larger table is joined.
-    """
-    below = (
-        closure.filter(F.col("ancestor").isin(*B.schema_names(names))).select("schema").distinct()
-    )
-    found = [row.schema for row in below.limit(MAX_LISTED_SCHEMAS + 1).collect()]
-    if len(found) <= MAX_LISTED_SCHEMAS:
-        return entities.filter(F.col("schema").isin(*found))
-    return entities.join(below, "schema", "left_semi")
+    """The same by a table of types and ancestors, joined without a job of its own."""
+    below = closure.filter(F.col("ancestor").isin(*B.schema_names(names))).select("schema").distinct()
+    return entities.join(below, "schema", "left_semi").select(*entities.columns)
 
 
 def in_collection(collection_id: str) -> Column:

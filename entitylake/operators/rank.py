@@ -112,8 +112,15 @@ def write_postings(postings: DataFrame, path: str, buckets: int = POSTING_BUCKET
     ).parquet(path)
 
 
-def read_postings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("token", "id", "pos", "length")
+def read_postings(
+    spark: SparkSession, path: str, query: str | None = None, buckets: int = POSTING_BUCKETS
+) -> DataFrame:
+    """The stored postings; with a query only the buckets of its words are opened."""
+    stored = spark.read.parquet(path)
+    terms = [] if query is None else query_terms(query)
+    if terms:
+        stored = stored.filter(F.col("bucket").isin(*[F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)) for t in terms]))
+    return stored.select("token", "id", "pos", "length")
 
 
 def score_postings(postings: DataFrame, stats: DataFrame, query: str) -> DataFrame:
@@ -122,6 +129,8 @@ def score_postings(postings: DataFrame, stats: DataFrame, query: str) -> DataFra
     The document counts are one row per query word, so that side is safe to broadcast.
     """
     terms = query_terms(query)
+    if not terms:
+        raise ValueError("a query needs at least one word")
     counts = (
         postings.filter(F.col("token").isin(*terms))
         .groupBy("token", "id")

@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from entitylake import constants as K
 from entitylake.functions import bounds as B
+from entitylake.functions import text as T
 from entitylake.operators import predicates as P
 from entitylake.operators import rank as R
 from entitylake.operators.groups import first_in_slices
+from entitylake.session import written
 
 
 def matching(
@@ -49,35 +51,76 @@ def matching(
     return rows if where is None else rows.filter(where)
 
 
-# Beyond this offset a page is found by id and score alone and fetched afterwards.
-DEEP_OFFSET = 100_000
+def _place(score: Column, ident: Column) -> Column:
+    """What hits are ordered by, as one value: best score first, none last, ties by id."""
+    number = F.coalesce(score, F.lit(0.0))
+    return F.struct(
+        score.isNull().alias("unscored"),
+        (~F.isnan(number)).alias("finite"),
+        F.when(F.isnan(number), F.lit(0.0)).otherwise(-number).alias("below"),
+        ident.alias("id"),
+    )
 
 
 def _by_score(hits: DataFrame) -> DataFrame:
-    return hits.orderBy(F.col("score").desc_nulls_last(), F.col("id"))
+    return hits.orderBy(_place(F.col("score"), F.col("id")))
+
 
+def _place_at(keys: DataFrame, sizes: dict[int, int], rank: int) -> tuple[Row | None, int]:
+    """The place of the hit at a rank (from 0), and how many hits before it share that place.
 
-def page(hits: DataFrame, limit: int | None = None, offset: float | None = 0) -> DataFrame:
+    ``keys`` are sorted parts; only the part that holds the rank is read.
+    """
+    before = 0
+    for part in sorted(sizes):
+        if rank < before + sizes[part]:
+            inside = keys.filter(F.col("part") == part).groupBy("place").agg(F.count("*").alias("n"))
+            upto = inside.withColumn("upto", F.sum("n").over(Window.orderBy("place")))
+            found = upto.filter(F.col("upto") > rank - before).orderBy("place").first()
+            return found["place"], rank - before - (found["upto"] - found["n"])
+        before += sizes[part]
+    return None, 0
+
+
+def page(
+    hits: DataFrame,
+    limit: int | None = None,
+    offset: float | None = 0,
+    after: tuple[float | None, str | None] | None = None,
+) -> DataFrame:
     """One page of the hits, best score first, ties by id.
 
-    A limited page is a top-k: every task keeps its best rows, without a full sort. Two
-    cases would otherwise pull too much into one task: a deep page carries ids and scores
-    only until it is known, and an offset without a limit takes the skipped ids away
-    before the distributed sort.
+    A limit alone is a top-k. With an offset the places (score and id) of all hits are
+    written in sorted parts, the parts' sizes tell which one holds the page's first hit, and
+    the hits from that place on make the page: no task sees the skipped hits. Hits with equal
+    places are rows of their own, whether ids are missing or repeated. ``after`` continues
+    behind the last (score, id) of a page and needs no count; hits equal to it are behind it.
     """
     skip, size = B.clean_offset(offset), B.clamp_limit(limit)
-    if size is None:
-        if skip:
-            skipped = _by_score(hits.select("id", "score")).limit(skip).select("id")
-            hits = hits.join(skipped, "id", "left_anti").select(*hits.columns)
-        return _by_score(hits)
-    if skip > DEEP_OFFSET:
-        wanted = _by_score(hits.select("id", "score")).offset(skip).limit(size).select("id")
-        # At most one page of ids.
-        hits = hits.join(F.broadcast(wanted), "id", "left_semi").select(*hits.columns)
-        skip = 0
+    score, ident = F.col("score").cast("double"), F.col("id")
+    if after is not None:
+        last = _place(F.lit(after[0]).cast("double"), F.lit(after[1]).cast("string"))
+        hits = hits.filter(_place(score, ident) > last)
+    if skip:
+        places = hits.select(_place(score, ident).alias("place")).repartitionByRange("place")
+        keys = written(places.withColumn("part", F.spark_partition_id()))
+        sizes = {row["part"]: row["n"] for row in keys.groupBy("part").agg(F.count("*").alias("n")).collect()}
+        first, passed = _place_at(keys, sizes, skip)
+        if first is None:
+            return hits.limit(0)
+        start = F.struct(*[F.lit(first[k]).cast(t).alias(k) for k, t in _PLACE_TYPES.items()])
+        here = _place(score, ident)
+        rest = hits.filter(here >= start)
+        if passed:
+            # Of the hits that share the first place, some belong to the pages before.
+            tied = rest.filter(here == start).offset(passed)
+            rest = tied.unionByName(rest.filter(here > start))
+        hits = rest
     ordered = _by_score(hits)
-    return (ordered.offset(skip) if skip else ordered).limit(size)
+    return ordered if size is None else ordered.limit(size)
+
+
+_PLACE_TYPES = {"unscored": "boolean", "finite": "boolean", "below": "double", "id": "string"}
 
 
 def search(
@@ -157,19 +200,58 @@ def facets(hits: DataFrame, fields: Iterable[str], top: int | None = None) -> Da
 def fragments(
     text: Column, terms: list[str], count: int | None = None, length: int | None = None
 ) -> Column:
-    """Pieces of about ``length`` characters around the terms, each marked with ``<em>``."""
+    """Pieces of ``length`` characters around the terms (letters of any case), which are marked
+    with ``<em>``. Pieces don't overlap; the last may be shorter at the end of the text."""
     count = B.within("highlight_count", count or K.DEFAULT_HIGHLIGHT_COUNT, 1, K.MAX_HIGHLIGHT_COUNT)
     length = B.within(
         "highlight_length", length or K.DEFAULT_HIGHLIGHT_LENGTH, 1, K.MAX_HIGHLIGHT_LENGTH
     )
-    any_term = "|".join(re.escape(t) for t in terms)
-    side = max(0, (length - max(len(t) for t in terms)) // 2)
-    # A counted repetition is limited to 1000 in RE2; two levels give any length.
-    around = f"(?:.{{0,{side}}})" if side <= 1000 else f"(?:.{{0,1000}}){{0,{-(-side // 1000)}}}"
-    found = F.regexp_extract_all(text, F.lit(f"(?is){around}(?:{any_term}){around}"), F.lit(0))
-    return F.transform(
-        F.slice(found, 1, count),
-        lambda f: F.regexp_replace(f, f"(?is)({any_term})", "<em>$1</em>"),
+    wanted = [t for t in terms if t]
+    if not wanted:
+        return F.array().cast("array<string>")
+    pattern = f"(?isu)({'|'.join(re.escape(t) for t in sorted(wanted, key=len, reverse=True))})"
+    long = max(0, (length - max(len(t) for t in wanted)) // 2)
+
+    def starts(between: Column, words: Column) -> Column:
+        """Where windows begin: each around the first term that lies behind the last one.
+
+        One pass over the terms: the pieces between them and their own lengths sum up to their
+        places, and only ``count`` windows are kept at most.
+        """
+
+        def step(done: Column, i: Column) -> Column:
+            size, at = F.length(F.get(words, i)), done["at"] + F.length(F.get(between, i))
+
+            def placed(at: Column) -> Column:
+                begin = F.greatest(at - long, done["free"])
+                taken = F.struct(
+                    (at + size).alias("at"),
+                    F.greatest(begin + length, at + size).alias("free"),
+                    F.concat(done["starts"], F.array(begin)).alias("starts"),
+                )
+                passed = F.struct((at + size).alias("at"), done["free"].alias("free"), done["starts"].alias("starts"))
+                return F.when((at >= done["free"]) & (F.size(done["starts"]) < count), taken).otherwise(passed)
+
+            return T.bind(at, placed)
+
+        none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(words) - 1), none, step, lambda done: done["starts"])
+
+    def marked(start: Column) -> Column:
+        return F.regexp_replace(F.substring(text, start + 1, F.lit(length)), pattern, "<em>$1</em>")
+
+    none = F.array().cast("array<string>")
+    return F.coalesce(
+        T.bind(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
+            lambda words: F.when(F.size(words) == 0, none).otherwise(
+                T.bind(
+                    F.split(text, pattern, -1),
+                    lambda between: F.transform(starts(between, words), marked),
+                )
+            ),
+        ),
+        none,
     )
 
 

@@ -31,14 +31,15 @@ def highlight_source() -> Column:
     return F.when(F.col("highlight_is_array"), T.highlight_text(F.col("highlight")))
 
 
-def full_mail_body(html: Column) -> Column:
-    """Markdown of one guarded mail body."""
-    return H.mail_markdown(T.guard_html(html))
+def full_mail_body(html: Column, max_chars: int | None = K.MAX_CONVERSION_CHARS) -> Column:
+    """Markdown of one mail body, guarded unless ``max_chars`` is None."""
+    return H.mail_markdown(html if max_chars is None else T.guard_html(html, max_chars))
 
 
-def full_page_body(text: Column) -> Column:
-    """Plain text of one guarded page body; NULL when empty."""
-    return T.bind(T.unify_newlines(T.guard_plain(text)), lambda body: F.when(body != "", body))
+def full_page_body(text: Column, max_chars: int | None = K.MAX_CONVERSION_CHARS) -> Column:
+    """Plain text of one page body, guarded unless ``max_chars`` is None; NULL when empty."""
+    kept = text if max_chars is None else T.guard_plain(text, max_chars)
+    return T.bind(T.unify_newlines(kept), lambda body: F.when(body != "", body))
 
 
 def evaluated_once(value: Column) -> Column:
@@ -120,6 +121,7 @@ def slim(
         F.when(F.col("from_highlight"), F.lit(True)).alias("bodyTextFromSearchHighlight"),
         F.when(F.size("highlight") > 0, F.col("highlight")).alias("highlight"),
         "highlight_is_array",
+        "highlight_json",
         *(["raw"] if include_raw else []),
     )
 
@@ -211,9 +213,11 @@ def _references(name: str) -> Column:
 
 def record_variant() -> Column:
     """One slim record as VARIANT, with the field presence of the JSON output."""
+    # A preview takes the place of a property that happens to have its name.
+    own = F.map_filter("properties", lambda k, v: ~F.map_contains_key("previews", k))
     properties = F.map_filter(
         F.map_concat(
-            F.transform_values("properties", lambda k, v: F.to_variant_object(v)),
+            F.transform_values(own, lambda k, v: F.to_variant_object(v)),
             F.transform_values("previews", lambda k, v: v.cast("variant")),
             F.create_map(
                 F.lit("parent"), _references("parent"),
@@ -227,9 +231,12 @@ def record_variant() -> Column:
         lambda k, v: v.isNotNull(),
     )
     null = F.parse_json(F.lit("null"))
-    highlight = F.when(
-        F.col("highlight_is_array"), F.to_variant_object("highlight")
-    ).otherwise(F.get("highlight", F.lit(0)).cast("variant"))
+    highlight = F.coalesce(
+        F.try_parse_json("highlight_json"),
+        F.when(F.col("highlight_is_array"), F.to_variant_object("highlight")).otherwise(
+            F.get("highlight", F.lit(0)).cast("variant")
+        ),
+    )
     fields: list[Column] = [F.lit("schema"), F.col("schema").cast("variant")]
     fields += [F.lit("properties"), F.try_parse_json(F.to_json(properties))]
     for name in _ALWAYS_PRESENT:

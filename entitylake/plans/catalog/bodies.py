@@ -102,14 +102,14 @@ def lim5_child_order(spark, sf):
         "page_index",
         F.when(F.col("page_index") % 3 != 1, F.lit(7) - F.floor(F.col("page_index") / 2)).cast("double"),
     )
-    return B.first_children(B.child_rows(shuffled)).select("parent_id", "id", "place")
+    return B.first_children(B.child_rows(shuffled), 500).select("parent_id", "id", "place")
 
 
 @query(
     "bod1_mail_bodies",
-    f"""WITH m AS (SELECT page_id, html, {Q.markdown(Q.guard(Q.trim('html'), K.MAX_CONVERSION_CHARS, '>', 1))} AS md FROM pages)
+    f"""WITH m AS (SELECT page_id, html, {Q.markdown('html')} AS md FROM pages)
         SELECT 'mail.' || page_id AS id, 'Email' AS schema, md AS body, length(md) AS full_chars,
-        length(html) > {K.MAX_CONVERSION_CHARS} AS source_cut FROM m WHERE md IS NOT NULL""",
+        false AS source_cut FROM m WHERE md IS NOT NULL""",
 )
 def bod1_mail_bodies(spark, sf):
     return B.mail_bodies(TB.mails(spark, sf)).select(
@@ -124,7 +124,7 @@ def bod1_mail_bodies(spark, sf):
 @query(
     "bod2_page_bodies",
     f"""SELECT 'doc.' || doc_id AS id, md5({Q.trim('text')}) AS body, length({Q.trim('text')}) AS full_chars,
-        length(text) > {K.MAX_CONVERSION_CHARS} AS source_cut FROM documents WHERE {Q.trim('text')} <> ''""",
+        false AS source_cut FROM documents WHERE {Q.trim('text')} <> ''""",
 )
 def bod2_page_bodies(spark, sf):
     return B.page_bodies(TB.documents(spark, sf)).select(
@@ -231,7 +231,7 @@ def lim7_listed_keys(spark, sf):
 @query(
     "bod3_child_fallback",
     f"""WITH {_CHILD_BODIES} SELECT id, 'Pages' AS schema, md5(body) AS body, length(body) AS full_chars,
-        length(body) > {K.MAX_CONVERSION_CHARS} AS source_cut, pages FROM child""",
+        false AS source_cut, pages FROM child""",
 )
 def bod3_child_fallback(spark, sf):
     """Only files without own text fall back to their pages."""

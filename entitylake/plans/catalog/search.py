@@ -285,6 +285,20 @@ def lim2_offset_page(spark, sf):
     return S.page(_scored_orders(spark, sf), limit=25, offset=40.9).select("id", "score")
 
 
+@query(
+    "lim2_deep_page",
+    """SELECT l_orderkey || '.' || l_linenumber AS id, l_extendedprice AS score FROM lineitem
+       ORDER BY l_extendedprice DESC, id LIMIT 40 OFFSET (SELECT count(*) * 5 // 8 FROM lineitem)""",
+)
+def lim2_deep_page(spark, sf):
+    """A page far behind the middle of a large table."""
+    rows = TB.table(spark, sf, "lineitem")
+    hits = rows.select(
+        F.concat_ws(".", "l_orderkey", "l_linenumber").alias("id"), F.col("l_extendedprice").cast("double").alias("score")
+    )
+    return S.page(hits, limit=40, offset=rows.count() * 5 // 8).select("id", "score")
+
+
 @query(
     "lim3_result_order",
     """WITH s AS (SELECT 'order.' || o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS score FROM orders)
@@ -378,9 +392,10 @@ def lim4_bm25_postings(spark, sf):
 
 @query(
     "lim4_ranked_search",
-    f"""{_DOCS}, {_bm25('d', ['erst', 'with'])},
-        p AS (SELECT id, text, round(score, 6) AS score FROM r ORDER BY score DESC, id LIMIT 20)
-        SELECT id, score, len(regexp_extract_all(text, '(?is)(?:.{{0,48}})(?:erst|with)(?:.{{0,48}})')[:2]) AS fragments FROM p""",
+    f"""WITH RECURSIVE {_DOCS.removeprefix("WITH ")}, {_bm25('d', ['erst', 'with'])},
+        p AS (SELECT id, text, round(score, 6) AS score FROM r ORDER BY score DESC, id LIMIT 20),
+        {Q.fragments('p', 'text', ['erst', 'with'], 2, 100, ['id', 'score'])}
+        SELECT id, score, len(found) AS fragments FROM fragments""",
 )
 def lim4_ranked_search(spark, sf):
     hits = S.search(_docs(spark, sf), query="erst with", limit=20, highlight_count=2)
@@ -434,8 +449,7 @@ def post1_fuzzy_tokens(spark, sf):
 )
 def joi2_top_hits(spark, sf):
     hits = PL.scan_envelopes(TB.responses(spark, sf).filter(F.col("url").contains("/api/2/search")))
-    ordered = hits.orderBy("rank", "id").limit(50)
-    full = J.fetch_top_hits(TB.conversation_pages(spark, sf), ordered, 100)
+    full = J.fetch_top_hits(TB.conversation_pages(spark, sf), hits, 100)
     return full.select("id", F.length(F.get("texts.bodyText", F.lit(0))).alias("chars"))
 
 

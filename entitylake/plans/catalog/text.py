@@ -210,21 +210,29 @@ def scl15_first_text(spark, sf):
     )
 
 
-@query(
-    "scl16_fragments",
-    r"""WITH f AS (SELECT doc_id, regexp_extract_all(text, '(?is)(?:.{0,47})(?:tion|ment)(?:.{0,47})') AS found
-        FROM documents)
-        SELECT doc_id, len(found[:2]) AS n,
-        array_to_string(list_transform(found[:2], lambda x: regexp_replace(x, '(?is)(tion|ment)', '<em>\1</em>', 'g')), '|')
-        AS fragments FROM f""",
-)
-def scl16_fragments(spark, sf):
-    found = S.fragments(F.col("text"), ["tion", "ment"], count=2, length=98)
+def _fragments(terms: list[str], count: int, length: int) -> str:
+    return f"""WITH RECURSIVE {Q.fragments('documents', 'text', terms, count, length, ['doc_id'])}
+        SELECT doc_id, coalesce(len(found), 0) AS n, coalesce(array_to_string(found, '|'), '') AS fragments FROM fragments"""
+
+
+def _found(spark, sf, terms, count, length):
+    found = S.fragments(F.col("text"), terms, count=count, length=length)
     return table(spark, sf, "documents").select("doc_id", found.alias("found")).select(
         "doc_id", F.size("found").alias("n"), F.array_join("found", "|").alias("fragments")
     )
 
 
+@query("scl16_fragments", _fragments(["tion", "ment"], 2, 98))
+def scl16_fragments(spark, sf):
+    return _found(spark, sf, ["tion", "ment"], 2, 98)
+
+
+@query("scl16_long_fragments", _fragments(["ÉTION", "heit", "que"], 3, 5000))
+def scl16_long_fragments(spark, sf):
+    """Long pieces, and a term whose first letter is beyond ASCII."""
+    return _found(spark, sf, ["ÉTION", "heit", "que"], 3, 5000)
+
+
 @query(
     "set1_schema_names",
     """SELECT c_custkey, c_mktsegment || ' Email Pages' AS names FROM customer""",

@@ -16,14 +16,15 @@ _DOCS = f"WITH {Q.DOCS}, d AS (SELECT *, {Q.line('search_text')} AS line FROM do
 
 @query(
     "wrk1_follow_company",
-    """SELECT DISTINCT 'company.' || l_suppkey AS entity_id, 'supplier' AS role,
-       'contract.' || l_orderkey || '.' || l_suppkey AS source_id FROM lineitem
-       JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-       WHERE n_name = 'NATION_4'""",
+    """WITH c AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem
+         JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE n_name = 'NATION_8')
+       SELECT 'company.' || l_suppkey AS entity_id, 'supplier' AS role,
+         'contract.' || l_orderkey || '.' || l_suppkey AS source_id FROM c
+       UNION ALL SELECT 'order.' || l_orderkey, 'order', 'contract.' || l_orderkey || '.' || l_suppkey FROM c""",
 )
 def wrk1_follow_company(spark, sf):
     rows = TB.entities(spark, sf, TB.companies, TB.contracts, TB.people, TB.orders)
-    return WF.follow_company(rows, "nation 4", ["supplier", "order"])
+    return WF.follow_company(rows, "nation 8", ["supplier", "order"])
 
 
 @query(
@@ -109,18 +110,19 @@ def agg5_hits_per_query(spark, sf):
 
 @query(
     "wrk5_citations",
-    f"""WITH b AS (
+    rf"""WITH b AS (
           SELECT 'doc.' || doc_id AS id, 'Pages' AS schema, '{Q.ORIGIN}/entities/doc.' || doc_id AS link,
                  source AS collection_id, {Q.trim('text')} AS body FROM documents
           UNION ALL SELECT 'conv.' || conv_id, 'Pages', '{Q.ORIGIN}/entities/conv.' || conv_id, 'conversations',
-                 string_agg({Q.trim('text')}, chr(10) || chr(10) ORDER BY turn) FROM conversations GROUP BY conv_id),
-        e AS (SELECT *, length(regexp_extract(body, '(?is)^(.*?)of the', 1)) AS before FROM b
-          WHERE regexp_matches(body, '(?i)of the'))
+                 string_agg({Q.trim('text')}, chr(10) || chr(10) ORDER BY turn) FROM conversations GROUP BY conv_id
+          UNION ALL SELECT 'mail.' || page_id, 'Email', url, 'mail', {Q.markdown('html')} FROM pages),
+        e AS (SELECT *, length(regexp_extract(body, '(?is)^(.*?[^\p{{L}}\p{{N}}]|)of[^\p{{L}}\p{{N}}]+the(?:[^\p{{L}}\p{{N}}]|$)', 1)) AS before FROM b
+          WHERE regexp_matches(body, '(?is)(?:^|[^\p{{L}}\p{{N}}])of[^\p{{L}}\p{{N}}]+the(?:[^\p{{L}}\p{{N}}]|$)'))
         SELECT id, schema, link, collection_id,
           right(left(body, before), 97) || substring(body, before + 1, 6 + 97) AS excerpt FROM e""",
 )
 def wrk5_citations(spark, sf):
-    files = TB.entities(spark, sf, TB.documents, TB.conversation_files)
+    files = TB.entities(spark, sf, TB.documents, TB.conversation_files, TB.mails)
     return WF.citations(files, "of the", children=TB.conversation_pages(spark, sf))
 
 

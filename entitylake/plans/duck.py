@@ -156,6 +156,26 @@ def markdown(x: str) -> str:
     return f"nullif({trim(replace_all(out, K.COMMENT_PATTERN, ''))}, '')"
 
 
+def fragments(rows: str, text: str, terms: list[str], count: int, length: int, keep: list[str]) -> str:
+    """Tables that end in ``fragments``: term after term by recursion, for ``WITH RECURSIVE``."""
+    any_term = "|".join(terms)
+    side = max(0, (length - max(len(t) for t in terms)) // 2)
+    names = ", ".join(keep)
+    find = f"length(regexp_extract(rest, '(?is)^(.*?)(?:{any_term})', 1))"
+    size = f"length(regexp_extract(rest, '(?is)({any_term})', 1))"
+    return f"""walk AS (
+      SELECT {names}, {text} AS whole, {text} AS rest, 0 AS free, 0 AS n, NULL::INTEGER AS start FROM {rows}
+      UNION ALL
+      SELECT {names}, whole, whole[stop + 1:] AS rest, stop AS free, n + 1, start FROM (
+        SELECT *, greatest(start + {length}, place + wide) AS stop FROM (
+          SELECT {names}, whole, n, place, wide, greatest(place - {side}, free) AS start FROM (
+            SELECT {names}, whole, n, free, free + {find} AS place, {size} AS wide FROM walk
+            WHERE n < {count} AND regexp_matches(rest, '(?is)(?:{any_term})'))))),
+    fragments AS (
+      SELECT {names}, list(regexp_replace(whole[start + 1:start + {length}], '(?is)({any_term})', '<em>\\1</em>', 'g') ORDER BY n)
+        FILTER (start IS NOT NULL) AS found FROM walk GROUP BY ALL)"""
+
+
 def strip_highlight(x: str) -> str:
     plain = replace_all(x, K.HIGHLIGHT_TAG_PATTERN, "")
     return trim(replace_all(plain, K.WHITESPACE_CLASS + "+", " "))

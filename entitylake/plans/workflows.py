@@ -6,10 +6,11 @@ import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entitylake.functions import text as T
+from entitylake.functions import tokens as W
 from entitylake.operators import bodies as BD
 from entitylake.operators import joins as J
 from entitylake.operators import predicates as P
@@ -20,19 +21,23 @@ from entitylake.operators import shape as SH
 def follow_company(entities: DataFrame, name: str, link_keys: Iterable[str]) -> DataFrame:
     """Who is tied to the companies a phrase finds: ``entity_id, role, source_id``.
 
-    Links are followed both ways: ids the company names, and entities that name it.
+    Every link of an entity that names such a company is returned, so a contract that names
+    it leads on to the orders and people the contract names; and every link of the companies
+    themselves. One pass makes the links of all keys, another finds the companies.
     """
-    companies = S.matching(entities, P.has_phrase(name), schemata="Company")
-    edges = []
-    for key in link_keys:
-        outgoing = J.links(companies, key).select(
-            F.col("target_id").alias("entity_id"), "role", "source_id"
-        )
-        incoming = J.referring(entities, key, companies).select(
-            F.col("target_id").alias("entity_id"), "role", "source_id"
-        )
-        edges += [outgoing, incoming]
-    return reduce(DataFrame.unionByName, edges)
+    def named_links(key: str) -> Column:
+        ids = F.coalesce(F.array_distinct(P.linked(key)), F.array().cast("array<string>"))
+        return F.transform(ids, lambda target: F.struct(F.lit(key).alias("role"), target.alias("entity_id")))
+
+    pairs = F.flatten(F.array(*[named_links(key) for key in dict.fromkeys(link_keys)]))
+    links = entities.filter(F.col("id").isNotNull()).select(F.col("id").alias("source_id"), F.inline(pairs))
+    companies = S.matching(entities, P.has_phrase(name), schemata="Company").select("id").distinct()
+    named = companies.select(F.col("id").alias("entity_id"), F.lit(True).alias("named"))
+    own = companies.select(F.col("id").alias("source_id"), F.lit(True).alias("own"))
+    marked = links.join(named, "entity_id", "left").join(own, "source_id", "left")
+    # An entity's links come from one row of the table, which bounds its group.
+    tied = F.max(F.coalesce("named", "own", F.lit(False))).over(Window.partitionBy("source_id"))
+    return marked.withColumn("tied", tied).filter("tied").select("entity_id", "role", "source_id")
 
 
 def mentions(
@@ -112,14 +117,21 @@ def citations(
 ) -> DataFrame:
     """``id, schema, link, collection_id, excerpt`` with a verbatim piece of the body.
 
+    The phrase is found by its words, as the search finds it: in any case, with any signs or
+    white space between them.
+
     Bodies are built first and searched afterwards, because the text of a paged file may
     only exist on its pages.
     """
+    words = W.literal_words(phrase)
+    if not words:
+        raise ValueError("a phrase needs at least one word")
     body = F.coalesce("bodyMarkdown", "bodyText")
     side = max(0, (excerpt_chars - len(phrase)) // 2)
     bodies = BD.full_body(entities, children, keep=("link", "collection_id"))
+    phrase_pattern = W.SEPARATOR_PATTERN.join(re.escape(word) for word in words)
     excerpt = T.bind(
-        F.regexp_instr(body, F.lit(f"(?i){re.escape(phrase)}")),
+        F.regexp_instr(body, F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}]){phrase_pattern}(?![\p{{L}}\p{{N}}])")),
         lambda at: F.when(
             at > 0,
             F.substring(

@@ -3,7 +3,9 @@
 ``texts`` holds the string values of the large body fields in a struct of its own, so
 that a scan reads only the body field it needs and searches over ``props`` read none.
 ``heavy_props`` repeats a body field only where its display values differ from its
-string values (numbers or objects in a body field), which is nearly never.
+string values (numbers or objects in a body field), which is nearly never. ``linked`` has
+the ids of properties that hold nested entities, and ``highlight_json`` a highlight that is
+not only strings; both are NULL for most entities.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ ENTITIES = T.StructType(
             "page_index": T.DoubleType(),
             "rank": T.IntegerType(),
             "raw": _TEXT,
+            "linked": _VALUE_LISTS,
+            "highlight_json": _TEXT,
         }.items()
     ]
 )

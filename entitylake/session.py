@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def local_session(cores: str = "8", app: str = "entitylake", memory: str = "20g") -> SparkSession:
+def local_session(cores: str = "8", app: str = "entitylake", memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and measurements."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,13 +29,19 @@ def local_session(cores: str = "8", app: str = "entitylake", memory: str = "20g"
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only in local mode."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name below the one the cluster shares; a temporary one only in local mode."""
+    root = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
+        root = tempfile.mkdtemp(prefix="run-")
+        spark.conf.set(CHECKPOINT_SETTING, root)
+    return f"{root.rstrip('/')}/lake-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame) -> DataFrame:
+    """The table, written once to the shared folder and read back."""
+    path = shared_folder(table.sparkSession)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

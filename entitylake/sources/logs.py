@@ -57,22 +57,31 @@ def classify(responses: DataFrame) -> DataFrame:
 def shape_log(responses: DataFrame, console: bool = False) -> DataFrame:
     """``response_id, url, status, kind, body`` with slim bodies where they apply.
 
-    ``response_id`` names one response. Hits of a search response come together again
-    under that id; a response is one page of hits, which bounds the group.
+    One row for each row of the log. Hits of a search response come together again under its
+    columns and the hash of its body; a response that was logged several times, or without an
+    id, is shaped once and returned as often. What repeats is combined before the shuffle, so
+    a group holds the hits of one page.
     """
-    known = classify(responses)
+    known = classify(responses).withColumn("body_key", F.md5("body"))
     head = ("response_id", "url", "status", "kind")
+    keyed = (*head, "body_key")
     searches = known.filter(F.col("kind") == "search")
-    hits = PL.scan_envelopes(searches, keep=head)
-    records = SH.to_json_records(SH.search_records(hits, keep=(*head, "rank")), keep=(*head, "rank"))
-    # One empty row per response keeps those without hits.
-    rows = records.select(*head, F.struct("rank", "json").alias("hit")).unionByName(
-        searches.select(*head, F.lit(None).cast("struct<rank: int, json: string>").alias("hit"))
+    hits = PL.scan_envelopes(searches, keep=keyed)
+    records = SH.to_json_records(SH.search_records(hits, keep=(*keyed, "rank")), keep=(*keyed, "rank"))
+    # One row per response without a hit counts its copies and keeps those without hits.
+    rows = records.select(*keyed, "rank", "json", F.lit(0).alias("copies")).unionByName(
+        searches.select(*keyed, F.lit(-1).alias("rank"), F.lit(None).cast("string").alias("json"), F.lit(1).alias("copies"))
     )
-    listed = F.transform(F.array_sort(F.collect_list("hit")), lambda h: h.getField("json"))
-    search_bodies = rows.groupBy(*head).agg(
-        F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("body")
+    once = rows.groupBy(*keyed, "rank").agg(F.first("json").alias("json"), F.sum("copies").alias("copies"))
+    hit = F.when(F.col("rank") >= 0, F.struct("rank", "json"))
+    listed = F.transform(F.array_sort(F.collect_list(hit)), lambda h: h.getField("json"))
+    grouped = once.groupBy(*keyed).agg(
+        F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("body"),
+        F.sum("copies").cast("int").alias("copies"),
     )
+    search_bodies = grouped.select(
+        *head, "body", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")
+    ).drop("copy")
     entities = known.filter((F.col("kind") == "entity") & D.is_object("doc"))
     entity_bodies = SH.to_json_records(
         SH.entity_records(PL.scan_entities(entities, "body", keep=head), keep=head), keep=head

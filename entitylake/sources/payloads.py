@@ -142,6 +142,8 @@ def entities_from_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> Data
         D.first_number(_prop("index")).alias("page_index"),
         "rank",
         F.to_json("doc").alias("raw"),
+        D.linked_map("p").alias("linked"),
+        D.mixed_highlight("try_variant_get(doc, '$.highlight', 'variant')").alias("highlight_json"),
     )
     return shaped if keep else S.conform(shaped)
 

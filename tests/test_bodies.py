@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from entitylake import constants as K
 from entitylake.operators import bodies as B
-from entitylake.operators.groups import first_per_group
+from entitylake.operators.groups import first_in_slices
 
 PARENT = {"id": "doc.123", "schema": "Pages", "properties": {"fileName": ["f.pdf"], "blank": [""], "gone": []}}
 
@@ -22,7 +22,7 @@ def test_mail_and_own_text(entity):
         B.full_body(
             entity(
                 {"id": "m", "schema": "Email", "properties": {"bodyHtml": ["<p>Hello <b>world</b></p>"]}},
-                {"id": "p", "schema": "Pages", "properties": {"bodyText": ["Chapter one.\n\nChapter two."]}},
+                {"id": "p", "schema": "Pages", "properties": {"bodyText": ["Part A.\n\nPart B."]}},
                 {"id": "h", "schema": "Pages", "properties": {}, "highlight": ["<em>no</em>"]},
             )
         )
@@ -30,7 +30,7 @@ def test_mail_and_own_text(entity):
     assert set(rows) == {"m", "p"}
     assert rows["m"].bodyMarkdown == "Hello **world**" and rows["m"].bodyMarkdownFullChars == 15
     assert rows["m"].htmlSourceTruncated is False and rows["m"].bodyTextFromChildren is None
-    assert rows["p"].bodyText == "Chapter one.\n\nChapter two." and rows["p"].bodyTextFromChildren is False
+    assert rows["p"].bodyText == "Part A.\n\nPart B." and rows["p"].bodyTextFromChildren is False
 
 
 def test_children_in_index_order(entity):
@@ -57,9 +57,28 @@ def test_own_text_wins_over_children(entity):
 def test_page_limit_counts_pages_without_text(entity):
     corpus = entity(PARENT, page(1, " "), page(2, "b"), page(3, "c"))
     row = by_id(B.full_body(corpus, max_children=2))["doc.123"]
-    assert row.bodyText == "b" and row.childPageCount == 1
+    assert row.bodyText == "b" and (row.childPageCount, row.childPagesTotal, row.childPagesCut) == (1, 3, True)
     with pytest.raises(ValueError):
-        B.full_body(corpus, max_children=501)
+        B.full_body(corpus, max_children=0)
+    with pytest.raises(ValueError):
+        B.first_children(B.child_rows(corpus), 501)
+
+
+def test_a_file_of_many_pages_comes_back_whole(spark):
+    rows = [("x", float(i), f"p{i}", None if i % 5 == 4 else f"text {i}") for i in range(1200)]
+    pages = spark.createDataFrame(rows[::-1], "parent_id string, position double, id string, text string")
+    row = B.child_bodies(pages).first()
+    assert row.bodyText == "\n\n".join(t for *_, t in rows if t)
+    assert (row.childPageCount, row.childPagesTotal, row.childPagesCut) == (960, 1200, False)
+    late = pages.withColumn("text", F.when(F.col("position") > 900, F.col("text")))
+    assert B.child_bodies(late).first().bodyText.startswith("text 901\n\n")
+
+
+def test_a_file_too_long_for_one_row_is_named(spark, monkeypatch):
+    monkeypatch.setattr(B, "MAX_ROW_CHARS", 50)
+    pages = spark.createDataFrame([("big file", float(i), f"p{i}", "t" * 20) for i in range(3)], "parent_id string, position double, id string, text string")
+    with pytest.raises(Exception, match="too long for one row: file big file"):
+        B.child_bodies(pages).collect()
 
 
 def joined_like_one_text(texts):
@@ -78,7 +97,7 @@ def test_guard_over_many_pages(spark, extra):
     texts = ["a" * base, "b\n" + "b" * (base - 2), "c" * base, "d\n" + "e" * (base - 8 + extra), "f" * 30, "g" * base]
     rows = [("x", float(i), f"p{i}", t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "parent_id string, position double, id string, text string")
-    row = B.child_bodies(df).first()
+    row = B.child_bodies(df, max_source_chars=K.MAX_CONVERSION_CHARS).first()
     assert (row.bodyText, row.htmlSourceTruncated) == joined_like_one_text(texts)
     assert row.childPageCount == len(texts)
 
@@ -112,15 +131,15 @@ def test_present_keys_keep_blank_strings(entity):
     assert sorted(row.present_keys) == ["blank", "fileName"]
 
 
-def test_first_per_group_with_a_hot_group(spark):
+def test_first_in_slices_of_a_hot_group(spark):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("key"),
         (F.col("id") * 7919 % 5003).alias("rank"),
         "id",
     )
     order = [F.col("rank"), F.col("id")]
-    plain = first_per_group(rows, "key", order, 7, slice_by="id")
-    sliced = first_per_group(rows, "key", order, 7, slice_by="id", hot_group_rows=60, slices=4)
+    plain = first_in_slices(rows, "key", order, 7, slice_by="id", slices=1)
+    sliced = first_in_slices(rows, "key", order, 7, slice_by="id", slices=4)
     collect = lambda df: sorted(map(tuple, df.select("key", "rank", "id", "place").collect()))
     assert collect(plain) == collect(sliced)
     groups = {}
@@ -133,6 +152,6 @@ def test_first_per_group_with_a_hot_group(spark):
 def test_stage_by_stage_limit_reaches_the_shuffle(spark, sf):
     from entitylake.sources import testbed as TB
 
-    plan = B.child_bodies(B.child_rows(TB.conversation_pages(spark, sf)))
+    plan = B.first_children(B.child_rows(TB.conversation_pages(spark, sf)), 3)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "CartesianProduct" not in text

@@ -16,15 +16,15 @@ def record(entities, **options):
     return only
 
 
-MAIL = {"id": "m1", "schema": "Email", "properties": {"subject": ["S"], "bodyHtml": ["<html>Long content</html>"]}}
+MAIL = {"id": "m1", "schema": "Email", "properties": {"subject": ["S"], "bodyHtml": ["<html>Figures of March</html>"]}}
 
 
 def test_mail_body_replaces_html(entity):
     out = record(entity(MAIL))
     assert "bodyHtml" not in out["properties"]
-    assert out["properties"]["bodyMarkdown"] == ["Long content"]
+    assert out["properties"]["bodyMarkdown"] == ["Figures of March"]
     assert out["truncatedBody"] is False
-    assert out["bodyMarkdownFullChars"] == out["bodyMarkdownReturnedChars"] == 12
+    assert out["bodyMarkdownFullChars"] == out["bodyMarkdownReturnedChars"] == len("Figures of March")
 
 
 def test_preview_length_cuts_the_body(entity):
@@ -43,9 +43,9 @@ def test_one_over_hard_cut_does_not_count_as_truncated(entity):
 
 
 def test_supplied_markdown_is_dropped_only_with_html(entity):
-    props = {"bodyHtml": ["<p>From bodyHtml</p>"], "bodyMarkdown": ["<div>must not leak</div>"]}
+    props = {"bodyHtml": ["<p>Shown part</p>"], "bodyMarkdown": ["<div>older copy</div>"]}
     assert record(entity({"schema": "Email", "properties": props}))["properties"] == {
-        "bodyMarkdown": ["From bodyHtml"]
+        "bodyMarkdown": ["Shown part"]
     }
     alone = {"schema": "Email", "properties": {"bodyMarkdown": ["kept"]}}
     out = record(entity(alone))
@@ -62,7 +62,7 @@ def test_content_fields_on_request(entity):
 
 
 def test_nested_objects_are_readable(entity):
-    related = {"id": "p", "schema": "Person", "properties": {"name": ["Alice Example"]}}
+    related = {"id": "p", "schema": "Person", "properties": {"name": ["Mira Tolle"]}}
     props = {
         "relatedEntities": [related],
         "plainObject": [{"note": "nested"}],
@@ -77,7 +77,7 @@ def test_nested_objects_are_readable(entity):
         "none": None,
     }
     assert record(entity({"schema": "Email", "properties": props}))["properties"] == {
-        "relatedEntities": ["Alice Example"],
+        "relatedEntities": ["Mira Tolle"],
         "plainObject": ['{"note":"nested"}'],
         "caption": ["C"],
         "label": ["L"],
@@ -228,3 +228,17 @@ def test_argument_bounds(entity):
         SH.search_records(entity(MAIL), max_array_values_per_field=201)
     with pytest.raises(ValueError):
         SH.search_records(entity(MAIL), content_preview_chars=-1)
+
+
+def test_highlights_that_are_no_strings(entity):
+    mixed = [{"x": "secret"}, None, 5, "a <em>word</em>"]
+    out = record(entity({"schema": "Pages", "properties": {"title": ["t"]}, "highlight": mixed}))
+    assert out["highlight"] == mixed and out["properties"]["bodyText"] == ["a word"]
+    none = record(entity({"schema": "Pages", "properties": {"title": ["t"]}, "highlight": [{"x": 1}, None]}))
+    assert "bodyText" not in none["properties"] and none["highlight"] == [{"x": 1}, None]
+
+
+def test_previews_take_the_place_of_their_names(entity):
+    props = {"bodyText": ["whole text"], "rawText": ["raw"], "rawTextPreview": ["mine"]}
+    out = record(entity({"id": "a", "schema": "Pages", "properties": props}), content_preview_chars=3)
+    assert out["properties"]["rawTextPreview"] == "raw"
