@@ -1,8 +1,8 @@
 """Display values of JSON properties held as VARIANT.
 
 Expressions cannot recurse, so nesting is opened level by level: lists to the depth the
-display rule itself allows, names inside objects to ``NAME_DEPTH`` levels (a list and an
-object are one level each). Objects whose name lies deeper are shown by id or as JSON.
+display rule itself allows, names inside objects and numbers inside lists by a fold with as
+many steps as the value's own type has levels.
 
 The fragments are SQL text because one parsed expression is far cheaper to build than
 hundreds of Column calls. ``v`` is always a SQL expression of type VARIANT.
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from entitylake import constants as K
 
-NAME_DEPTH = 6
-
 _WS = "'" + K.WHITESPACE.replace("\\", "\\\\") + "'"
 _fresh = count()
 
@@ -80,6 +78,21 @@ def _expand(values: str, step: Callable[[str], str], times: int) -> str:
     return values
 
 
+def _opened(v: str, step: Callable[[str], str]) -> str:
+    """The items that ``step`` gives for ``v`` and for what comes out, to the last level.
+
+    The type of a value names each level once, whatever the length of its lists, so its
+    brackets bound the number of steps.
+    """
+    done, i, item = _name("s"), _name("i"), _name("x")
+
+    def fold(kind: str) -> str:
+        levels = f"sequence(0, length({kind}) - length(replace({kind}, '<', '')))"
+        return f"aggregate({levels}, array({v}), ({done}, {i}) -> flatten(transform({done}, {item} -> {step(item)})))"
+
+    return _let(_kind(v), fold)
+
+
 def _unnest(x: str) -> str:
     return f"IF({_is_array(x)}, {_items(x)}, array({x}))"
 
@@ -104,7 +117,7 @@ def _first_name(v: str) -> str:
 
     def search(start: str) -> str:
         leaf, kept = _name("n"), _name("n")
-        leaves = _expand(f"array({start})", _unnest_name, NAME_DEPTH)
+        leaves = _opened(start, _unnest_name)
         return (
             f"get(filter(transform({leaves}, {leaf} -> {_nonblank(_text(leaf))}), "
             f"{kept} -> {kept} IS NOT NULL), 0)"
@@ -178,22 +191,21 @@ def _text_list(v: str) -> str:
     )
 
 
-def _first_number(v: str, depth: int = 2) -> str:
-    """A number, the integer prefix of a string, or the first of these in a list."""
-    kind = _kind(v)
-    prefix = f"regexp_extract(CAST({v} AS STRING), '^{_ws_class()}*([+-]?[0-9]+)', 1)"
-    scalar = (
-        f"CASE WHEN {kind} = 'STRING' THEN try_cast(nullif({prefix}, '') AS DOUBLE) "
-        f"WHEN {kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL') "
-        f"THEN try_variant_get({v}, '$', 'double') END"
-    )
-    if depth == 0:
-        return scalar
-    item = _name("i")
-    return (
-        f"IF({_is_array(v)}, get(filter(transform({_items(v)}, {item} -> "
-        f"{_first_number(item, depth - 1)}), {item} -> {item} IS NOT NULL), 0), {scalar})"
-    )
+def _first_number(v: str) -> str:
+    """A number, the integer prefix of a string, or the first of these in a list of any depth."""
+
+    def scalar(x: str) -> str:
+        kind = _kind(x)
+        prefix = f"regexp_extract(CAST({x} AS STRING), '^{_ws_class()}*([+-]?[0-9]+)', 1)"
+        return (
+            f"CASE WHEN {kind} = 'STRING' THEN try_cast(nullif({prefix}, '') AS DOUBLE) "
+            f"WHEN {kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL') "
+            f"THEN try_variant_get({x}, '$', 'double') END"
+        )
+
+    item, kept = _name("i"), _name("k")
+    found = f"filter(transform({_opened(v, _unnest)}, {item} -> {scalar(item)}), {kept} -> {kept} IS NOT NULL)"
+    return f"IF({_is_array(v)}, get({found}, 0), {scalar(v)})"
 
 
 def _ws_class() -> str:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 from operator import or_
 
 from pyspark.sql import Column
@@ -67,8 +67,9 @@ PAIR_RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 # A reference ends the text before it, so splitting on '&' finds each one exactly once
 # and '&amp;lt;' is decoded to '&lt;' and no further.
 REFERENCE_PATTERN = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
-# The Latin-1, symbol and Greek names of HTML 4, as the standard library lists them.
-NAMED_REFERENCES = {**name2codepoint, "apos": 39}
+# The names of HTML 5 that end in a semicolon and stand for one character, as the standard
+# library lists them.
+NAMED_REFERENCES = {name[:-1]: ord(text) for name, text in html5.items() if name.endswith(";") and len(text) == 1}
 _MAX_CODEPOINT = 0x10FFFF
 
 
@@ -157,7 +158,10 @@ def _codepoint_text(codepoint: Column) -> Column:
 
 def decode_references(text: Column) -> Column:
     """Replace named, decimal and hexadecimal character references, each once."""
-    named = T.literal_map({name: chr(cp) for name, cp in sorted(NAMED_REFERENCES.items())})
+    # A constant map is searched from its start: the usual names come first and alone.
+    usual = T.literal_map({name: chr(NAMED_REFERENCES[name]) for name in sorted(name2codepoint)})
+    others = {name: chr(cp) for name, cp in sorted(NAMED_REFERENCES.items()) if name not in name2codepoint}
+    named = T.literal_map(others)
 
     def decode(piece: Column, name: Column) -> Column:
         number = F.when(
@@ -168,7 +172,7 @@ def decode_references(text: Column) -> Column:
             F.when(name == "amp", F.lit("&"))
             .when(name == "nbsp", F.lit(chr(160)))
             .when(number.isNotNull(), _codepoint_text(number.try_cast("bigint")))
-            .otherwise(F.try_element_at(named, name))
+            .otherwise(F.coalesce(F.try_element_at(usual, name), F.try_element_at(named, name)))
         )
         rest = F.substring(piece, F.length(name) + 2, F.length(piece))
         return F.coalesce(

@@ -54,34 +54,57 @@ def classify(responses: DataFrame) -> DataFrame:
     return PL.decode(responses, "body").withColumn("kind", response_kind()).drop("raw_text")
 
 
-def shape_log(responses: DataFrame, console: bool = False) -> DataFrame:
-    """``response_id, url, status, kind, body`` with slim bodies where they apply.
+def _search_bodies(searches: DataFrame, head: tuple[str, ...], **options) -> DataFrame:
+    """``head, records, raw``: the slim hits of each search response as a JSON list.
 
-    One row for each row of the log. Hits of a search response come together again under its
-    columns and the hash of its body; a response that was logged several times, or without an
-    id, is shaped once and returned as often. What repeats is combined before the shuffle, so
-    a group holds the hits of one page.
+    One row for each row of the input (columns ``head``, ``body``, ``doc``). A response that
+    occurs several times is shaped once and returned as often; what repeats is combined
+    before the shuffle, so a group holds the hits of one page.
     """
-    known = classify(responses).withColumn("body_key", F.md5("body"))
-    head = ("response_id", "url", "status", "kind")
+    named = searches.withColumn("body_key", F.md5("body"))
     keyed = (*head, "body_key")
-    searches = known.filter(F.col("kind") == "search")
-    hits = PL.scan_envelopes(searches, keep=keyed)
-    records = SH.to_json_records(SH.search_records(hits, keep=(*keyed, "rank")), keep=(*keyed, "rank"))
+    hits = PL.scan_envelopes(named, keep=keyed)
+    records = SH.to_json_records(
+        SH.search_records(hits, keep=(*keyed, "rank"), **options), keep=(*keyed, "rank")
+    )
     # One row per response without a hit counts its copies and keeps those without hits.
-    rows = records.select(*keyed, "rank", "json", F.lit(0).alias("copies")).unionByName(
-        searches.select(*keyed, F.lit(-1).alias("rank"), F.lit(None).cast("string").alias("json"), F.lit(1).alias("copies"))
+    none = F.lit(None).cast("string")
+    rows = records.select(*keyed, "rank", "json", none.alias("raw"), F.lit(0).alias("copies")).unionByName(
+        named.select(*keyed, F.lit(-1).alias("rank"), none.alias("json"), F.col("body").alias("raw"), F.lit(1).alias("copies"))
+    )
+    once = rows.groupBy(*keyed, "rank").agg(
+        F.first("json").alias("json"), F.first("raw").alias("raw"), F.sum("copies").alias("copies")
     )
-    once = rows.groupBy(*keyed, "rank").agg(F.first("json").alias("json"), F.sum("copies").alias("copies"))
     hit = F.when(F.col("rank") >= 0, F.struct("rank", "json"))
     listed = F.transform(F.array_sort(F.collect_list(hit)), lambda h: h.getField("json"))
     grouped = once.groupBy(*keyed).agg(
-        F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("body"),
+        F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("records"),
+        F.first("raw", ignorenulls=True).alias("raw"),
         F.sum("copies").cast("int").alias("copies"),
     )
-    search_bodies = grouped.select(
-        *head, "body", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")
+    return grouped.select(
+        *head, "records", "raw", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")
     ).drop("copy")
+
+
+def search_output(responses: DataFrame, include_raw: bool = False, **options) -> DataFrame:
+    """``response_id, url, json`` of each good search response: the list of its slim hits, or
+    ``{results, raw}`` with the whole response beside it."""
+    searches = classify(responses).filter(F.col("kind") == "search")
+    shaped = _search_bodies(searches, ("response_id", "url"), **options)
+    json = F.col("records")
+    if include_raw:
+        json = F.concat(F.lit('{"results":'), "records", F.lit(',"raw":'), "raw", F.lit("}"))
+    return shaped.select("response_id", "url", json.alias("json"))
+
+
+def shape_log(responses: DataFrame, console: bool = False) -> DataFrame:
+    """``response_id, url, status, kind, body`` with slim bodies where they apply; one row for
+    each row of the log, also where responses repeat or have no id."""
+    known = classify(responses)
+    head = ("response_id", "url", "status", "kind")
+    searches = known.filter(F.col("kind") == "search")
+    search_bodies = _search_bodies(searches, head).select(*head, F.col("records").alias("body"))
     entities = known.filter((F.col("kind") == "entity") & D.is_object("doc"))
     entity_bodies = SH.to_json_records(
         SH.entity_records(PL.scan_entities(entities, "body", keep=head), keep=head), keep=head

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from entitylake import schema as S
 
@@ -25,10 +26,12 @@ def write_entities(entities: DataFrame, path: str, mode: str = "errorifexists")
 
 
 def read_entities(spark: SparkSession, path: str, schemas: list[str] | None = None) -> DataFrame:
-    """The table again; ``schemas`` prunes whole directories."""
-    table = spark.read.parquet(path)
+    """The table again. ``schema`` is read from the directories, so every condition on the
+    type, however it is written, opens only the directories it wants; ``schemas`` is one."""
+    stored = StructType([*S.ENTITIES.fields, StructField("schema_dir", StringType())])
+    table = spark.read.schema(stored).parquet(path).withColumn("schema", F.col("schema_dir"))
     if schemas:
-        table = table.filter(F.col("schema_dir").isin(*schemas))
+        table = table.filter(F.col("schema").isin(*schemas))
     return table.select(*S.COLUMNS)
 
 

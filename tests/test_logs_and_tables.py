@@ -61,6 +61,12 @@ def test_table_round_trip(spark, sf, tmp_path):
     TA.write_entities(corpus, path)
     stored = TA.read_entities(spark, path)
     assert stored.count() == corpus.count() and stored.columns == S.COLUMNS
+    from entitylake.operators import bodies as B
+
+    for rows in (B.page_bodies(stored), stored.filter("schema = 'Page'")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "schema_dir" in plan.split("PartitionFilters")[1][:120]
+    assert sorted(r.id for r in B.full_body(stored).collect()) == sorted(r.id for r in B.full_body(corpus).collect())
     people = TA.read_entities(spark, path, ["Person"])
     assert people.count() == TB.people(spark, sf).count()
     plan = people._jdf.queryExecution().executedPlan().toString()
@@ -103,3 +109,7 @@ def test_logged_rows_stay_rows(spark):
     assert sorted(shaped, key=str) == sorted(
         [("r1", "search", ["a", "b"]), ("r1", "search", ["a", "b"]), ("r1", "search", ["c"]), (None, "search", ["d"]),
          (None, "search", []), (None, "search", []), ("x", "other", "down")], key=str)
+    plain = [json.loads(r.json) for r in L.search_output(log).collect()]
+    assert sorted([h["id"] for h in hits] for hits in plain) == [[], [], ["a", "b"], ["a", "b"], ["c"], ["d"]]
+    both = [json.loads(r.json) for r in L.search_output(log, include_raw=True).collect()]
+    assert all([h["id"] for h in x["results"]] == [h["id"] for h in x["raw"]["results"]] for x in both) and len(both) == 6

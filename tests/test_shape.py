@@ -242,3 +242,15 @@ def test_previews_take_the_place_of_their_names(entity):
     props = {"bodyText": ["whole text"], "rawText": ["raw"], "rawTextPreview": ["mine"]}
     out = record(entity({"id": "a", "schema": "Pages", "properties": props}), content_preview_chars=3)
     assert out["properties"]["rawTextPreview"] == "raw"
+
+
+def test_names_and_numbers_at_any_depth(entity):
+    name = "Deep Name"
+    for level in range(10):
+        name = {"name": name} if level % 3 else [{"properties": {"name": [name]}}]
+    number = "7th"
+    for _ in range(9):
+        number = [[], number]
+    rows = entity({"id": "a", "schema": "Page", "properties": {"owner": [{"caption": name, "id": "x"}], "index": number, "document": ["d"]}})
+    row = rows.first()
+    assert row.props["owner"] == ["Deep Name"] and row.page_index == 7.0

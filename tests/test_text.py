@@ -130,3 +130,9 @@ def test_bounds():
         B.required_id("  ")
     with pytest.raises(ValueError):
         B.within("x", 0, 1, 200)
+
+
+def test_character_names_of_html_5(one):
+    from entitylake.functions import html as H
+
+    assert one(H.decode_references, "&check; &lbrace;&eacute; &amp;lt; &nosuchname; &AMP;") == "✓ {é &lt; &nosuchname; &"
