@@ -8,15 +8,17 @@ classes are compared exhaustively; larger ones are expanded by further levels. I
 trees are repeated until a pair at the threshold meets almost surely (``TREES`` at depth
 ``LEVELS`` miss it with probability below 1e-5, by the branching process's extinction).
 
-A node that is still large at the last depth holds classes that share many minimum hashes.
-There each class is compared with the node's first, which costs one comparison per class; where
-classes of different components remain in such a node, all pairs between those components are
-compared too. So nothing is capped, and a group of thousands of near copies makes no square.
-
-Candidates are tested by size and by one-bit sketches (128 bits, at a bound five standard
-deviations below the threshold), then on the full shingle sets of the texts. First each class
-is confirmed with its most alike candidate; of the rest only candidates between different
-components can change the result, and they are confirmed next.
+Only links that join components matter. So each class of a node is first compared with the
+node's first one, and confirmed with the most alike of these: one comparison per class however
+large the nodes are. Then all nodes that still hold different components are compared
+exhaustively inside their tasks, a large one in blocks: what could be linked by minimum hashes
+is kept, and of that the pairs of different components are confirmed on the full sets. Only
+links leave a task, as many as join components. So nothing is capped, no link between
+components is lost within a node, and a group of thousands of near copies makes no square of
+rows.
+
+Bounds of the tests before the full sets lie more than 4.5 standard deviations below the
+threshold: 98 of 128 one-bit hashes, 36 of 64 minimum hashes.
 
 Defined results: a text without words has an empty set and is linked with nothing; documents
 with equal ids and different texts are rows of their own; a null id never becomes a component's
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylake.llm.components import components
+from entitylake.llm.components import components, roots_of
 from entitylake.llm.shared import WORD, fresh_name, slices, written
 from entitylake.llm.shingles import MinHash, linked, mixed, shingle_sets
 
@@ -49,6 +51,12 @@ SKETCH_BITS = 128
 #: Equal bits of two sketches at a similarity of 0.8 are 0.9 * 128 = 115 with a deviation of 3.4.
 LEAST_BITS = 98
 
+#: Equal minimum hashes at a similarity of 0.8 are 51 of 64 with a deviation of 3.2.
+LEAST_EQUAL = 36
+
+#: Classes of a node that are compared in one group; larger nodes are compared block by block.
+BLOCK = 1024
+
 #: Sets of fewer shingles have no other set within the threshold.
 LEAST_SET = 4
 
@@ -138,33 +146,30 @@ def _confirmer(words: int, percent: int):
     return run
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes that meet in a small node or are a large node's first and another; and the large nodes."""
-    pairs = None
+def candidates(classes: DataFrame) -> DataFrame:
+    """Rows (node, class) of all nodes that are compared: small ones of each depth, all of the last."""
     rows = classes.where("signature IS NOT NULL").select("class", "signature")
     nodes = written(rows.mapInArrow(_walker(LEVELS, True), "node long, class long"))
+    found = None
     for level in range(LEVELS, MAX_LEVELS + 1, LEVELS):
         counts = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = written(nodes.join(counts, "node"))
-        members = sized.where(F.col("n") <= SMALL).groupBy("node").agg(F.array_sort(F.collect_list("class")).alias("m"))
-        ends = F.flatten(
-            F.transform(
-                "m",
-                lambda x, i: F.transform(
-                    F.slice(F.col("m"), i + 2, F.size("m")), lambda y: F.struct(x.alias("u"), y.alias("v"))
-                ),
-            )
-        )
-        found = members.select(F.explode(ends).alias("p")).select("p.u", "p.v")
-        pairs = found if pairs is None else pairs.union(found)
+        last = level + LEVELS > MAX_LEVELS
+        here = (sized if last else sized.where(F.col("n") <= SMALL)).select("node", "class")
+        found = here if found is None else found.union(here)
         large = sized.where(F.col("n") > SMALL).select("node", "class")
-        if level + LEVELS > MAX_LEVELS or large.isEmpty():
+        if last or large.isEmpty():
             break
         deeper = large.join(rows, "class").select("class", "signature", "node")
         nodes = written(deeper.mapInArrow(_walker(LEVELS, False), "node long, class long"))
-    first = large.groupBy("node").agg(F.min("class").alias("u"))
-    star = large.join(first, "node").where(F.col("u") != F.col("class")).select("u", F.col("class").alias("v"))
-    return pairs.union(star).distinct(), large
+    return found
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs of each node's first class with its others."""
+    first = members.groupBy("node").agg(F.min("class").alias("u"))
+    both = members.join(first, "node").where(F.col("u") != F.col("class"))
+    return both.select("u", F.col("class").alias("v")).distinct()
 
 
 def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -182,28 +187,96 @@ def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def between(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose classes lie in different components."""
-    left = parts.select(F.col("vertex").alias("u"), F.col("root").alias("root_u"))
-    right = parts.select(F.col("vertex").alias("v"), F.col("root").alias("root_v"))
-    rooted = pairs.join(left, "u", "left").join(right, "v", "left")
-    apart = F.coalesce("root_u", "u") != F.coalesce("root_v", "v")
-    return rooted.where(apart).select(*pairs.columns)
+def mixed_nodes(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (node, one, two, class, root) of nodes with several components, by groups to compare.
 
-
-def across(large: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of different components that share a large node; the largest component of a node is never paired with itself."""
-    rooted = large.join(parts, F.col("class") == F.col("vertex"), "left").select(
+    A node of up to ``BLOCK`` classes is one group; the classes of a larger one are dealt into
+    blocks, and each pair of blocks is a group.
+    """
+    rooted = members.join(parts, F.col("class") == F.col("vertex"), "left").select(
         "node", "class", F.coalesce("root", "class").alias("root")
     )
-    mixed_nodes = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
-    rest = rooted.join(mixed_nodes.select("node"), "node", "left_semi")
-    sizes = rest.groupBy("node", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("node").agg(F.max(F.struct("n", "root")).alias("most")).select("node", F.col("most.root").alias("main"))
-    outside = rest.join(main, "node").where("root != main").select("node", F.col("class").alias("x"), F.col("root").alias("root_x"))
-    # A pair outside the main component is met from both sides; distinct joins the two.
-    pairs = outside.join(rest, "node").where("root != root_x")
-    return pairs.select(F.least("x", "class").alias("u"), F.greatest("x", "class").alias("v")).distinct()
+    sizes = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+    several = sizes.where("a != b").select("node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("class", F.lit(5)), F.col("blocks")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least(F.col("own"), other).alias("one"), F.greatest(F.col("own"), other).alias("two")),
+    )
+    dealt = rooted.join(several, "node").withColumn("own", own)
+    return dealt.select("node", F.inline(pairs), "class", "root")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with equal values in the first three columns."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:], strict=False):
+            here = tuple(keys[:, low].tolist())
+            if held and here != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = here
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near(signatures: np.ndarray, roots: np.ndarray, k: int) -> np.ndarray:
+    """Later rows of other components whose minimum hashes allow a link with row k."""
+    equal = (signatures[k + 1 :] == signatures[k]).sum(axis=1)
+    return np.flatnonzero((equal >= LEAST_EQUAL) & (roots[k + 1 :] != roots[k])) + k + 1
+
+
+def _unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
+    return signatures, group.column("root").to_numpy()
+
+
+def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, one, two, class, root, signature) that could be linked with another of their group."""
+    for group in _groups(batches):
+        signatures, roots = _unpacked(group)
+        keep = np.zeros(len(roots), bool)
+        for k in range(len(roots) - 1):
+            found = _near(signatures, roots, k)
+            if len(found):
+                keep[k] = True
+                keep[found] = True
+        if keep.any():
+            yield from group.filter(pa.array(keep)).combine_chunks().to_batches()
+
+
+def _joiner(words: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links (u, v) that join components within a group, confirmed on the full sets."""
+        for group in _groups(batches):
+            signatures, roots = _unpacked(group)
+            classes = group.column("class").to_pylist()
+            sets = shingle_sets(group.column("text").to_pylist(), words)
+            parent: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (up := parent.get(x, x)) != x:
+                    parent[x] = x = parent.get(up, up)
+                return x
+
+            links = []
+            for k in range(len(roots) - 1):
+                for j in _near(signatures, roots, k).tolist():
+                    one, two = find(int(roots[k])), find(int(roots[j]))
+                    if one != two and linked(sets[k], sets[j], percent):
+                        parent[max(one, two)] = min(one, two)
+                        links.append((classes[k], classes[j]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["u", "v"])
+
+    return run
 
 
 def similar(
@@ -236,31 +309,36 @@ def similar(
 
 def _joined(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Components of the classes, by links confirmed on the full sets: enough of them to join each component."""
-    found, large = candidates(classes)
-    pairs = written(alike(found, classes, percent))
-    texts = written(_texts(rows, classes, pairs.select("u").union(pairs.select("v")), words))
-
-    def confirmed(some: DataFrame, bodies: DataFrame) -> DataFrame:
-        left, right = bodies.toDF("u", "text_u"), bodies.toDF("v", "text_v")
-        both = some.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
-        return written(both.mapInArrow(_confirmer(words, percent), "u long, v long"))
-
-    def widened(parts: DataFrame, links: DataFrame) -> DataFrame:
-        if links.isEmpty():
-            return parts
-        return written(components(parts.toDF("u", "v").union(links)))
-
+    members = candidates(classes)
+    pairs = written(alike(stars(members), classes, percent))
     best = pairs.groupBy("v").agg(F.max(F.struct("bits", "u")).alias("x")).select(F.col("x.u").alias("u"), "v")
-    parts = written(components(confirmed(best, texts)))
-    rest = written(between(pairs, parts).join(best, ["u", "v"], "left_anti"))
-    if not rest.isEmpty():
-        parts = widened(parts, confirmed(rest, texts))
-    if not large.isEmpty():
-        more = written(alike(across(large, parts), classes, percent).join(pairs, ["u", "v"], "left_anti"))
-        if not more.isEmpty():
-            bodies = written(_texts(rows, classes, more.select("u").union(more.select("v")), words))
-            parts = widened(parts, confirmed(more, bodies))
-    return parts
+    texts = written(_texts(rows, classes, best.select("u").union(best.select("v")), words))
+    left, right = texts.toDF("u", "text_u"), texts.toDF("v", "text_v")
+    both = best.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v")
+    parts = written(roots_of(both.mapInArrow(_confirmer(words, percent), "u long, v long")))
+
+    key = ["node", "one", "two"]
+    group = "node long, one int, two int, class long, root long, signature binary"
+    signed = mixed_nodes(members, parts).join(classes.select("class", "signature"), "class")
+    ordered = signed.select(*key, "class", "root", "signature").repartition(*key).sortWithinPartitions(*key)
+    left_over = written(ordered.mapInArrow(_survivors, group))
+    if left_over.isEmpty():
+        return parts
+    bodies = _texts(rows, classes, left_over.select("class"), words)
+    full = left_over.join(bodies, "class").select(*key, "class", "root", "signature", "text")
+    links = full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_joiner(words, percent), "u long, v long")
+    links = written(links)
+    if links.isEmpty():
+        return parts
+    # Links between roots, a much smaller graph; what it joins is carried back to all classes.
+    one, two = parts.toDF("u", "root_u"), parts.toDF("v", "root_v")
+    lifted = links.join(one, "u", "left").join(two, "v", "left").select(
+        F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v")
+    )
+    joined = written(components(lifted)).toDF("root", "top")
+    moved = parts.join(joined, "root", "left").select("vertex", F.coalesce("top", "root").alias("root"))
+    new = joined.join(parts.select(F.col("vertex").alias("root")), "root", "left_anti").toDF("vertex", "root")
+    return written(moved.union(new))
 
 
 def _texts(rows: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:

@@ -46,7 +46,24 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(state) == seen or not state[0]:
             break
         seen = tuple(state)
-        edges = written(_small_star(_large_star(edges).distinct()).where("u != v").distinct())
+        edges = written(_small_star(_large_star(edges)).where("u != v").distinct())
     # Now every edge leads from a vertex to the root of its star.
     roots = edges.select(F.col("v").alias("vertex"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("vertex"), F.col("v").alias("root")).union(roots)
+
+
+def roots_of(parents: DataFrame) -> DataFrame:
+    """The same for links (u, v) with u < v that name one parent u for each v: by pointer jumping.
+
+    Every round doubles the step to the root, and is one join.
+    """
+    steps = written(parents.select("v", "u"))
+    while True:
+        above = steps.select(F.col("v").alias("u"), F.col("u").alias("next"))
+        longer = steps.join(above, "u", "left").select("v", F.coalesce("next", "u").alias("u"), F.col("next").isNotNull().alias("moved"))
+        after = written(longer)
+        steps = after.select("v", "u")
+        if after.where("moved").isEmpty():
+            break
+    roots = steps.select(F.col("u").alias("vertex"), F.col("u").alias("root")).distinct()
+    return steps.select(F.col("v").alias("vertex"), F.col("u").alias("root")).union(roots)

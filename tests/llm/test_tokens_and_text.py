@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from entitylake.llm import bin_slack, bitplanes, chat_template, chosen_path, html_blocks, html_template, shared, shingles, syncmers
-from entitylake.llm.components import components
+from entitylake.llm.components import components, roots_of
 from entitylake.llm.encoder import VOCABULARY, PieceEncoder, encoder
 from entitylake.llm.template import Template, TemplateError
 
@@ -338,6 +338,7 @@ def test_components_match_brute_force(documents, size):
 def test_large_nodes_lose_no_link(documents, monkeypatch):
     """With tiny nodes nearly every pair goes through the way for large ones."""
     monkeypatch.setattr(chosen_path, "SMALL", 2)
+    monkeypatch.setattr(chosen_path, "BLOCK", 7)
     monkeypatch.setattr(chosen_path, "MAX_LEVELS", 3)
     rows = near_copies(8)
     check_components(chosen_path.similar(documents(*rows), words=4).collect(), rows, 4)
@@ -364,6 +365,13 @@ def test_components_of_chains_and_stars(spark):
     assert found == {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 700)}, 8: 8, 9: 8}
 
 
+def test_roots_of_parents(spark):
+    parents = [(i - 1, i) for i in range(1, 40)] + [(50, 60), (50, 61), (60, 62)]
+    found = {r["vertex"]: r["root"] for r in roots_of(spark.createDataFrame(parents, "u long, v long")).collect()}
+    assert found == {**{i: 0 for i in range(40)}, 50: 50, 60: 50, 61: 50, 62: 50}
+    assert roots_of(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 def test_sets_are_whole():
     texts = ["A b\x0bc d e", "", None, "a", "x y z x y z x y z", "é É x B", "long " * 5 + "text " * 50_000]
     for size in (1, 4, 5):
