@@ -24,6 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; where that is unset (as in tests), one of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="entitylake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
