@@ -192,16 +192,20 @@ def _block(stack: list[_Element]) -> _Element:
 
 
 def main_text(blocks: list[Block], constant: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text: the blocks inside the surest main element, without what is around them.
+    """The main text: the slots of the main element, without what is around it.
 
-    Without such an element it is what the template leaves: the blocks whose tokens are not
-    constant on their host.
+    Slots are the blocks whose tokens are not constant on the host. The main element is the
+    surest kind that holds at least half of their text; without one it is the whole page. A
+    main element with constant texts only (as on near copies of one page) keeps them.
     """
     inside = [block for block in blocks if not block.around]
-    for kind in (ARTICLE, MAIN):
-        if any(block.main & kind for block in inside):
-            return " ".join(block.text for block in inside if block.main & kind)
     slots = [block for block in inside if block.token not in constant]
-    if any(block.main & NAMED for block in slots):
-        slots = [block for block in slots if block.main & NAMED]
+    if not slots:
+        slots = [block for block in inside if block.main & (ARTICLE | MAIN)]
+    whole = sum(len(block.text) for block in slots)
+    for kind in (ARTICLE, MAIN, NAMED):
+        held = [block for block in slots if block.main & kind]
+        if held and 2 * sum(len(block.text) for block in held) >= whole:
+            slots = held
+            break
     return " ".join(block.text for block in slots)

@@ -2,15 +2,17 @@
 
 Tokens of a page are its elements, told apart by their path, and its blocks of text, told apart
 by path and text. On the pages of one host, tokens with the same occurrence vector (how often
-they occur on each page) form an equivalence class. A class that holds an element and a text
-directly in it says that the element always brings this text: the text belongs to the template.
-Such classes, large and frequent enough, are nested by their paths; what remains of a page are
-the slots, and the main text is what stands in the slots of its main element, without those
-around it (menus, notices, adverts, forms, comments).
+they occur on each page) form an equivalence class. A class that holds a text and an element
+around it, at any depth, says that the element always brings this text: the text belongs to the
+template. So a notice that stands once on every page is constant, also among the paragraphs of
+an article. Such classes, large and frequent enough, are nested by their paths; what remains of
+a page are the slots, and the main text is what stands in the slots of its main element (chosen
+by the text in them), without those around it (menus, notices, adverts, forms, comments).
 
 Vectors are never built: their number of pages, sum and a commutative hash are aggregated per
 token with partial sums before the shuffle, so a host with a third of all pages is no group in
-one task. A host keeps at most ``1 / SHARE`` times as many constant tokens as a page has.
+one task. A host keeps at most ``1 / SHARE`` times as many constant tokens as a page has; only
+these are looked at together.
 
 Defined results: a null or empty page has the empty text; a page without a host in its address
 is read without a template, like a host of fewer than ``PAGES`` pages; repeated rows are pages
@@ -99,17 +101,35 @@ def nested(tokens: DataFrame) -> DataFrame:
     )
 
 
+def _lasting(table: pa.Table) -> pa.Table:
+    """The texts of one host that are in one class with an element that they stand in, at any depth."""
+    columns = [table.column(name).to_pylist() for name in ("parent", "token", "element", "class")]
+    rows = list(zip(*columns, strict=True))
+    above = {token: (parent, kind) for parent, token, element, kind in rows if element}
+
+    def brought(at: int, kind: int) -> bool:
+        while at in above:
+            at, own = above[at]
+            if own == kind:
+                return True
+        return False
+
+    return table.filter(pa.array([not element and brought(parent, kind) for parent, _, element, kind in rows], pa.bool_()))
+
+
 def templates(found: DataFrame) -> DataFrame:
-    """Per host the constant texts: those in one valid class with the element that they stand in."""
+    """Per host the constant texts: those in one valid class with an element that they stand in."""
     tokens = with_class(found)
     sizes = found.groupBy("host").agg(F.max("pages").alias("host_pages"))
-    elements = tokens.where("element").select("host", F.col("token").alias("parent"), "class")
+    kinds = tokens.where("element").select("host", "class").distinct()
     return (
-        tokens.where("NOT element")
-        .join(elements, ["host", "parent", "class"], "left_semi")
-        .join(nested(tokens), ["host", "class"], "left_semi")
-        .join(sizes, "host")
+        tokens.join(sizes, "host")
         .where(F.col("pages") >= F.col("host_pages") * SHARE)
+        .join(kinds, ["host", "class"], "left_semi")
+        .select("host", "parent", "token", "element", "class")
+        .groupBy("host")
+        .applyInArrow(_lasting, "host string, parent long, token long, element boolean, class long")
+        .join(nested(tokens), ["host", "class"], "left_semi")
         .groupBy("host")
         .agg(F.collect_list("token").alias("constant"))
     )

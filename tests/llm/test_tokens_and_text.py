@@ -379,3 +379,25 @@ def test_sets_are_whole():
             assert len(found) == len(brute_sets(text, size))
     same = shingles.shingle_sets(["A B c", "a b\tC", "a b c d"], 4)
     assert (same[0] == same[1]).all() and not shingles.linked(same[0], same[2], 80) and not shingles.linked(same[0][:0], same[0][:0], 0)
+
+
+def host_texts(spark, *pages, host="h.example.org"):
+    """The texts of pages of one host, in order."""
+    rows = [(k, f"http://{host}/{k}", page) for k, page in enumerate(pages)]
+    found = html_template.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return [r["text"] for r in sorted(found.collect(), key=lambda r: r["page_id"])]
+
+
+def test_constant_texts_inside_an_article_are_its_template(spark):
+    page = "<html><body><article><h1>Head {0}</h1><p>Story {0} of many</p><p>Read us every day</p><div><p>Story {0} ends</p></div><section><p>All about us</p></section></article></body></html>"
+    assert host_texts(spark, *[page.format(k) for k in range(6)]) == [f"Head {k} Story {k} of many Story {k} ends" for k in range(6)]
+    same = "<html><body><i>{0}</i><article><p>The same story</p></article></body></html>"
+    assert html_blocks.main_text(html_blocks.read(same)[0], {b.token for b in html_blocks.read(same)[0][1:]}) == "{0}"
+    assert host_texts(spark, *[f"<html><body><nav>{k}</nav><article><p>The same story</p></article></body></html>" for k in range(4)]) == ["The same story"] * 4
+
+
+def test_main_element_has_most_of_the_text():
+    long = "A long text of the page with all that it has to say."
+    assert long in text_of(f"<main><div>{long}</div><article>teaser</article></main>")
+    assert long in text_of(f"<div>{long}</div><article>teaser</article>")
+    assert text_of(f"<div>menu</div><main><article>{long}</article><p>more</p></main>") == long
