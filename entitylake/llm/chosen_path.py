@@ -3,10 +3,12 @@
 Documents with equal sets of word shingles are one class. Classes get minimum hashes and walk
 random trees: a node chooses one or two coordinates (1 / threshold on average) by a hash of the
 path so far, and a class goes on to the children named by its own values there. A pair at the
-threshold so has one common child on average at any depth, others die out. Nodes with few
-classes are compared exhaustively; larger ones are expanded by further levels. Independent
-trees are repeated until a pair at the threshold meets almost surely (``TREES`` at depth
-``LEVELS`` miss it with probability below 1e-5, by the branching process's extinction).
+threshold so has one common child on average at any depth, others die out. All nodes of depth
+``LEVELS`` are compared, whatever their size: pairs go on dying out on the way further down, so
+the same trees would lose more links the larger a group is. Independent trees are repeated until
+a pair at the threshold meets almost surely (``TREES`` at depth ``LEVELS`` miss it with a
+probability of 6e-6, by the branching process's extinction, averaged over the equal ones of the
+``COORDINATES``; at depth 9 it would be 7e-3).
 
 Only links that join components matter. So each class of a node is first compared with the
 node's first one, and confirmed with the most alike of these: one comparison per class however
@@ -41,9 +43,10 @@ from entitylake.llm.shingles import MinHash, linked, mixed, shingle_sets
 
 PERCENT = 80
 WORDS = 5
-TREES = 12
+TREES = 16
 LEVELS = 3
-MAX_LEVELS = 9
+#: Nodes of more than ``SMALL`` classes would be walked on to here; a deeper walk needs more ``TREES``.
+MAX_LEVELS = 3
 SMALL = 32
 COORDINATES = 64
 SKETCH_BITS = 128
@@ -147,7 +150,7 @@ def _confirmer(words: int, percent: int):
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """Rows (node, class) of all nodes that are compared: small ones of each depth, all of the last."""
+    """Rows (node, class) of all nodes that are compared: all of ``MAX_LEVELS``, small ones of the depths before."""
     rows = classes.where("signature IS NOT NULL").select("class", "signature")
     nodes = written(rows.mapInArrow(_walker(LEVELS, True), "node long, class long"))
     found = None

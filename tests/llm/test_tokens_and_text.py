@@ -344,6 +344,28 @@ def test_large_nodes_lose_no_link(documents, monkeypatch):
     check_components(chosen_path.similar(documents(*rows), words=4).collect(), rows, 4)
 
 
+def hub_and_copies(copies=500, seed=3):
+    """An original and copies that are similar to it alone: five edits of 200 words each, apart from one another."""
+    draw = random.Random(seed)
+    hub = [f"w{k}" for k in range(200)]
+    rows = [(copies, " ".join(hub))]
+    for k in range(copies):
+        copy = list(hub)
+        for edit, place in enumerate(draw.sample(range(0, 200, 8), 5)):
+            copy[place + 3] = f"e{k}x{edit}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+def test_copies_that_only_a_hub_links_stay_one_group(documents):
+    rows = hub_and_copies()
+    sets = [brute_sets(text, 4) for _, text in rows]
+    assert all(100 * len(sets[0] & s) >= 80 * len(sets[0] | s) for s in sets)
+    alike = sum(100 * len(a & b) >= 80 * len(a | b) for a, b in zip(sets[1:], sets[2:], strict=False))
+    assert alike < 10
+    assert {r["component_id"] for r in chosen_path.similar(documents(*rows), words=4).collect()} == {0}
+
+
 def test_one_of_each_group_stays(documents):
     rows = near_copies(9)
     table = documents(*rows, rows[5], rows[5], (None, rows[5][1]), (None, "alone with no id"), extra=("llm_id", "component"))
