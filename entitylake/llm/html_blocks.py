@@ -31,23 +31,35 @@ INLINE = frozenset(
 )
 CLOSED_WITHIN = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr",), "th": ("tr",), "dt": ("dl",), "dd": ("dl",)}
 
-#: Elements, roles and words of class names and ids that stand for what is around an article.
-AROUND = frozenset("nav header footer aside form button dialog menu".split())
-AROUND_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
-AROUND_WORDS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget ad ads advert adverts "
-    "advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification "
-    "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment "
-    "comments reply replies respond disqus form search pagination pager toolbar copyright disclaimer".split()
+#: Elements, roles and whole class names and ids that stand for what is around an article.
+AROUND = frozenset("nav header footer aside button menu".split())
+AROUND_ROLES = frozenset("navigation banner contentinfo complementary menu".split())
+AROUND_NAMES = frozenset(
+    "nav navbar nav-bar main-nav site-nav navigation menu main-menu breadcrumb breadcrumbs masthead topbar site-header page-header "
+    "site-footer page-footer sidebar side-bar aside ad ads ad-slot ad-unit ad-container advert adverts advertisement advertising "
+    "sponsor sponsored cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent consent gdpr comment comments "
+    "comment-list comment-body comment-form comments-area reply replies respond disqus disqus-thread pagination pager".split()
 )
-#: In an article its own header and the classes named so are its own.
-OWN_WORDS = frozenset("header banner".split())
-COMMENT_WORDS = frozenset("comment comments reply replies ad ads advert sponsored promo related teaser".split())
+#: The same, but they also stand for layout and for parts of an article: the text decides.
+UNSURE = frozenset("form dialog".split())
+UNSURE_ROLES = frozenset("search form dialog alert alertdialog".split())
+UNSURE_NAMES = frozenset(
+    "header footer widget promo promotion banner notice notices notification notifications alert popup modal overlay newsletter "
+    "newsletter-signup subscribe subscription signup login login-form share share-buttons sharing social social-links social-share "
+    "related related-posts related-articles search search-form search-box form toolbar copyright disclaimer".split()
+)
+#: In an article the elements, roles and classes named so are its own, unless the template says that they are constant.
+OWN_NAMES = frozenset("header banner notice notices notification notifications alert widget search form login disclaimer copyright".split())
+OWN_ROLES = frozenset("alert form search".split())
+COMMENT_NAMES = frozenset("comment comments comment-body reply replies ad ads advert sponsored promo related teaser".split())
 MAIN_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
 
 #: How surely an element holds the main text.
 ARTICLE, MAIN, NAMED = 4, 2, 1
 
+#: How surely an element is around it.
+MAYBE, SURELY, HIDES = 1, 2, 3
+
 
 def digest(*parts: str | int) -> int:
     """A signed 64-bit hash."""
@@ -61,7 +73,7 @@ class Block:
 
     text: str
     path: int
-    around: bool
+    around: int
     main: int
 
     @property
@@ -74,7 +86,7 @@ class _Element:
     name: str
     inline: bool
     path: int
-    around: bool
+    around: int
     main: int
 
 
@@ -84,22 +96,25 @@ def _opened(name: str, rest: str, parent: _Element) -> _Element:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)} if rest.strip() else {}
     label = f"{found.get('class', '')} {found.get('id', '')}".lower()
     words = set(_NAME_WORD.findall(label))
+    names = {whole.replace("_", "-").rstrip("-0123456789") for whole in label.split()}
     role = found.get("role", "").lower()
     style = found.get("style", "").replace(" ", "").lower()
     inside = bool(parent.main & (ARTICLE | MAIN))
+    around, main = parent.around, parent.main
     if name in ("article", "main") or role in ("article", "main"):
-        around = bool(words & COMMENT_WORDS)
-        main = parent.main | (ARTICLE if "article" in (name, role) else MAIN)
-    elif name in ("html", "body"):
-        around, main = False, parent.main
-    else:
-        around = (
-            (name in AROUND and not (name == "header" and inside))
-            or role in AROUND_ROLES
-            or bool((words - OWN_WORDS if inside else words) & AROUND_WORDS)
-        )
-        main = parent.main | (NAMED if words & MAIN_WORDS else 0)
-    around = parent.around or around or "hidden" in found or "display:none" in style
+        # It ends what an element above it said, unless it is itself a comment or an advert.
+        main |= ARTICLE if "article" in (name, role) else MAIN
+        around = HIDES if around == HIDES else SURELY if names & COMMENT_NAMES else max(0, around - 1)
+    elif name not in ("html", "body"):
+        if (name in AROUND and not (name == "header" and inside)) or role in AROUND_ROLES or names & AROUND_NAMES:
+            around = max(around, SURELY)
+        elif name in UNSURE or role in (UNSURE_ROLES - OWN_ROLES if inside else UNSURE_ROLES):
+            around = max(around, MAYBE)
+        elif (names - OWN_NAMES if inside else names) & UNSURE_NAMES:
+            around = max(around, MAYBE)
+        main |= NAMED if words & MAIN_WORDS else 0
+    if "hidden" in found or "display:none" in style:
+        around = HIDES
     path = parent.path if inline else digest(parent.path, name, " ".join(sorted(label.split())))
     return _Element(name, inline, path, around, main)
 
@@ -123,7 +138,7 @@ def _closes(name: str, stack: list[_Element]) -> int:
 
 def read(source: str) -> tuple[list[Block], list[tuple[int, int]]]:
     """The blocks of a page in order, and path and parent's path of each element that isn't inline."""
-    stack = [_Element("", False, digest("page"), False, 0)]
+    stack = [_Element("", False, digest("page"), 0, 0)]
     blocks: list[Block] = []
     paths = [(stack[0].path, 0)]
     buffer: list[str] = []
@@ -143,7 +158,7 @@ def read(source: str) -> tuple[list[Block], list[tuple[int, int]]]:
 
     def add(text: str) -> None:
         top = stack[-1]
-        if text and not (top.inline and top.around and not _block(stack).around):
+        if text and not (top.inline and top.around > max(MAYBE, _block(stack).around)):
             buffer.append(html.unescape(text) if "&" in text else text)
 
     while at < size:
@@ -196,10 +211,18 @@ def main_text(blocks: list[Block], constant: frozenset[int] | set[int] = frozens
 
     Slots are the blocks whose tokens are not constant on the host. The main element is the
     surest kind that holds at least half of their text; without one it is the whole page. A
-    main element with constant texts only (as on near copies of one page) keeps them.
+    main element with constant texts only (as on near copies of one page) keeps them. What only
+    may be around comes back on a page whose main element has no slots, if it is longer than the
+    rest: then its name was one of the layout.
     """
-    inside = [block for block in blocks if not block.around]
-    slots = [block for block in inside if block.token not in constant]
+    inside = [block for block in blocks if block.around < SURELY]
+    left = [block for block in inside if block.token not in constant]
+    inside = [block for block in inside if not block.around]
+    slots = [block for block in left if not block.around]
+    if not any(block.main & (ARTICLE | MAIN) for block in slots):
+        size = sum(len(block.text) for block in slots)
+        if sum(len(block.text) for block in left) > 2 * size:
+            slots = left
     if not slots:
         slots = [block for block in inside if block.main & (ARTICLE | MAIN)]
     whole = sum(len(block.text) for block in slots)

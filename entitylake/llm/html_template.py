@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylake.llm.html_blocks import main_text, read
+from entitylake.llm.html_blocks import SURELY, main_text, read
 from entitylake.llm.shared import slices, without, written
 
 #: A constant text stands on so many pages of its host at least, and on this share of them.
@@ -50,7 +50,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             blocks, paths = read(source)
             rows += [(host, parent, path, True, page, n) for (path, parent), n in Counter(paths).items()]
-            texts = Counter((block.path, block.token) for block in blocks if not block.around)
+            texts = Counter((block.path, block.token) for block in blocks if block.around < SURELY)
             rows += [(host, path, token, False, page, n) for (path, token), n in texts.items()]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
         columns = list(zip(*rows, strict=True)) or [()] * len(kinds)

@@ -423,3 +423,15 @@ def test_main_element_has_most_of_the_text():
     assert long in text_of(f"<main><div>{long}</div><article>teaser</article></main>")
     assert long in text_of(f"<div>{long}</div><article>teaser</article>")
     assert text_of(f"<div>menu</div><main><article>{long}</article><p>more</p></main>") == long
+
+
+def test_names_around_a_page_do_not_empty_it(spark):
+    long = "A long text of the page with all that it has to say."
+    for name in ("class='layout has-sidebar'", "id='page-with-comments'", "class=no-ads", "class=search", "class='share'", "class=form", "class=related", "id=login", "class='widget'"):
+        assert text_of(PAGE.format(main=f"<div {name}><article><p>{long}</p></article></div>")) == long, name
+        assert long in text_of(f"<html><body><div {name}><p>{long}</p></div></body></html>"), name
+    assert text_of(f"<form><main><p>{long}</p></main></form>") == long and text_of(f"<form id=f><p>{long}</p></form>") == long
+    assert text_of(f"<article><p>{long}</p><section class='share-price'>12.50</section><p class='alert'>Mind this</p></article>") == f"{long} 12.50 Mind this"
+    assert text_of(f"<article><p>{long}</p></article><div id=comments><article class=comment>No</article></div><div hidden><article>{long}</article></div>") == long
+    page = "<html><body><article><h1>Head {0}</h1><p>Story {0} of many</p><p class=alert>Log in for more</p></article></body></html>"
+    assert host_texts(spark, *[page.format(k) for k in range(4)]) == [f"Head {k} Story {k} of many" for k in range(4)]
