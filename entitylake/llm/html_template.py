@@ -15,8 +15,8 @@ one task. A host keeps at most ``1 / SHARE`` times as many constant tokens as a
 these are looked at together.
 
 Defined results: a null or empty page has the empty text; a page without a host in its address
-is read without a template, like a host of fewer than ``PAGES`` pages; repeated rows are pages
-of their own; columns of the input stay, those named like an output column are replaced.
+is read without a template, like a host of fewer than ``PAGES`` different pages; repeated rows,
+and the same source at several addresses of a host, are one page of it; columns of the input stay, those named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from entitylake.llm.html_blocks import SURELY, main_text, read
 from entitylake.llm.shared import slices, without, written
 
-#: A constant text stands on so many pages of its host at least, and on this share of them.
+#: A constant text stands on so many different pages of its host at least, and on this share of them.
 PAGES = 3
 SHARE = 0.05
 
@@ -44,30 +44,37 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, _HOST, 1), F.lit("")))
 
 
+_TOKENS = "host string, page long, tokens array<struct<parent: long, token: long, element: boolean, n: int>>"
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 2):
-        rows: list[tuple[str, int, int, bool, int, int]] = []
-        for host, page, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        rows: list[tuple[int, int, bool, int]] = []
+        ends = [0]
+        for source in batch.column(2).to_pylist():
             blocks, paths = read(source)
-            rows += [(host, parent, path, True, page, n) for (path, parent), n in Counter(paths).items()]
+            rows += [(parent, path, True, n) for (path, parent), n in Counter(paths).items()]
             texts = Counter((block.path, block.token) for block in blocks if block.around < SURELY)
-            rows += [(host, path, token, False, page, n) for (path, token), n in texts.items()]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-        columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "parent", "token", "element", "page", "n"]
-        )
+            rows += [(path, token, False, n) for (path, token), n in texts.items()]
+            ends.append(len(rows))
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        tokens = pa.StructArray.from_arrays(columns, ["parent", "token", "element", "n"])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["host", "page", "tokens"])
 
 
 def occurrences(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """Per host and token: on how many pages, how often in all, and the hash of its occurrence vector."""
+    """Per host and token: on how many different pages, how often in all, and the hash of its occurrence vector.
+
+    Equal sources on one host are one page. The tokens of a page, not its source, are moved to
+    tell them apart; copies meet within a task first.
+    """
     body = F.col(f"`{source}`")
-    rows = pages.select(
-        host_of(F.col(f"`{url}`")).alias("host"), F.xxhash64(F.col(f"`{url}`"), body).alias("page"), body.alias("html")
-    ).where("host != '' AND html IS NOT NULL")
-    schema = "host string, parent long, token long, element boolean, page long, n long"
+    rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.xxhash64(body).alias("page"), body.alias("html"))
+    found = rows.where("host != '' AND html IS NOT NULL").mapInArrow(_tokens, _TOKENS).dropDuplicates(["host", "page"])
     return (
-        rows.mapInArrow(_tokens, schema)
+        found.select("host", "page", F.inline("tokens"))
         .groupBy("host", "parent", "token", "element")
         .agg(
             F.count("*").alias("pages"),

@@ -435,3 +435,13 @@ def test_names_around_a_page_do_not_empty_it(spark):
     assert text_of(f"<article><p>{long}</p></article><div id=comments><article class=comment>No</article></div><div hidden><article>{long}</article></div>") == long
     page = "<html><body><article><h1>Head {0}</h1><p>Story {0} of many</p><p class=alert>Log in for more</p></article></body></html>"
     assert host_texts(spark, *[page.format(k) for k in range(4)]) == [f"Head {k} Story {k} of many" for k in range(4)]
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<html><body><div class=top>Welcome to us</div><div class=text><p>Story {0} of many</p></div></body></html>"
+    assert host_texts(spark, *[page.format(1)] * 4, page.format(2)) == ["Welcome to us Story 1 of many"] * 4 + ["Welcome to us Story 2 of many"]
+    rows = [("http://h.example.org/", page.format(k)) for k in (1, 1, 2, 2, 3, 3)]
+    found = spark.createDataFrame(rows, "url string, html string")
+    assert sorted(r["text"] for r in html_template.extracted(found).collect()) == [f"Story {k} of many" for k in (1, 1, 2, 2, 3, 3)]
+    vectors = html_template.occurrences(found).select("pages", "vector").distinct().collect()
+    assert {r["pages"] for r in vectors} == {3} and all(r["vector"] for r in vectors)
