@@ -285,7 +285,12 @@ def _joiner(words: int, percent: int):
 def similar(
     docs: DataFrame, ident: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """Per row of the table: doc_id, its set's size, component_id and kept; and the hash of its text and its component."""
+    """Per row of the table: doc_id, its set's size, component_id and kept; and the hash of its text and its component.
+
+    The trees and the bounds before the full sets are made for ``PERCENT``; a lower one is refused.
+    """
+    if not PERCENT <= percent <= 100:
+        raise ValueError(f"percent must lie between {PERCENT} and 100")
     body = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{ident}`").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("text_hash"))
     schema = "doc_id long, text_hash long, set_key binary, n_shingles long, signature binary, sketch0 long, sketch1 long"

@@ -445,3 +445,9 @@ def test_copies_of_a_page_are_no_template(spark):
     assert sorted(r["text"] for r in html_template.extracted(found).collect()) == [f"Story {k} of many" for k in (1, 1, 2, 2, 3, 3)]
     vectors = html_template.occurrences(found).select("pages", "vector").distinct().collect()
     assert {r["pages"] for r in vectors} == {3} and all(r["vector"] for r in vectors)
+
+
+@pytest.mark.parametrize("percent", [79, 0, 101])
+def test_thresholds_that_would_lose_links_are_refused(documents, percent):
+    with pytest.raises(ValueError):
+        chosen_path.similar(documents((1, "one two three")), percent=percent)
