@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entitylake.llm import bin_slack, bitplanes, bradley_terry, chat_template, chosen_path, ecoc_language, html_template, rule_table, syncmers, weighted_mix
+from entitylake.llm import (
+    bin_slack,
+    bitplanes,
+    bradley_terry,
+    chat_template,
+    chosen_path,
+    ecoc_language,
+    html_template,
+    line_bitmaps,
+    rule_table,
+    syncmers,
+    weighted_mix,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_template": html_template.op1_html_template,
@@ -19,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_syncmers": syncmers.op8_syncmers,
     "op9_chat_template": chat_template.op9_chat_template,
     "op10_weighted_mix": weighted_mix.op10_weighted_mix,
+    "op11_line_dedup": line_bitmaps.op11_line_dedup,
 }
 
 CHECKS: dict[str, str] = {
     "op5_quality_rules": rule_table.SQL,
     "op9_chat_template": chat_template.SQL,
     "op10_weighted_mix": weighted_mix.SQL,
+    "op11_line_dedup": line_bitmaps.SQL,
 }

@@ -17,6 +17,7 @@ COLUMNS = {
     "op8": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op9": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op10": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
 }
 
 
