@@ -15,6 +15,7 @@ from entitylake.llm import (
     ecoc_language,
     html_template,
     line_bitmaps,
+    prefix_trie,
     rule_table,
     syncmers,
     weighted_mix,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_template": chat_template.op9_chat_template,
     "op10_weighted_mix": weighted_mix.op10_weighted_mix,
     "op11_line_dedup": line_bitmaps.op11_line_dedup,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 
 CHECKS: dict[str, str] = {
@@ -39,4 +41,5 @@ CHECKS: dict[str, str] = {
     "op9_chat_template": chat_template.SQL,
     "op10_weighted_mix": weighted_mix.SQL,
     "op11_line_dedup": line_bitmaps.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }

@@ -18,6 +18,7 @@ COLUMNS = {
     "op9": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op10": ["doc_id", "size", "source_size", "target", "taken"],
     "op11": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op12": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
 
