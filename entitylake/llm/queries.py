@@ -17,6 +17,7 @@ from entitylake.llm import (
     line_bitmaps,
     prefix_trie,
     rule_table,
+    square_catchers,
     syncmers,
     weighted_mix,
 )
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_weighted_mix": weighted_mix.op10_weighted_mix,
     "op11_line_dedup": line_bitmaps.op11_line_dedup,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_periodic_runs": square_catchers.op13_periodic_runs,
 }
 
 CHECKS: dict[str, str] = {

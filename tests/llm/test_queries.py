@@ -19,6 +19,7 @@ COLUMNS = {
     "op10": ["doc_id", "size", "source_size", "target", "taken"],
     "op11": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     "op12": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op13": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
