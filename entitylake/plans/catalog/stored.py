@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entitylake.functions import tokens as W
+from entitylake.operators import graph as G
 from entitylake.operators import neighbours as N
 from entitylake.operators import percolate as PC
 from entitylake.operators import positions as PO
+from entitylake.operators import predicates as P
 from entitylake.operators import rank as R
+from entitylake.operators import search as S
+from entitylake.operators import trigrams as TG
 from entitylake.plans import duck as Q
 from entitylake.plans.catalog.registry import query
 from entitylake.session import shared_folder
@@ -123,3 +127,101 @@ def post1_fuzzy_neighbours(spark, sf):
     return close.groupBy("word").agg(
         F.count("*").alias("n"), F.min("token").alias("first_token"), F.max("token").alias("last_token")
     )
+
+
+# --- Regular expressions by trigrams --------------------------------------
+
+
+@query(
+    "flt10_regex_trigrams",
+    f"""WITH {Q.ENTITIES} SELECT id FROM entities
+        WHERE regexp_matches(props['name'], '^(?:Customer#0+[0-9]*7|Supplier#.*3|.*#0000000[1-4]2)$')""",
+)
+def flt10_regex_trigrams(spark, sf):
+    """The pattern runs over distinct names that hold its literal parts, found in a written table."""
+    pattern, path = "Customer#0+[0-9]*7|Supplier#.*3|.*#0000000[1-4]2", shared_folder(spark)
+    named = TB.entities(spark, sf)
+    TG.write_trigrams(TG.value_trigrams(TG.property_values(named, "name")), path)
+    return TG.regex_ids(named, "name", TG.read_trigrams(spark, path, pattern), pattern)
+
+
+# --- Ancestors and hops ---------------------------------------------------
+
+
+def _direct_parents(spark):
+    """Each type of the test entities with the types directly above it."""
+    rows = [pair for names in TB.ANCESTORS.values() for pair in zip(names, names[1:])]
+    return spark.createDataFrame(sorted(set(rows)), "schema string, parent string")
+
+
+_PARENTS = """parents(schema, parent) AS (VALUES ('Page', 'Document'), ('Pages', 'Document'), ('Email', 'Document'),
+  ('Person', 'LegalEntity'), ('Company', 'Organization'), ('Organization', 'LegalEntity'), ('Contract', 'Interval'),
+  ('Order', 'Interval'), ('Event', 'Interval'))"""
+
+
+@query(
+    "joi3_closure",
+    f"""WITH RECURSIVE {Q.ENTITIES}, {_PARENTS}, closure AS (
+          SELECT schema, schema AS ancestor FROM parents UNION SELECT parent, parent FROM parents
+          UNION SELECT c.schema, p.parent FROM closure c JOIN parents p ON p.schema = c.ancestor)
+        SELECT id, schema FROM entities WHERE schema IN (SELECT schema FROM closure WHERE ancestor IN ('Document', 'LegalEntity'))""",
+)
+def joi3_closure(spark, sf):
+    """Entities below two types, by the ancestors that direct parents lead to."""
+    closure = G.ancestor_closure(_direct_parents(spark))
+    return S.matching(TB.entities(spark, sf), schemata=["Document", "LegalEntity"], closure=closure).select("id", "schema")
+
+
+@query(
+    "joi3_part_closure",
+    """WITH RECURSIVE parents AS (
+         SELECT DISTINCT 'order.' || l_orderkey AS schema, 'part.' || l_partkey AS parent FROM lineitem
+         UNION SELECT 'part.' || p_partkey, 'brand.' || p_brand FROM part
+         UNION SELECT 'part.' || p_partkey, 'type.' || p_type FROM part
+         UNION SELECT 'brand.' || p_brand, 'size.' || (p_size % 7) FROM part),
+       closure AS (
+         SELECT schema, schema AS ancestor FROM parents UNION SELECT parent, parent FROM parents
+         UNION SELECT c.schema, p.parent FROM closure c JOIN parents p ON p.schema = c.ancestor)
+       SELECT ancestor, count(*) AS n FROM closure GROUP BY ancestor""",
+)
+def joi3_part_closure(spark, sf):
+    """The same over the data: orders below parts, parts below brands and types, brands below sizes."""
+    lines, parts = TB.table(spark, sf, "lineitem"), TB.table(spark, sf, "part")
+    name = lambda prefix, key: F.concat(F.lit(f"{prefix}."), key.cast("string"))
+    part = name("part", F.col("p_partkey"))
+    levels = [
+        lines.select(name("order", F.col("l_orderkey")).alias("schema"), name("part", F.col("l_partkey")).alias("parent")),
+        parts.select(part.alias("schema"), name("brand", F.col("p_brand")).alias("parent")),
+        parts.select(part.alias("schema"), name("type", F.col("p_type")).alias("parent")),
+        parts.select(name("brand", F.col("p_brand")).alias("schema"), name("size", F.col("p_size") % 7).alias("parent")),
+    ]
+    parents = levels[0]
+    for level in levels[1:]:
+        parents = parents.unionByName(level)
+    return G.ancestor_closure(parents).groupBy("ancestor").agg(F.count("*").alias("n"))
+
+
+@query(
+    "wrk1_hops",
+    """WITH contract AS (SELECT DISTINCT 'contract.' || l_orderkey || '.' || l_suppkey AS id, 'company.' || l_suppkey AS company,
+           'order.' || l_orderkey AS ord FROM lineitem),
+         links AS (SELECT id AS source, 'supplier' AS role, company AS target FROM contract
+           UNION ALL SELECT id, 'order', ord FROM contract
+           UNION ALL SELECT 'order.' || o_orderkey, 'customer', 'person.' || o_custkey FROM orders),
+         ways AS (SELECT source AS near, role, target AS far FROM links UNION ALL SELECT target, role, source FROM links),
+         h0 AS (SELECT 'company.' || s_suppkey AS id, 0 AS hop, NULL::VARCHAR AS via, NULL::VARCHAR AS role FROM supplier
+           JOIN nation ON s_nationkey = n_nationkey WHERE n_name = 'NATION_8'),
+         h1 AS (SELECT far AS id, 1 AS hop, min((near, ways.role)) AS step FROM h0 JOIN ways ON near = id
+           WHERE far NOT IN (SELECT id FROM h0) GROUP BY far),
+         h2 AS (SELECT far AS id, 2 AS hop, min((near, ways.role)) AS step FROM h1 JOIN ways ON near = id
+           WHERE far NOT IN (SELECT id FROM h0 UNION SELECT id FROM h1) GROUP BY far),
+         h3 AS (SELECT far AS id, 3 AS hop, min((near, ways.role)) AS step FROM h2 JOIN ways ON near = id
+           WHERE far NOT IN (SELECT id FROM h0 UNION SELECT id FROM h1 UNION SELECT id FROM h2) GROUP BY far),
+         later AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3)
+       SELECT * FROM h0 UNION ALL SELECT id, hop, struct_extract_at(step, 1), struct_extract_at(step, 2) FROM later""",
+)
+def wrk1_hops(spark, sf):
+    """From the companies of one nation over contracts and orders to people."""
+    companies = S.matching(TB.companies(spark, sf), P.has_phrase("nation 8"), schemata="Company")
+    rows = TB.entities(spark, sf, TB.companies, TB.contracts, TB.people, TB.orders)
+    return G.within_hops(G.entity_links(rows, ["supplier", "order", "customer"]), companies, 3)
