@@ -35,16 +35,29 @@ def first_children(children: DataFrame, max_children: int = K.MAX_CHILD_PAGES) -
     return first_in_slices(children, "parent_id", order, max_children, slice_by="id")
 
 
+def oversize_files(children: DataFrame) -> DataFrame:
+    """``parent_id, file_chars`` of files whose joined pages are too long for one row.
+
+    Lengths alone are summed, with partial sums first, so no task sees all pages of a file.
+    """
+    lengths = children.select("parent_id", (F.length("text") + _JOINER).cast("long").alias("chars"))
+    return lengths.groupBy("parent_id").agg(F.sum("chars").alias("file_chars")).filter(F.col("file_chars") > MAX_ROW_CHARS)
+
+
 def child_bodies(
-    children: DataFrame, max_children: int | None = None, max_source_chars: int | None = None
+    children: DataFrame,
+    max_children: int | None = None,
+    max_source_chars: int | None = None,
+    skip_oversize: bool = False,
 ) -> DataFrame:
     """Texts of all pages joined with blank lines, one row per parent.
 
     ``max_children`` limits the pages, ``max_source_chars`` the joined text; without them
     nothing is left out. ``childPagesTotal`` counts all pages of the parent, blank ones too,
-    and ``childPagesCut`` says that pages were left out. Lengths are summed before texts come
-    together: a file too long for one row ends the job with its name instead of being cut
-    (``child_rows`` in order is the form for those). Sums and grouping share one exchange.
+    and ``childPagesCut`` says that pages were left out. Lengths are summed over narrow rows
+    before texts come together: a file too long for one row ends the job with its name instead
+    of being cut, or is left out with ``skip_oversize``; ``oversize_files`` lists such files and
+    ``segments.segments`` has their bodies in pieces.
     """
     place = F.lit(1)
     if max_children is not None:
@@ -53,21 +66,21 @@ def child_bodies(
         place = F.row_number().over(Window.partitionBy("parent_id").orderBy("position", "id"))
     ranked = children.withColumn("place", place)
     inside = F.lit(True) if max_children is None else F.col("place") <= max_children
-    chars = F.sum(F.when(inside, F.length("text") + _JOINER)).over(Window.partitionBy("parent_id"))
-    too_long = F.raise_error(F.concat(F.lit("too long for one row: file "), F.col("parent_id")))
-    text = F.when(F.col("chars") > MAX_ROW_CHARS, too_long.cast("string")).otherwise(F.col("text"))
+    ranked = ranked.withColumn("inside", inside)
+    oversize = oversize_files(ranked.filter("inside"))
+    if skip_oversize:
+        texts, text = ranked.join(oversize, "parent_id", "left_anti"), F.col("text")
+    else:
+        texts = ranked.join(oversize, "parent_id", "left")
+        too_long = F.raise_error(F.concat(F.lit("too long for one row: file "), F.col("parent_id")))
+        text = F.when(F.col("file_chars").isNotNull(), too_long.cast("string")).otherwise(F.col("text"))
     piece = F.struct("position", "id", text.alias("text"))
     wanted = F.col("inside") & F.col("text").isNotNull()
-    grouped = (
-        ranked.withColumn("inside", inside)
-        .withColumn("chars", chars)
-        .groupBy("parent_id")
-        .agg(
-            F.count_if(wanted).alias("childPageCount"),
-            F.count("*").alias("childPagesTotal"),
-            (F.count_if(~F.col("inside")) > 0).alias("childPagesCut"),
-            F.array_sort(F.collect_list(F.when(wanted, piece))).alias("pieces"),
-        )
+    grouped = texts.groupBy("parent_id").agg(
+        F.count_if(wanted).alias("childPageCount"),
+        F.count("*").alias("childPagesTotal"),
+        (F.count_if(~F.col("inside")) > 0).alias("childPagesCut"),
+        F.array_sort(F.collect_list(F.when(wanted, piece))).alias("pieces"),
     )
     joined = F.array_join(F.transform("pieces", lambda p: p.getField("text")), K.PARAGRAPH)
     sourced = grouped.withColumn("source", SH.evaluated_once(joined))

@@ -12,6 +12,7 @@ from entitylake.operators import positions as PO
 from entitylake.operators import predicates as P
 from entitylake.operators import rank as R
 from entitylake.operators import search as S
+from entitylake.operators import segments as SG
 from entitylake.operators import trigrams as TG
 from entitylake.plans import duck as Q
 from entitylake.plans.catalog.registry import query
@@ -225,3 +226,35 @@ def wrk1_hops(spark, sf):
     companies = S.matching(TB.companies(spark, sf), P.has_phrase("nation 8"), schemata="Company")
     rows = TB.entities(spark, sf, TB.companies, TB.contracts, TB.people, TB.orders)
     return G.within_hops(G.entity_links(rows, ["supplier", "order", "customer"]), companies, 3)
+
+
+# --- Bodies of any size ---------------------------------------------------
+
+_BODIES = f"""pages AS (SELECT conv_id, turn, {Q.trim('text')} AS text FROM conversations WHERE {Q.trim('text')} <> ''),
+  bodies AS (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS body FROM pages GROUP BY conv_id)"""
+
+
+@query(
+    "bod3_segments",
+    f"""WITH {_BODIES}, cut AS (SELECT conv_id, body, unnest(range((length(body) + 499) // 500)) AS segment FROM bodies)
+        SELECT 'conv.' || conv_id AS parent_id, segment, segment * 500 AS start, substring(body, segment * 500 + 1, 500) AS text FROM cut""",
+)
+def bod3_segments(spark, sf):
+    return SG.segments(TB.conversation_pages(spark, sf), segment_chars=500)
+
+
+@query(
+    "wrk5_page_citations",
+    rf"""WITH {_BODIES}, parts AS (SELECT conv_id, turn, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+')) AS part,
+            generate_subscripts(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+'), 1) AS i FROM pages),
+          placed AS (SELECT *, sum(length(part)) OVER (PARTITION BY conv_id, turn ORDER BY i) - length(part) AS page_offset FROM parts),
+          sized AS (SELECT conv_id, turn, sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn) - length(text) - 2 AS start FROM pages),
+          words AS (SELECT *, lead(lower(part)) OVER w AS next_word, lead(turn) OVER w AS next_turn FROM placed
+            WHERE regexp_matches(part, '[\p{{L}}\p{{N}}]') WINDOW w AS (PARTITION BY conv_id ORDER BY turn, i)),
+          found AS (SELECT *, (start + page_offset)::BIGINT AS place FROM words JOIN sized USING (conv_id, turn) WHERE lower(part) = 'of' AND next_word = 'the')
+        SELECT 'conv.' || conv_id AS parent_id, place AS body_offset, 'conv.' || conv_id || '.' || turn AS page_id, turn::DOUBLE AS page_position,
+          page_offset::BIGINT AS page_offset, 'conv.' || conv_id || '.' || next_turn AS end_page_id,
+          substring(body, greatest(place - 97, 0) + 1, least(place, 97) + 6 + 97) AS excerpt FROM found JOIN bodies USING (conv_id)""",
+)
+def wrk5_page_citations(spark, sf):
+    return SG.page_citations(TB.conversation_pages(spark, sf), "of the", segment_chars=300)

@@ -155,3 +155,12 @@ def test_stage_by_stage_limit_reaches_the_shuffle(spark, sf):
     plan = B.first_children(B.child_rows(TB.conversation_pages(spark, sf)), 3)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "CartesianProduct" not in text
+
+
+def test_files_too_long_for_one_row_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(B, "MAX_ROW_CHARS", 50)
+    rows = [("big file", float(i), f"p{i}", "t" * 20) for i in range(3)] + [("small", 0.0, "s", "text"), ("small", 1.0, "s1", None)]
+    pages = spark.createDataFrame(rows, "parent_id string, position double, id string, text string")
+    assert [tuple(r) for r in B.oversize_files(pages).collect()] == [("big file", 66)]
+    assert [(r.parent_id, r.bodyText) for r in B.child_bodies(pages, skip_oversize=True).collect()] == [("small", "text")]
+    assert [r.childPageCount for r in B.child_bodies(pages, max_children=1).filter("parent_id = 'big file'").collect()] == [1]
