@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, DateType, NumericType, StringType, TimestampType
 
 from entitylake import constants as K
 from entitylake.functions import bounds as B
@@ -62,8 +63,18 @@ def _place(score: Column, ident: Column) -> Column:
     )
 
 
-def _by_score(hits: DataFrame) -> DataFrame:
-    return hits.orderBy(_place(F.col("score"), F.col("id")))
+_PLACE_TYPES = {"unscored": "boolean", "finite": "boolean", "below": "double", "id": "string", "tie": "long"}
+
+
+_PLAIN = (StringType, NumericType, BooleanType, DateType, TimestampType, BinaryType)
+
+
+def _full_place(hits: DataFrame) -> Column:
+    """The place, and a hash of the row's plain columns after it: hits that share score and id
+    (missing or repeated ids) keep one order, whatever the partitions."""
+    place = _place(F.col("score").cast("double"), F.col("id"))
+    plain = [F.col(f"`{f.name}`") for f in hits.schema.fields if isinstance(f.dataType, _PLAIN)]
+    return F.struct(*[place[name].alias(name) for name in _PLACE_TYPES if name != "tie"], F.xxhash64(*plain).alias("tie"))
 
 
 def _place_at(keys: DataFrame, sizes: dict[int, int], rank: int) -> tuple[Row | None, int]:
@@ -82,47 +93,58 @@ def _place_at(keys: DataFrame, sizes: dict[int, int], rank: int) -> tuple[Row |
     return None, 0
 
 
+def _from_rank(hits: DataFrame, skip: int) -> DataFrame:
+    """The hits from a rank on, without sorting those before it.
+
+    The places of all hits are written once, dealt into sorted parts by range, and the parts'
+    sizes tell which one holds the rank.
+    """
+    places = written(hits.select(_full_place(hits).alias("place")))
+    keys = written(places.repartitionByRange("place").withColumn("part", F.spark_partition_id()))
+    sizes = {row["part"]: row["n"] for row in keys.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    first, passed = _place_at(keys, sizes, skip)
+    if first is None:
+        return hits.limit(0)
+    start = F.struct(*[F.lit(first[k]).cast(t).alias(k) for k, t in _PLACE_TYPES.items()])
+    here = _full_place(hits)
+    rest = hits.filter(here >= start)
+    if passed:
+        # Rows alike in all plain columns: some of them belong to the pages before.
+        tied = rest.filter(here == start).offset(passed)
+        rest = tied.unionByName(rest.filter(here > start))
+    return rest
+
+
 def page(
     hits: DataFrame,
     limit: int | None = None,
     offset: float | None = 0,
     after: tuple[float | None, str | None] | None = None,
 ) -> DataFrame:
-    """One page of the hits, best score first, ties by id.
-
-    A limit alone is a top-k. With an offset the places (score and id) of all hits are
-    written in sorted parts, the parts' sizes tell which one holds the page's first hit, and
-    the hits from that place on make the page: no task sees the skipped hits. Hits with equal
-    places are rows of their own, whether ids are missing or repeated. ``after`` continues
-    behind the last (score, id) of a page and needs no count; hits equal to it are behind it.
+    """One page of the hits, best score first, ties by id, then by a hash of the row.
+
+    A page that ends within the largest page is a top-k: of the best ``offset + limit`` hits the
+    last ``limit`` are numbered off. Further on, the places of all hits are written in sorted
+    parts and the hits from the page's first place on make the page: no task sees the skipped
+    hits. Hits with equal places are rows of their own, whether ids are missing or repeated.
+    ``after`` continues behind the last (score, id) of a page and needs no count; hits equal to it
+    are behind it.
     """
     skip, size = B.clean_offset(offset), B.clamp_limit(limit)
-    score, ident = F.col("score").cast("double"), F.col("id")
     if after is not None:
         last = _place(F.lit(after[0]).cast("double"), F.lit(after[1]).cast("string"))
-        hits = hits.filter(_place(score, ident) > last)
+        hits = hits.filter(_place(F.col("score").cast("double"), F.col("id")) > last)
+    if skip and size is not None and skip + size <= K.MAX_SEARCH_LIMIT:
+        # Both sort by the same key, and the second one sees the few best hits only.
+        best = hits.withColumn("hit_place", _full_place(hits)).orderBy("hit_place").limit(skip + size)
+        numbered = best.withColumn("hit_number", F.row_number().over(Window.orderBy("hit_place")))
+        return numbered.filter(F.col("hit_number") > skip).orderBy("hit_place").select(*hits.columns)
     if skip:
-        places = hits.select(_place(score, ident).alias("place")).repartitionByRange("place")
-        keys = written(places.withColumn("part", F.spark_partition_id()))
-        sizes = {row["part"]: row["n"] for row in keys.groupBy("part").agg(F.count("*").alias("n")).collect()}
-        first, passed = _place_at(keys, sizes, skip)
-        if first is None:
-            return hits.limit(0)
-        start = F.struct(*[F.lit(first[k]).cast(t).alias(k) for k, t in _PLACE_TYPES.items()])
-        here = _place(score, ident)
-        rest = hits.filter(here >= start)
-        if passed:
-            # Of the hits that share the first place, some belong to the pages before.
-            tied = rest.filter(here == start).offset(passed)
-            rest = tied.unionByName(rest.filter(here > start))
-        hits = rest
-    ordered = _by_score(hits)
+        hits = _from_rank(hits, skip)
+    ordered = hits.orderBy(_full_place(hits))
     return ordered if size is None else ordered.limit(size)
 
 
-_PLACE_TYPES = {"unscored": "boolean", "finite": "boolean", "below": "double", "id": "string"}
-
-
 def search(
     entities: DataFrame,
     where: Column | None = None,
@@ -172,20 +194,26 @@ def _facet_pairs(name: str) -> Column:
     return F.transform(found, lambda v: F.struct(F.lit(name).alias("facet"), v.alias("value")))
 
 
-def facets(hits: DataFrame, fields: Iterable[str], top: int | None = None) -> DataFrame:
+def facets(
+    hits: DataFrame, fields: Iterable[str], top: int | None = None, repeated: bool = False
+) -> DataFrame:
     """Number of entities per value of each field, all fields in one pass.
 
-    Values are made distinct inside each row, so counting rows counts entities and the
-    counts combine before the shuffle however common a value is.
+    Values are made distinct inside each row, so over a table with one row per entity counting
+    rows counts entities, and the counts combine before the shuffle however common a value is.
+    Where entities repeat (hits of several searches, captured pages), ``repeated`` counts distinct
+    ids: each (facet, value, id) once, in its own shuffle with partial aggregation, then as above;
+    rows without an id count one each.
     """
     names = [name for name in dict.fromkeys(f.strip() for f in fields) if name]
     pairs = F.flatten(F.array(*[_facet_pairs(name) for name in names]))
-    counts = (
-        hits.select(F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy("facet", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    if repeated:
+        # An id that is missing can't be told from another one that is.
+        own = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+        found = hits.select("id", own.alias("own"), F.inline(pairs)).distinct()
+    else:
+        found = hits.select(F.inline(pairs))
+    counts = found.filter(F.col("value").isNotNull()).groupBy("facet", "value").agg(F.count("*").alias("n"))
     if top is None:
         return counts
     order = [F.col("n").desc(), F.col("value")]

@@ -258,3 +258,20 @@ def bod3_segments(spark, sf):
 )
 def wrk5_page_citations(spark, sf):
     return SG.page_citations(TB.conversation_pages(spark, sf), "of the", segment_chars=300)
+
+
+# --- Facets over hits that repeat -----------------------------------------
+
+
+@query(
+    "agg3_repeated_facets",
+    f"""WITH {Q.ENTITIES}, f AS (SELECT 'status' AS facet, props['status'] AS value, id FROM entities
+          UNION ALL SELECT 'customer', props['customer'], id FROM entities UNION ALL SELECT 'schema', schema, id FROM entities)
+        SELECT facet, value, count(DISTINCT id) AS n FROM f WHERE value IS NOT NULL GROUP BY ALL""",
+)
+def agg3_repeated_facets(spark, sf):
+    """Facets of all entities and, once more, of the open orders and the trade collection."""
+    rows = TB.entities(spark, sf)
+    again = [S.matching(rows, P.prop_eq("status", "O")), S.matching(rows, collection_id="trade")]
+    hits = rows.unionByName(again[0]).unionByName(again[1])
+    return S.facets(hits, ["status", "customer", "schema"], repeated=True)

@@ -6,16 +6,18 @@ import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitylake.functions import text as T
 from entitylake.functions import tokens as W
 from entitylake.operators import bodies as BD
+from entitylake.operators import graph as G
 from entitylake.operators import joins as J
 from entitylake.operators import predicates as P
 from entitylake.operators import search as S
 from entitylake.operators import shape as SH
+from entitylake.session import written
 
 
 def follow_company(entities: DataFrame, name: str, link_keys: Iterable[str]) -> DataFrame:
@@ -23,21 +25,15 @@ def follow_company(entities: DataFrame, name: str, link_keys: Iterable[str]) ->
 
     Every link of an entity that names such a company is returned, so a contract that names
     it leads on to the orders and people the contract names; and every link of the companies
-    themselves. One pass makes the links of all keys, another finds the companies.
+    themselves. The few entities that are tied to a company are found first, by a semi join of
+    the links with the companies; a second one keeps their links. Only ids of companies and of
+    tied entities meet the links, so Spark broadcasts them while they are few.
     """
-    def named_links(key: str) -> Column:
-        ids = F.coalesce(F.array_distinct(P.linked(key)), F.array().cast("array<string>"))
-        return F.transform(ids, lambda target: F.struct(F.lit(key).alias("role"), target.alias("entity_id")))
-
-    pairs = F.flatten(F.array(*[named_links(key) for key in dict.fromkeys(link_keys)]))
-    links = entities.filter(F.col("id").isNotNull()).select(F.col("id").alias("source_id"), F.inline(pairs))
-    companies = S.matching(entities, P.has_phrase(name), schemata="Company").select("id").distinct()
-    named = companies.select(F.col("id").alias("entity_id"), F.lit(True).alias("named"))
-    own = companies.select(F.col("id").alias("source_id"), F.lit(True).alias("own"))
-    marked = links.join(named, "entity_id", "left").join(own, "source_id", "left")
-    # An entity's links come from one row of the table, which bounds its group.
-    tied = F.max(F.coalesce("named", "own", F.lit(False))).over(Window.partitionBy("source_id"))
-    return marked.withColumn("tied", tied).filter("tied").select("entity_id", "role", "source_id")
+    links = G.entity_links(entities, link_keys)
+    companies = written(S.matching(entities, P.has_phrase(name), schemata="Company").select("id").distinct())
+    naming = links.join(companies.select(F.col("id").alias("target_id")), "target_id", "left_semi")
+    tied = written(naming.select("source_id").unionByName(companies.select(F.col("id").alias("source_id"))).distinct())
+    return links.join(tied, "source_id", "left_semi").select(F.col("target_id").alias("entity_id"), "role", "source_id")
 
 
 def mentions(
@@ -118,7 +114,9 @@ def citations(
     """``id, schema, link, collection_id, excerpt`` with a verbatim piece of the body.
 
     The phrase is found by its words, as the search finds it: in any case, with any signs or
-    white space between them.
+    white space between them. Bodies are lower-cased once and tested for the words as plain
+    substrings; the pattern looks at what is left, and what stands before the first word is
+    looked at only where that word is.
 
     Bodies are built first and searched afterwards, because the text of a paged file may
     only exist on its pages.
@@ -129,9 +127,20 @@ def citations(
     body = F.coalesce("bodyMarkdown", "bodyText")
     side = max(0, (excerpt_chars - len(phrase)) // 2)
     bodies = BD.full_body(entities, children, keep=("link", "collection_id"))
-    phrase_pattern = W.SEPARATOR_PATTERN.join(re.escape(word) for word in words)
+    between, after = W.SEPARATOR_PATTERN, r"(?![\p{L}\p{N}])"
+
+    def pattern(flags: str) -> Column:
+        first, *others = [re.escape(word) for word in words]
+        return F.lit(rf"{flags}{first}(?<![\p{{L}}\p{{N}}]{first})" + "".join(between + word for word in others) + after)
+
+    def place(lowered: Column) -> Column:
+        # Where small letters have another length, places have to come from the body itself.
+        even = F.length(lowered) == F.length(body)
+        found = F.when(even, F.regexp_instr(lowered, pattern(""))).otherwise(F.regexp_instr(body, pattern("(?iu)")))
+        return F.when(reduce(lambda a, b: a & b, [F.contains(lowered, F.lit(word)) for word in words]), found)
+
     excerpt = T.bind(
-        F.regexp_instr(body, F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}]){phrase_pattern}(?![\p{{L}}\p{{N}}])")),
+        T.bind(F.lower(body), place),
         lambda at: F.when(
             at > 0,
             F.substring(

@@ -256,3 +256,42 @@ def test_citations_follow_the_search(entity):
     cited = WF.citations(corpus, "übersicht plan").collect()
     assert {r.id for r in cited} == set(ids(S.matching(corpus, P.has_phrase("übersicht plan")))) == {"a", "b"}
     assert all(r.excerpt in texts[r.id] for r in cited)
+
+
+def test_facets_of_repeated_entities_count_ids(corpus):
+    twice = corpus.unionByName(corpus).unionByName(corpus.filter("id = 'x'"))
+    once = sorted(map(tuple, S.facets(corpus, ["countries", "schema"]).collect()))
+    assert sorted(map(tuple, S.facets(twice, ["countries", "schema"], repeated=True).collect())) == once
+    assert {r.n for r in S.facets(twice, ["schema"]).collect()} == {3, 2, 8}
+    unnamed = corpus.withColumn("id", F.when(F.col("id") != "x", F.col("id")).cast("string")).unionByName(corpus.filter("id = 'x'").withColumn("id", F.lit(None).cast("string")))
+    assert {r.value: r.n for r in S.facets(unnamed, ["countries"], repeated=True).collect()} == {"de": 3, "fr": 2}
+    assert S.facets(twice, ["countries", "schema"], top=1, repeated=True).count() == 2
+
+
+def test_pages_of_ties_are_the_same_in_every_run(spark):
+    rows = [(None, 1.0, f"row {i}") for i in range(400)]
+    wanted = None
+    for parts in (1, 3, 7):
+        hits = spark.createDataFrame(rows, "id string, score double, own_id string").repartition(parts)
+        pages = [[r.own_id for r in S.page(hits, 40, offset).collect()] for offset in range(0, 400, 40)]
+        assert sorted(x for page in pages for x in page) == sorted(r[2] for r in rows)
+        assert wanted in (None, pages)
+        wanted = pages
+    assert [r.own_id for r in S.page(hits, None, 360).collect()] == wanted[-1]
+
+
+def test_pages_within_the_largest_are_a_top_k(corpus):
+    plan = S.page(corpus, 5, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=45" in plan and "rangepartitioning" not in plan
+
+
+def test_tied_links_need_no_window(corpus):
+    plan = WF.follow_company(corpus, "acme", ["director"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "LeftSemi" in plan
+
+
+def test_citations_where_small_letters_are_longer(entity):
+    texts = {"a": "İİİ of the mill", "b": "proof theme", "c": "x_of.The", "d": "of of the"}
+    corpus = entity(*[{"id": k, "schema": "Pages", "properties": {"bodyText": [t]}} for k, t in texts.items()])
+    cited = {r.id: r.excerpt for r in WF.citations(corpus, "of the", excerpt_chars=6).collect()}
+    assert cited == {"a": "of the", "c": "of.The", "d": "of the"}
