@@ -42,6 +42,11 @@ HEADLINE = (
     "wrk2_person_of_interest",
     "wrk5_citations",
     "wrk6_cross_border",
+    "agg5_percolated",
+    "flt3_phrase_postings",
+    "post1_fuzzy_neighbours",
+    "wrk1_hops",
+    "wrk5_page_citations",
 )
 
 

@@ -173,7 +173,7 @@ def prop_date_cmp(key: str, op: str, date: str) -> Column:
     return _any_value(key, lambda v: _COMPARE[op](v.try_cast("date"), wanted))
 
 
-def _period_end(date: str) -> str:
+def period_end(date: str) -> str:
     """The last day of a year or month; a whole date as it is."""
     parts = [int(part) for part in date.strip().split("-")] if re.fullmatch(r"\d{4}(-\d{1,2})?", date.strip()) else []
     if not parts:
@@ -184,7 +184,7 @@ def _period_end(date: str) -> str:
 
 def prop_date_between(key: str, low: str, high: str) -> Column:
     """Both ends included: an upper end that is a year or a month counts to its last day."""
-    first, last = F.lit(low).cast("date"), F.lit(_period_end(high)).cast("date")
+    first, last = F.lit(low).cast("date"), F.lit(period_end(high)).cast("date")
     return _any_value(key, lambda v: v.try_cast("date").between(first, last))
 
 

@@ -18,6 +18,7 @@ from entitylake.plans import duck as Q
 from entitylake.plans.catalog.registry import query
 from entitylake.session import shared_folder
 from entitylake.sources import testbed as TB
+from entitylake.sources import zones as Z
 
 _DOCS = f"WITH {Q.DOCS}, d AS (SELECT *, {Q.line('search_text')} AS line, {Q.words('search_text')} AS words FROM docs)"
 
@@ -275,3 +276,43 @@ def agg3_repeated_facets(spark, sf):
     again = [S.matching(rows, P.prop_eq("status", "O")), S.matching(rows, collection_id="trade")]
     hits = rows.unionByName(again[0]).unionByName(again[1])
     return S.facets(hits, ["status", "customer", "schema"], repeated=True)
+
+
+# --- Tables that skip -----------------------------------------------------
+
+_ZONES = {"date": "date", "total": "double"}
+
+
+def _zoned(spark, sf, *builders):
+    path = shared_folder(spark)
+    Z.write_zoned(TB.entities(spark, sf, *builders), path, _ZONES)
+    return Z.read_zoned(spark, path, _ZONES)
+
+
+@query(
+    "flt12_pruned_range",
+    f"""WITH {Q.ENTITIES} SELECT id FROM entities WHERE (schema = 'Order' OR schema = 'Event')
+        AND try_cast(props['date'] AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'""",
+)
+def flt12_pruned_range(spark, sf):
+    """Dates over a written table whose zone columns skip other years."""
+    rows = _zoned(spark, sf, TB.orders, TB.events)
+    return S.matching(rows, Z.date_between("date", "1996", "1996-03"), schema=["Order", "Event"]).select("id")
+
+
+@query(
+    "flt13_pruned_number",
+    f"""WITH {Q.ENTITIES} SELECT id FROM entities WHERE schema = 'Order' AND try_cast(props['total'] AS DOUBLE) > 490000""",
+)
+def flt13_pruned_number(spark, sf):
+    return S.matching(_zoned(spark, sf, TB.orders), Z.num_cmp("total", ">", 490000)).select("id")
+
+
+@query(
+    "src2_stored_lookup",
+    f"""WITH {Q.ENTITIES} SELECT id, schema FROM entities WHERE id IN ('order.100', 'person.7', 'order.absent', 'contract.1.1')""",
+)
+def src2_stored_lookup(spark, sf):
+    """Four ids, one of them absent, looked up in a written table by its Bloom filters."""
+    rows = _zoned(spark, sf, TB.orders, TB.people, TB.contracts)
+    return Z.lookup(rows, ["order.100", "person.7", " order.absent ", "contract.1.1", "order.100"]).select("id", "schema")
