@@ -225,11 +225,22 @@ def facets(
 # --- Highlights -----------------------------------------------------------
 
 
+_IN_WORD = r"[\p{L}\p{N}]"
+
+
 def fragments(
-    text: Column, terms: list[str], count: int | None = None, length: int | None = None
+    text: Column,
+    terms: list[str],
+    count: int | None = None,
+    length: int | None = None,
+    whole_words: bool = False,
 ) -> Column:
     """Pieces of ``length`` characters around the terms (letters of any case), which are marked
-    with ``<em>``. Pieces don't overlap; the last may be shorter at the end of the text."""
+    with ``<em>``. Pieces don't overlap; the last may be shorter at the end of the text.
+
+    With ``whole_words`` a term counts where no letter or digit stands beside it in the text (not
+    only in the piece), as the search counts words; without it also inside longer words.
+    """
     count = B.within("highlight_count", count or K.DEFAULT_HIGHLIGHT_COUNT, 1, K.MAX_HIGHLIGHT_COUNT)
     length = B.within(
         "highlight_length", length or K.DEFAULT_HIGHLIGHT_LENGTH, 1, K.MAX_HIGHLIGHT_LENGTH
@@ -237,7 +248,8 @@ def fragments(
     wanted = [t for t in terms if t]
     if not wanted:
         return F.array().cast("array<string>")
-    pattern = f"(?isu)({'|'.join(re.escape(t) for t in sorted(wanted, key=len, reverse=True))})"
+    named = f"({'|'.join(re.escape(t) for t in sorted(wanted, key=len, reverse=True))})"
+    pattern = f"(?isu)(?<!{_IN_WORD}){named}(?!{_IN_WORD})" if whole_words else f"(?isu){named}"
     long = max(0, (length - max(len(t) for t in wanted)) // 2)
 
     def starts(between: Column, words: Column) -> Column:
@@ -266,7 +278,20 @@ def fragments(
         return F.aggregate(F.sequence(F.lit(0), F.size(words) - 1), none, step, lambda done: done["starts"])
 
     def marked(start: Column) -> Column:
-        return F.regexp_replace(F.substring(text, start + 1, F.lit(length)), pattern, "<em>$1</em>")
+        piece = F.substring(text, start + 1, F.lit(length))
+        if not whole_words:
+            return F.regexp_replace(piece, pattern, "<em>$1</em>")
+
+        # Where the piece cuts a word, its first or last letters are no word of the text.
+        def mark(cut_before: bool, cut_after: bool) -> Column:
+            edges = (r"(?<!\A)" if cut_before else "", r"(?!\z)" if cut_after else "")
+            return F.regexp_replace(piece, f"(?isu)(?<!{_IN_WORD}){edges[0]}{named}(?!{_IN_WORD}){edges[1]}", "<em>$1</em>")
+
+        before = (start > 0) & F.substring(text, start, F.lit(1)).rlike(_IN_WORD)
+        after = F.substring(text, start + length + 1, F.lit(1)).rlike(_IN_WORD)
+        return (
+            F.when(before & after, mark(True, True)).when(before, mark(True, False)).when(after, mark(False, True)).otherwise(mark(False, False))
+        )
 
     none = F.array().cast("array<string>")
     return F.coalesce(
@@ -286,5 +311,6 @@ def fragments(
 def with_highlights(
     hits: DataFrame, terms: list[str], count: int | None = None, length: int | None = None
 ) -> DataFrame:
-    found = fragments(P.search_text(), terms, count, length)
+    """Highlights of whole words: those that made the entity a hit and count for its score."""
+    found = fragments(P.search_text(), terms, count, length, whole_words=True)
     return hits.withColumn("highlight", found).withColumn("highlight_is_array", F.lit(True))

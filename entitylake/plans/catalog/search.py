@@ -366,9 +366,9 @@ def _bm25(words: str, terms: list[str]) -> str:
         for i in range(len(terms))
     )
     hit = " OR ".join(f"tf{i} > 0" for i in range(len(terms)))
-    return f"""t AS (SELECT id, text, len(words) AS length, {tf} FROM {words}),
+    return f"""t AS (SELECT id, text, search_text, len(words) AS length, {tf} FROM {words}),
         s AS (SELECT count(*) AS docs, avg(length) AS average, {df} FROM t),
-        r AS (SELECT id, text, {weight} AS score FROM t, s WHERE {hit})"""
+        r AS (SELECT id, text, search_text, {weight} AS score FROM t, s WHERE {hit})"""
 
 
 @query(
@@ -393,8 +393,8 @@ def lim4_bm25_postings(spark, sf):
 @query(
     "lim4_ranked_search",
     f"""WITH RECURSIVE {_DOCS.removeprefix("WITH ")}, {_bm25('d', ['erst', 'with'])},
-        p AS (SELECT id, text, round(score, 6) AS score FROM r ORDER BY score DESC, id LIMIT 20),
-        {Q.fragments('p', 'text', ['erst', 'with'], 2, 100, ['id', 'score'])}
+        p AS (SELECT id, search_text, round(score, 6) AS score FROM r ORDER BY score DESC, id LIMIT 20),
+        {Q.word_fragments('p', 'search_text', ['erst', 'with'], 2, 100, ['id', 'score'])}
         SELECT id, score, len(found) AS fragments FROM fragments""",
 )
 def lim4_ranked_search(spark, sf):

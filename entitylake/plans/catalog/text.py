@@ -233,6 +233,20 @@ def scl16_long_fragments(spark, sf):
     return _found(spark, sf, ["ÉTION", "heit", "que"], 3, 5000)
 
 
+@query(
+    "scl16_word_fragments",
+    f"""WITH RECURSIVE {Q.word_fragments('documents', 'text', ['tion', 'the', 'un'], 3, 60, ['doc_id'])}
+        SELECT doc_id, coalesce(len(found), 0) AS n, coalesce(array_to_string(found, '|'), '') AS fragments FROM fragments""",
+)
+def scl16_word_fragments(spark, sf):
+    """Terms as whole words; the marks are taken out again for the comparison."""
+    found = S.fragments(F.col("text"), ["tion", "the", "un"], count=3, length=60, whole_words=True)
+    plain = F.transform("found", lambda x: F.regexp_replace(x, "</?em>", ""))
+    return table(spark, sf, "documents").select("doc_id", found.alias("found")).select(
+        "doc_id", F.size("found").alias("n"), F.array_join(plain, "|").alias("fragments")
+    )
+
+
 @query(
     "set1_schema_names",
     """SELECT c_custkey, c_mktsegment || ' Email Pages' AS names FROM customer""",

@@ -176,6 +176,25 @@ def fragments(rows: str, text: str, terms: list[str], count: int, length: int, k
         FILTER (start IS NOT NULL) AS found FROM walk GROUP BY ALL)"""
 
 
+def word_fragments(rows: str, text: str, terms: list[str], count: int, length: int, keep: list[str]) -> str:
+    """The same for whole words, unmarked: the sign before what is left decides about its first word."""
+    side = max(0, (length - max(len(t) for t in terms)) // 2)
+    names = ", ".join(keep)
+    word = f"(?:{'|'.join(sorted(terms, key=len, reverse=True))})"
+    find = rf"(?is)^(.*?[^\p{{L}}\p{{N}}])({word})(?:[^\p{{L}}\p{{N}}]|$)"
+    rest = "CASE WHEN stop = 0 THEN ' ' || whole ELSE substring(whole, stop) END"
+    return f"""walk AS (
+      SELECT {names}, {text} AS whole, 0 AS stop, 0 AS n, NULL::INTEGER AS start FROM {rows}
+      UNION ALL
+      SELECT {names}, whole, greatest(start + {length}, place + wide) AS stop, n + 1, start FROM (
+        SELECT {names}, whole, n, place, wide, greatest(place - {side}, stop) AS start FROM (
+          SELECT {names}, whole, n, stop, greatest(stop - 1, -1) + length(regexp_extract(rest, '{find}', 1)) AS place,
+            length(regexp_extract(rest, '{find}', 2)) AS wide FROM (
+            SELECT *, {rest} AS rest FROM walk WHERE n < {count}) WHERE regexp_matches(rest, '{find}')))),
+    fragments AS (
+      SELECT {names}, list(whole[start + 1:start + {length}] ORDER BY n) FILTER (start IS NOT NULL) AS found FROM walk GROUP BY ALL)"""
+
+
 def strip_highlight(x: str) -> str:
     plain = replace_all(x, K.HIGHLIGHT_TAG_PATTERN, "")
     return trim(replace_all(plain, K.WHITESPACE_CLASS + "+", " "))
