@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from entitylake import constants as K
 from entitylake.functions import display as D
 from entitylake.functions import text as T
 from entitylake.functions import urls as U
 from entitylake.operators import shape as SH
+from entitylake.session import shared_folder
 from entitylake.sources import payloads as PL
 
 
@@ -63,7 +65,7 @@ def _search_bodies(searches: DataFrame, head: tuple[str, ...], **options) -> Dat
     """
     named = searches.withColumn("body_key", F.md5("body"))
     keyed = (*head, "body_key")
-    hits = PL.scan_envelopes(named, keep=keyed)
+    hits = PL.scan_envelopes(named, keep=keyed, decoded=True)
     records = SH.to_json_records(
         SH.search_records(hits, keep=(*keyed, "rank"), **options), keep=(*keyed, "rank")
     )
@@ -100,18 +102,26 @@ def search_output(responses: DataFrame, include_raw: bool = False, **options) ->
 
 def shape_log(responses: DataFrame, console: bool = False) -> DataFrame:
     """``response_id, url, status, kind, body`` with slim bodies where they apply; one row for
-    each row of the log, also where responses repeat or have no id."""
-    known = classify(responses)
+    each row of the log, also where responses repeat or have no id.
+
+    The log is read and decoded once: rows go to the shared folder by kind, with their decoded
+    body, and each branch reads its own kind.
+    """
     head = ("response_id", "url", "status", "kind")
-    searches = known.filter(F.col("kind") == "search")
+    sorted_out = classify(responses).withColumn(
+        "kind_dir", F.when((F.col("kind") == "entity") & ~D.is_object("doc"), F.lit("plain")).otherwise(F.col("kind"))
+    )
+    path = shared_folder(responses.sparkSession)
+    sorted_out.write.partitionBy("kind_dir").parquet(path)
+    stored = StructType([*sorted_out.schema.fields[:-1], StructField("kind_dir", StringType())])
+    known = responses.sparkSession.read.schema(stored).parquet(path)
+    searches = known.filter(F.col("kind_dir") == "search").drop("kind_dir")
     search_bodies = _search_bodies(searches, head).select(*head, F.col("records").alias("body"))
-    entities = known.filter((F.col("kind") == "entity") & D.is_object("doc"))
+    entities = known.filter(F.col("kind_dir") == "entity")
     entity_bodies = SH.to_json_records(
-        SH.entity_records(PL.scan_entities(entities, "body", keep=head), keep=head), keep=head
+        SH.entity_records(PL.scan_entities(entities, "body", keep=head, decoded=True), keep=head), keep=head
     ).withColumnRenamed("json", "body")
-    others = known.filter(
-        (F.col("kind") == "other") | ((F.col("kind") == "entity") & ~D.is_object("doc"))
-    ).select(*head, "body")
+    others = known.filter(F.col("kind_dir").isin("other", "plain")).select(*head, "body")
     return (
         search_bodies.unionByName(entity_bodies)
         .unionByName(others)

@@ -50,22 +50,26 @@ def split_responses(responses: DataFrame, label: str = "Request failed") -> tupl
     return responses.filter(good), failed
 
 
-def scan_envelopes(df: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+def scan_envelopes(
+    df: DataFrame, body: str = "body", keep: tuple[str, ...] = (), decoded: bool = False
+) -> DataFrame:
     """Entities inside search responses; ``rank`` is their place in the response.
 
-    Bodies without a ``results`` list give no rows.
+    Bodies without a ``results`` list give no rows. With ``decoded`` the table has its ``doc`` already.
     """
     results = F.expr("try_variant_get(doc, '$.results', 'array<variant>')")
-    hits = decode(df, body).select(*keep, F.posexplode(results).alias("rank", "doc"))
+    hits = (df if decoded else decode(df, body)).select(*keep, F.posexplode(results).alias("rank", "doc"))
     return entities_from_documents(hits, keep)
 
 
-def scan_entities(df: DataFrame, body: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+def scan_entities(
+    df: DataFrame, body: str = "raw", keep: tuple[str, ...] = (), decoded: bool = False
+) -> DataFrame:
     """Entities from rows that hold one JSON object each; other rows are left out
     here and reported by :func:`rejected_entities`."""
     one = F.expr("filter(array(doc), d -> try_variant_get(d, '$', 'map<string,variant>') IS NOT NULL)")
     return entities_from_documents(
-        decode(df, body).select(*keep, F.posexplode(one).alias("rank", "doc")), keep
+        (df if decoded else decode(df, body)).select(*keep, F.posexplode(one).alias("rank", "doc")), keep
     )
 
 
