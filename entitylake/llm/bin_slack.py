@@ -21,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -103,25 +104,48 @@ def table_of(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int
     return rows
 
 
+def _ranks(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """How many pieces of the same length came before each one; ``seen`` counts them on."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    within = np.arange(len(ordered)) - np.repeat(first, np.diff(np.r_[first, len(ordered)]))
+    ranks = np.empty(len(lengths), np.int64)
+    ranks[order] = within + seen[ordered]
+    seen += np.bincount(lengths, minlength=len(seen))
+    return ranks
+
+
 def _cutter(vocabulary: str, end_id: int, capacity: int):
+    names = [field.split()[0] for field in PIECE.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary).encode, struct.pack("<I", end_id)
-        task, serials = TaskContext.get().partitionId(), Counter()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in slices(batches, 1):
-            columns: list[list] = [[] for _ in kinds]
-            for number, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, capacity):
-                    length = min(capacity, total - start)
-                    row = (number, start, length, total, ids[4 * start : 4 * (start + length)], task, serials[length])
-                    serials[length] += 1
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PIECE.split(", ")]
-            )
+            texts = encode(batch.column(1).to_pylist())
+            totals = np.array([len(ids) // 4 + 1 for ids in texts], np.int64)
+            counts = -(-totals // capacity)
+            document = np.repeat(np.arange(len(totals)), counts)
+            starts = (np.arange(len(document)) - np.repeat(np.cumsum(counts) - counts, counts)) * capacity
+            lengths = np.minimum(capacity, totals[document] - starts)
+            # The pieces of all documents lie one after the other in what is joined here.
+            edges = np.zeros(len(lengths) + 1, np.int64)
+            np.cumsum(4 * lengths, out=edges[1:])
+            joined = b"".join(part for ids in texts for part in (ids, end))
+            ids = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(lengths), [None, pa.py_buffer(edges), pa.py_buffer(joined)]
+            ).cast(pa.binary())
+            columns = [
+                batch.column(0).take(pa.array(document)),
+                pa.array(starts),
+                pa.array(lengths),
+                pa.array(totals[document]),
+                ids,
+                pa.array(np.full(len(lengths), task, np.int32)),
+                pa.array(_ranks(lengths, seen)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -155,7 +179,11 @@ def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = cut.join(bases, ["task", "length"]).withColumn("rank", F.col("base") + F.col("serial"))
+    # One row per task, with its base for every length: a fraction of the room of single rows.
+    every = F.sequence(F.lit(0).cast("long"), F.lit(capacity).cast("long"))
+    found = bases.groupBy("task").agg(F.map_from_entries(F.collect_list(F.struct("length", "base"))).alias("known"))
+    lists = found.select("task", F.transform(every, lambda n: F.coalesce(F.try_element_at("known", n), F.lit(0))).alias("bases"))
+    ranked = cut.join(lists, "task").withColumn("rank", F.get("bases", F.col("length").cast("int")) + F.col("serial"))
     p, t = ranked.alias("p"), F.broadcast(table).alias("t")
     here = (F.col("p.length") == F.col("t.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     nth = F.col("rank") - F.col("low")

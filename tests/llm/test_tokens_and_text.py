@@ -21,7 +21,6 @@ from entitylake.llm.template import Template, TemplateError
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -38,6 +37,25 @@ def test_pieces_encode_like_whole_texts(plain):
     assert encoder().encode([None, *texts]) == [as_bytes(plain(text)) for text in ["", *texts]]
 
 
+def test_parts_of_pieces_encode_like_whole_texts(plain):
+    """Line breaks, quotes, digits and signs at every edge of words."""
+    draw = random.Random(2)
+    words = ["it", "Ünder", "été", "a", "ǅx", "×", "µ", "ª", "12", "٣", "x1y2"]
+    edges = [".", ",\n", "\n", "\n\n", "'s", "'", "\"", "'\n", "...", "—", "”", "(", "\r\n", "\n'", "_", "#1", "$", "\x7f", "\x85"]
+    texts = [
+        "".join(draw.choice([" ", "", "\n"]) + draw.choice(edges + [""] * 9) + draw.choice(words) + draw.choice(edges + [""] * 9) for _ in range(draw.randint(1, 9)))
+        for _ in range(6000)
+    ]
+    texts += [word + edge + other for word in words for edge in edges for other in ["", *words]]
+    assert encoder().encode(texts) == [as_bytes(plain(text)) for text in texts]
+
+
+def test_added_tokens_are_the_library_s(plain):
+    text = "a<|endoftext|>b it.\nc"
+    assert plain(text)[1] == 50256
+    assert encoder().encode([text, "a<|endoftext|", text]) == [as_bytes(plain(x)) for x in (text, "a<|endoftext|", text)]
+
+
 def test_memo_is_bounded(plain, monkeypatch):
     monkeypatch.setattr("entitylake.llm.encoder.MEMO_PIECES", 3)
     small = PieceEncoder(public_tokenizers.path(VOCABULARY))
