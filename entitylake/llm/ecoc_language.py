@@ -37,12 +37,18 @@ BUCKETS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE = 400
 SAMPLE_ROWS = 4096
+MOST_LANGUAGES = 512
 STEPS = 150
 PENALTY = 1e-4
 CLOSE = 0.2
 SLICE_CHARS = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    """Numerals such as a half or a raised two are no letters."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
 def _plain_table() -> np.ndarray:
@@ -112,7 +118,7 @@ class Languages:
 
     def decode(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether it is ambiguous."""
-        if not text or not self.names or not _LETTER.search(text):
+        if not text or not self.names or not has_letter(text):
             return UNDETERMINED, 0.0, True
         if len(self.names) == 1:
             return self.names[0], 1.0, False
@@ -177,22 +183,25 @@ def train(
     remainder: int = 2,
     sample: int = SAMPLE,
     sample_rows: int = SAMPLE_ROWS,
+    languages: int = MOST_LANGUAGES,
 ) -> Languages:
     """Classifiers from labelled rows whose id is not held out.
 
     Rows are counted per language first, so that each language's hash threshold lets through
-    about ``sample`` rows; ``sample_rows`` profiles come to the driver at most.
+    about ``sample`` rows; ``sample_rows`` profiles come to the driver at most. The ``languages``
+    most frequent values of the column are learned: a column of noise stays bounded.
     """
     number = F.col(f"`{ident}`")
     rows = docs.select(
         number.alias("llm_id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & number.isNotNull() & ~held_out(number, modulus, remainder))
-    counts = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(languages)
+    counts = {row["lang"]: row["n"] for row in sizes.collect()}
     if not counts:
         return fit(np.zeros((0, BUCKETS), np.float32), [])
     wanted = max(1, min(sample, sample_rows * 4 // 5 // len(counts)))
     pairs = [F.lit(x) for name, n in sorted(counts.items()) for x in (name, min(1.0, wanted / n))]
-    share = F.element_at(F.create_map(*pairs), F.col("lang"))
+    share = F.try_element_at(F.create_map(*pairs), F.col("lang"))
     draw = F.pmod(F.xxhash64("llm_id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     found = rows.where(draw < share).select("lang", "text").mapInArrow(_profiles, "lang string, profile binary")
     got = sorted((row["lang"], bytes(row["profile"])) for row in found.limit(sample_rows).collect())

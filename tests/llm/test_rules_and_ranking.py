@@ -213,3 +213,16 @@ def test_mixed_rows_repeat_and_keep_columns(documents):
     expected = {row["doc_id"]: row["taken"] // 3 for row in weighted_mix.mix(table).collect()}
     assert Counter(row["doc_id"] for row in found.collect()) == Counter({k: v for k, v in expected.items() if v})
     assert weighted_mix.mix(table.limit(0)).count() == 0 and weighted_mix.mixed(table.limit(0)).count() == 0
+
+
+def test_texts_without_a_letter_are_undetermined(languages):
+    for text in ("½ ²", "12 34", "٣", "—", "_", "\u0301"):
+        assert languages.decode(text) == ("und", 0.0, True)
+    assert languages.decode("½ the house")[0] == "en"
+    assert ecoc_language.has_letter("語") and not ecoc_language.has_letter("Ⅷ")
+
+
+def test_most_frequent_labels_are_learned(documents):
+    rows = [(i, f"the house number {i}", "en", "s") for i in range(40)] + [(100 + i, "x", f"noise {i}", "s") for i in range(30)]
+    model = ecoc_language.train(documents(*rows), languages=2)
+    assert len(model.names) <= 2 and "en" in model.names
