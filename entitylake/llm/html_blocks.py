@@ -14,11 +14,10 @@ from dataclasses import dataclass
 
 import xxhash
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/?)|[^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile("[>\"']")
+#: Tags of a page whose quotes may turn out to stay open before quotes count as plain signs.
+OPEN_QUOTES = 8
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_WORD = re.compile(r"[a-z]+")
 
@@ -119,30 +118,88 @@ def _opened(name: str, rest: str, parent: _Element) -> _Element:
     return _Element(name, inline, path, around, main)
 
 
-def _closes(name: str, stack: list[_Element]) -> int:
-    """From where on the start of a block element closes what is open; 0 for nothing."""
-    bounds = CLOSED_WITHIN.get(name)
-    if bounds:
-        for index in range(len(stack) - 1, 0, -1):
-            if stack[index].name == name:
-                return index
-            if stack[index].name in bounds:
-                break
-    for index in range(len(stack) - 1, 0, -1):
-        if stack[index].name == "p":
+class _Tags:
+    """The tags of a page one after the other, in time proportional to its length."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.last = source, source.rfind(">")
+        self.quotes_left = OPEN_QUOTES
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name (empty for comments and the like), whether it is an end tag, and what follows the name."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if source.startswith(opening, start):
+                    end = source.find(closing, start + len(opening))
+                    return start, len(source) if end < 0 else end + 3, "", False, ""
+            at = start + 1
+            if start > self.last:
+                # No tag ends behind here; a comment may still begin.
+                start = min((x for x in (source.find("<!--", at), source.find("<![CDATA[", at)) if x >= 0), default=-1)
+                if start < 0:
+                    return None
+                at = start
+                continue
+            if source.startswith(("<!", "<?"), start):
+                return start, source.index(">", at) + 1, "", False, ""
+            named = _NAME.match(source, start)
+            if named:
+                end = self._end(named.end())
+                return start, end + 1, named[1], source[at] == "/", source[named.end() : end]
+        return None
+
+    def _end(self, at: int) -> int:
+        """Where a tag ends: behind its quoted values, or at the first sign that may be it if a quote stays open."""
+        source, place = self.source, at
+        if self.quotes_left and source[at].isspace():
+            while stop := _STOP.search(source, place):
+                if stop[0] == ">":
+                    return stop.start()
+                place = source.find(stop[0], stop.end()) + 1
+                if not place:
+                    break
+            self.quotes_left -= 1
+        return source.index(">", at)
+
+
+class _Stack(list):
+    """The open elements, with the place of the innermost one of each name and of the innermost block."""
+
+    def __init__(self, root: _Element) -> None:
+        super().__init__([root])
+        self.places: dict[str, list[int]] = {}
+        self.block_places = [0]
+
+    def push(self, element: _Element) -> None:
+        self.places.setdefault(element.name, []).append(len(self))
+        self.block_places.append(self.block_places[-1] if element.inline else len(self))
+        self.append(element)
+
+    def cut(self, index: int) -> None:
+        while len(self) > index:
+            self.places[self.pop().name].pop()
+            self.block_places.pop()
+
+    def innermost(self, *names: str) -> int:
+        """The place of the innermost element with one of the names; 0 for none."""
+        return max((found[-1] for name in names if (found := self.places.get(name))), default=0)
+
+    def closed_by(self, name: str) -> int:
+        """From where on the start of a block element closes what is open; 0 for nothing."""
+        bounds = CLOSED_WITHIN.get(name)
+        if bounds and (index := self.innermost(name)) > self.innermost(*bounds):
             return index
-        if not stack[index].inline:
-            break
-    return 0
+        return self.block_places[-1] if self[self.block_places[-1]].name == "p" else 0
 
 
 def read(source: str) -> tuple[list[Block], list[tuple[int, int]]]:
     """The blocks of a page in order, and path and parent's path of each element that isn't inline."""
-    stack = [_Element("", False, digest("page"), 0, 0)]
+    stack = _Stack(_Element("", False, digest("page"), 0, 0))
     blocks: list[Block] = []
     paths = [(stack[0].path, 0)]
     buffer: list[str] = []
-    at, size = 0, len(source)
+    tags, at, size = _Tags(source), 0, len(source)
 
     def flush() -> None:
         if buffer:
@@ -154,32 +211,31 @@ def read(source: str) -> tuple[list[Block], list[tuple[int, int]]]:
 
     def cut(index: int) -> None:
         flush()
-        del stack[index:]
+        stack.cut(index)
 
     def add(text: str) -> None:
         top = stack[-1]
-        if text and not (top.inline and top.around > max(MAYBE, _block(stack).around)):
+        if text and not (top.inline and top.around > max(MAYBE, stack[stack.block_places[-1]].around)):
             buffer.append(html.unescape(text) if "&" in text else text)
 
     while at < size:
-        found = _TAG.search(source, at)
+        found = tags.next(at)
         if found is None:
             add(source[at:])
             break
-        add(source[at : found.start()])
-        at = found.end()
-        if found["name"] is None:
+        start, end, name, closing, rest = found
+        add(source[at:start])
+        at, name = end, name.lower()
+        if not name:
             continue
-        name = found["name"].lower()
-        if found["end"]:
-            index = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
+        if closing:
+            index = stack.innermost(name)
             if not index:
                 continue
-            if name in INLINE:
-                if all(element.inline for element in stack[index:]):
-                    del stack[index:]
-            else:
+            if name not in INLINE:
                 cut(index)
+            elif index > stack.block_places[-1]:
+                stack.cut(index)
         elif name == "br" or name == "hr":
             buffer.append(" ")
         elif name in VOID:
@@ -190,22 +246,18 @@ def read(source: str) -> tuple[list[Block], list[tuple[int, int]]]:
         else:
             if name not in INLINE:
                 flush()
-                cut_at = _closes(name, stack)
+                cut_at = stack.closed_by(name)
                 if cut_at:
                     cut(cut_at)
-            element, parent = _opened(name, found["rest"], stack[-1]), stack[-1].path
-            if not found["rest"].endswith("/") or name in INLINE:
-                stack.append(element)
+            element, parent = _opened(name, rest, stack[-1]), stack[-1].path
+            if not rest.endswith("/") or name in INLINE:
+                stack.push(element)
                 if not element.inline:
                     paths.append((element.path, parent))
     flush()
     return blocks, paths
 
 
-def _block(stack: list[_Element]) -> _Element:
-    return next(element for element in reversed(stack) if not element.inline)
-
-
 def main_text(blocks: list[Block], constant: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text: the slots of the main element, without what is around it.
 
