@@ -37,9 +37,9 @@ from entitylake.llm.shared import slices, without
 #: From how many code points on which k and s are used.
 SIZES = ((128, 32, 8), (48, 8, 3), (12, 3, 1), (0, 1, 1))
 
-#: Documents per range of ids, about, and ranges at most.
-RANGE_DOCS = 500
-RANGES = 4096
+#: Code points of text per range of ids, about, and ranges at most: their edges go to every task, 8 bytes each.
+RANGE_CHARS = 1_000_000
+RANGES = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -168,13 +168,18 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return without(docs, "fingerprint").withColumn("fingerprint", shown(F.col(f"`{text}`")))
 
 
-def _edges(docs: DataFrame) -> list[int]:
-    """Ids that end the ranges: about one in ``RANGE_DOCS``, by hash, and the largest; ``2 * RANGES`` at most, about."""
-    rows = docs.count()
-    one_in = max(1, rows // max(1, min(RANGES, rows // RANGE_DOCS)))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("doc_id").distinct()
-    largest = docs.agg(F.max("doc_id")).first()[0]
-    found = {row[0] for row in drawn.collect() if row[0] is not None}
+def _edges(rows: DataFrame) -> list[int]:
+    """Ids that end the ranges, and the largest id.
+
+    A document ends a range with a chance in proportion to its text, by a hash of its id, so ranges
+    hold about ``RANGE_CHARS`` of text whatever the lengths, and their number grows with the table
+    (beyond ``RANGES`` of them the ranges do).
+    """
+    chars = (F.length(F.coalesce("text", F.lit(""))) + 1).cast("double")
+    total, largest = rows.agg(F.sum(chars), F.max("doc_id")).first()
+    share = chars / max(float(RANGE_CHARS), (total or 0.0) / RANGES)
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    found = {row[0] for row in rows.where(F.col("doc_id").isNotNull() & (draw < share)).select("doc_id").distinct().collect()}
     return sorted(found if largest is None else found | {largest})
 
 
@@ -187,7 +192,7 @@ def with_next(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Dat
     task sees all rows, and the largest id closes the lowest range.
     """
     rows = docs.select(F.col(f"`{ident}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    edges = np.array(_edges(rows.select("doc_id")), np.int64)
+    edges = np.array(_edges(rows), np.int64)
 
     @F.pandas_udf("array<struct<bucket: int, guest: int>>")
     def places(ids: pd.Series) -> pd.Series:

@@ -469,3 +469,25 @@ def test_copies_of_a_page_are_no_template(spark):
 def test_thresholds_that_would_lose_links_are_refused(documents, percent):
     with pytest.raises(ValueError):
         chosen_path.similar(documents((1, "one two three")), percent=percent)
+
+
+def test_ranges_of_ids_follow_the_length_of_texts(spark, documents, monkeypatch):
+    monkeypatch.setattr(syncmers, "RANGE_CHARS", 1000)
+    docs = documents(*[(i, "a b " * (5 if i % 50 else 2000)) for i in range(1000)])
+    rows = docs.select("doc_id", "text")
+    edges = syncmers._edges(rows)
+    assert edges[-1] == 999 and set(range(0, 1000, 50)) <= set(edges)
+    lengths = {r.doc_id: len(r.text) for r in rows.collect()}
+    sizes, low = [], -1
+    for edge in edges:
+        sizes.append(sum(lengths[i] for i in range(low + 1, edge)))
+        low = edge
+    # Beside the document that ends it, a range holds its share: drawn like an exponential.
+    assert max(sizes) < 12_000 and len(edges) > 30
+    monkeypatch.setattr(syncmers, "RANGES", 5)
+    assert len(syncmers._edges(rows)) < 40
+    monkeypatch.setattr(syncmers, "RANGES", 1_000_000)
+    many = {tuple(r) for r in syncmers.compared(docs).collect()}
+    monkeypatch.setattr(syncmers, "RANGE_CHARS", 10**9)
+    assert many == {tuple(r) for r in syncmers.compared(docs).collect()} and len(many) == 1000
+    assert syncmers._edges(rows.limit(0)) == []
