@@ -295,3 +295,16 @@ def test_citations_where_small_letters_are_longer(entity):
     corpus = entity(*[{"id": k, "schema": "Pages", "properties": {"bodyText": [t]}} for k, t in texts.items()])
     cited = {r.id: r.excerpt for r in WF.citations(corpus, "of the", excerpt_chars=6).collect()}
     assert cited == {"a": "of the", "c": "of.The", "d": "of the"}
+
+
+def test_fragments_mark_whole_words(one):
+    text = "the party has art in cartoons, ART9 and art"
+    found = one(lambda t: S.fragments(t, ["art"], count=1, length=200, whole_words=True), text)
+    assert found == ["the party has <em>art</em> in cartoons, ART9 and <em>art</em>"]
+    # Pieces that begin or end inside a longer word don't mark what is left of it.
+    cut = one(lambda t: S.fragments(t, ["art"], count=5, length=3, whole_words=True), "cart art artist xart")
+    assert cut == ["<em>art</em>"]
+    wide = one(lambda t: S.fragments(t, ["art"], count=5, length=9, whole_words=True), "xxart art artxx")
+    assert len(wide) == 1 and all("<em>art</em> a" in piece for piece in wide)
+    assert one(lambda t: S.fragments(t, ["art"], whole_words=True), "party") == []
+    assert one(lambda t: S.fragments(t, ["art"]), "party") == ["p<em>art</em>y"]
