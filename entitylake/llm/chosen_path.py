@@ -1,23 +1,29 @@
 """Near-duplicate documents by a chosen-path similarity join.
 
 Documents with equal sets of word shingles are one class. Classes get minimum hashes and walk
-random trees: a node chooses one or two coordinates (1 / threshold on average) by a hash of the
-path so far, and a class goes on to the children named by its own values there. A pair at the
-threshold so has one common child on average at any depth, others die out. All nodes of depth
-``LEVELS`` are compared, whatever their size: pairs go on dying out on the way further down, so
-the same trees would lose more links the larger a group is. Independent trees are repeated until
-a pair at the threshold meets almost surely (``TREES`` at depth ``LEVELS`` miss it with a
-probability of 6e-6, by the branching process's extinction, averaged over the equal ones of the
-``COORDINATES``; at depth 9 it would be 7e-3).
-
-Only links that join components matter. So each class of a node is first compared with the
-node's first one, and confirmed with the most alike of these: one comparison per class however
-large the nodes are. Then all nodes that still hold different components are compared
-exhaustively inside their tasks, a large one in blocks: what could be linked by minimum hashes
-is kept, and of that the pairs of different components are confirmed on the full sets. Only
-links leave a task, as many as join components. So nothing is capped, no link between
-components is lost within a node, and a group of thousands of near copies makes no square of
-rows.
+random trees: a node chooses one or two coordinates by a hash of the path so far, and a class
+goes on to the children named by its own values there. At first a node chooses 1 / threshold
+coordinates on average, so a pair at the threshold has one common child on average. Nodes of
+depth ``LEVELS`` with up to ``SMALL`` classes are compared exhaustively. Larger ones branch on,
+``LEVELS`` at a time, with two coordinates per node: a pair at the threshold then has 1.6 common
+children on average and hardly dies out, pairs below a similarity of 0.5 do. So what only shares
+a passage falls apart into small nodes. What is still large at ``MAX_LEVELS`` is compared as
+well, in blocks.
+
+Independent trees are repeated until a pair at the threshold meets almost surely: ``TREES`` miss
+it with a probability of 6e-6 where its nodes of depth 3 are small, and of 4e-5 where all of them
+are large and it is sought at depth 9 (at a similarity of 0.85: 2e-6). These are the extinction
+probabilities of the branching process, averaged over the equal ones of the ``COORDINATES``.
+
+Only links that join components matter. So each class of a node of depth ``LEVELS`` is first
+compared with the node's first one, and confirmed with the most alike of these: one comparison
+per class however large the nodes are. From then on only nodes that hold different components
+count, at every depth: groups of near copies that one link each has joined branch no further.
+Nodes are compared inside tasks, large ones in pairs of blocks that are bounded by classes and by
+shingles: what could be linked by minimum hashes is kept, and of that the pairs of different
+components are confirmed on the full sets. Only links leave a task, as many as join components.
+So nothing is capped, no link between components is lost within a node, and a group of thousands
+of near copies makes no square of rows.
 
 Bounds of the tests before the full sets lie more than 4.5 standard deviations below the
 threshold: 98 of 128 one-bit hashes, 36 of 64 minimum hashes.
@@ -45,9 +51,9 @@ PERCENT = 80
 WORDS = 5
 TREES = 16
 LEVELS = 3
-#: Nodes of more than ``SMALL`` classes would be walked on to here; a deeper walk needs more ``TREES``.
-MAX_LEVELS = 3
-SMALL = 32
+#: Nodes of more than ``SMALL`` classes branch on, to this depth at most.
+MAX_LEVELS = 9
+SMALL = 256
 COORDINATES = 64
 SKETCH_BITS = 128
 
@@ -57,8 +63,9 @@ LEAST_BITS = 98
 #: Equal minimum hashes at a similarity of 0.8 are 51 of 64 with a deviation of 3.2.
 LEAST_EQUAL = 36
 
-#: Classes of a node that are compared in one group; larger nodes are compared block by block.
+#: Classes, and their shingles, in a block; larger nodes are compared block by block.
 BLOCK = 1024
+BLOCK_SHINGLES = 1_000_000
 
 #: Sets of fewer shingles have no other set within the threshold.
 LEAST_SET = 4
@@ -100,12 +107,14 @@ def _roots() -> np.ndarray:
     return mixed(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def children(nodes: np.ndarray, rows: np.ndarray, values: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
+def children(
+    nodes: np.ndarray, rows: np.ndarray, values: np.ndarray, levels: int, always_two: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """Walk down from nodes: the children's hashes and the rows that reach them."""
     for _ in range(levels):
         first = (nodes % np.uint64(COORDINATES)).astype(np.int64)
-        # One node in four chooses a second coordinate: 1.25 = 1 / 0.8 on average.
-        forked = np.flatnonzero((nodes >> np.uint64(40)) & np.uint64(3) == 0)
+        # Two coordinates, or two for one node in four: 1.25 = 1 / 0.8 on average.
+        forked = np.arange(len(nodes)) if always_two else np.flatnonzero((nodes >> np.uint64(40)) & np.uint64(3) == 0)
         second = (first[forked] + 1 + ((nodes[forked] >> np.uint64(20)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
         from_nodes = np.concatenate([nodes, nodes[forked]])
         where = np.concatenate([first, second])
@@ -126,7 +135,7 @@ def _walker(levels: int, from_root: bool):
                 nodes, rows = np.repeat(_roots(), count), np.tile(np.arange(count), TREES)
             else:
                 nodes, rows = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), np.arange(count)
-            nodes, rows = children(nodes, rows, values, levels)
+            nodes, rows = children(nodes, rows, values, levels, always_two=not from_root)
             numbers = batch.column(0).to_numpy(zero_copy_only=False)[rows]
             for low in range(0, len(nodes), 100_000):
                 part = slice(low, low + 100_000)
@@ -149,23 +158,40 @@ def _confirmer(words: int, percent: int):
     return run
 
 
+def _shared(nodes: DataFrame) -> DataFrame:
+    """Rows of nodes that more than one class reaches."""
+    counts = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+    return written(nodes.join(counts, "node").select("node", "class"))
+
+
 def candidates(classes: DataFrame) -> DataFrame:
-    """Rows (node, class) of all nodes that are compared: all of ``MAX_LEVELS``, small ones of the depths before."""
+    """Rows (node, class) of the nodes of depth ``LEVELS`` that several classes reach."""
     rows = classes.where("signature IS NOT NULL").select("class", "signature")
-    nodes = written(rows.mapInArrow(_walker(LEVELS, True), "node long, class long"))
+    return _shared(written(rows.mapInArrow(_walker(LEVELS, True), "node long, class long")))
+
+
+def uncertain(members: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (node, class, root, n_shingles) of all nodes to compare: several components, and small or deepest.
+
+    Nodes of more than ``SMALL`` classes that hold several components branch on until they fall
+    apart; what is large at ``MAX_LEVELS`` is handed out whole.
+    """
+    signatures = classes.where("signature IS NOT NULL").select("class", "signature")
+    roots = parts.select(F.col("vertex").alias("class"), "root")
     found = None
     for level in range(LEVELS, MAX_LEVELS + 1, LEVELS):
-        counts = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        sized = written(nodes.join(counts, "node"))
+        rooted = members.join(roots, "class", "left").select("node", "class", F.coalesce("root", "class").alias("root"))
+        sizes = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+        here = written(rooted.join(sizes.where("a != b").select("node", "n"), "node"))
         last = level + LEVELS > MAX_LEVELS
-        here = (sized if last else sized.where(F.col("n") <= SMALL)).select("node", "class")
-        found = here if found is None else found.union(here)
-        large = sized.where(F.col("n") > SMALL).select("node", "class")
+        ready = (here if last else here.where(F.col("n") <= SMALL)).drop("n")
+        found = ready if found is None else found.union(ready)
+        large = here.where(F.col("n") > SMALL).select("node", "class")
         if last or large.isEmpty():
             break
-        deeper = large.join(rows, "class").select("class", "signature", "node")
-        nodes = written(deeper.mapInArrow(_walker(LEVELS, False), "node long, class long"))
-    return found
+        deeper = large.join(signatures, "class").select("class", "signature", "node")
+        members = _shared(written(deeper.mapInArrow(_walker(LEVELS, False), "node long, class long")))
+    return found.join(classes.select("class", "n_shingles"), "class")
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -190,24 +216,22 @@ def alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def mixed_nodes(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows (node, one, two, class, root) of nodes with several components, by groups to compare.
+def dealt(pool: DataFrame) -> DataFrame:
+    """Rows (node, one, two, own, class, root): the groups to compare.
 
-    A node of up to ``BLOCK`` classes is one group; the classes of a larger one are dealt into
-    blocks, and each pair of blocks is a group.
+    A node within the bounds of a block is one group. The classes of a larger one are dealt into
+    blocks by hash; each block is a group (``one`` = ``two``), and each pair of blocks, of which
+    only classes of different blocks are compared.
     """
-    rooted = members.join(parts, F.col("class") == F.col("vertex"), "left").select(
-        "node", "class", F.coalesce("root", "class").alias("root")
-    )
-    sizes = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-    several = sizes.where("a != b").select("node", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    sizes = pool.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("class", F.lit(5)), F.col("blocks")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least(F.col("own"), other).alias("one"), F.greatest(F.col("own"), other).alias("two")),
     )
-    dealt = rooted.join(several, "node").withColumn("own", own)
-    return dealt.select("node", F.inline(pairs), "class", "root")
+    rows = pool.join(sizes.select("node", blocks.alias("blocks")), "node").withColumn("own", own)
+    return rows.select("node", F.inline(pairs), "own", "class", "root")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -230,38 +254,46 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _near(signatures: np.ndarray, roots: np.ndarray, k: int) -> np.ndarray:
-    """Later rows of other components whose minimum hashes allow a link with row k."""
-    equal = (signatures[k + 1 :] == signatures[k]).sum(axis=1)
-    return np.flatnonzero((equal >= LEAST_EQUAL) & (roots[k + 1 :] != roots[k])) + k + 1
+class _Group:
+    """Minimum hashes and components of a group's rows, the rows of its first block in front."""
 
+    def __init__(self, rows: pa.Table) -> None:
+        self.signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
+        self.roots = rows.column("root").to_numpy()
+        one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
+        #: How many rows to compare with later ones; of two blocks, only rows of the other one.
+        self.front = len(self.roots) if one == two else int((rows.column("own").to_numpy() == one).sum())
+        self.apart = one != two
 
-def _unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
-    return signatures, group.column("root").to_numpy()
+    def near(self, k: int) -> np.ndarray:
+        """Later rows of other components whose minimum hashes allow a link with row k."""
+        low = self.front if self.apart else k + 1
+        equal = (self.signatures[low:] == self.signatures[k]).sum(axis=1)
+        return np.flatnonzero((equal >= LEAST_EQUAL) & (self.roots[low:] != self.roots[k])) + low
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, one, two, class, root, signature) that could be linked with another of their group."""
-    for group in _groups(batches):
-        signatures, roots = _unpacked(group)
-        keep = np.zeros(len(roots), bool)
-        for k in range(len(roots) - 1):
-            found = _near(signatures, roots, k)
+    """Rows (node, one, two, own, class, root, signature) that could be linked with another of their group."""
+    for rows in _groups(batches):
+        group = _Group(rows)
+        keep = np.zeros(len(group.roots), bool)
+        for k in range(group.front):
+            found = group.near(k)
             if len(found):
                 keep[k] = True
                 keep[found] = True
         if keep.any():
-            yield from group.filter(pa.array(keep)).combine_chunks().to_batches()
+            yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
 
 
 def _joiner(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links (u, v) that join components within a group, confirmed on the full sets."""
-        for group in _groups(batches):
-            signatures, roots = _unpacked(group)
-            classes = group.column("class").to_pylist()
-            sets = shingle_sets(group.column("text").to_pylist(), words)
+        for rows in _groups(batches):
+            group = _Group(rows)
+            roots = group.roots
+            classes = rows.column("class").to_pylist()
+            sets = shingle_sets(rows.column("text").to_pylist(), words)
             parent: dict[int, int] = {}
 
             def find(x: int) -> int:
@@ -270,8 +302,8 @@ def _joiner(words: int, percent: int):
                 return x
 
             links = []
-            for k in range(len(roots) - 1):
-                for j in _near(signatures, roots, k).tolist():
+            for k in range(group.front):
+                for j in group.near(k).tolist():
                     one, two = find(int(roots[k])), find(int(roots[j]))
                     if one != two and linked(sets[k], sets[j], percent):
                         parent[max(one, two)] = min(one, two)
@@ -326,15 +358,16 @@ def _joined(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     parts = written(roots_of(both.mapInArrow(_confirmer(words, percent), "u long, v long")))
 
     key = ["node", "one", "two"]
-    group = "node long, one int, two int, class long, root long, signature binary"
-    signed = mixed_nodes(members, parts).join(classes.select("class", "signature"), "class")
-    ordered = signed.select(*key, "class", "root", "signature").repartition(*key).sortWithinPartitions(*key)
+    group = "node long, one int, two int, own int, class long, root long, signature binary"
+    pool = written(uncertain(members, parts, classes))
+    signed = dealt(pool).join(classes.select("class", "signature"), "class")
+    ordered = signed.select(*key, "own", "class", "root", "signature").repartition(*key).sortWithinPartitions(*key, "own")
     left_over = written(ordered.mapInArrow(_survivors, group))
     if left_over.isEmpty():
         return parts
     bodies = _texts(rows, classes, left_over.select("class"), words)
-    full = left_over.join(bodies, "class").select(*key, "class", "root", "signature", "text")
-    links = full.repartition(*key).sortWithinPartitions(*key).mapInArrow(_joiner(words, percent), "u long, v long")
+    full = left_over.join(bodies, "class").select(*key, "own", "class", "root", "signature", "text")
+    links = full.repartition(*key).sortWithinPartitions(*key, "own").mapInArrow(_joiner(words, percent), "u long, v long")
     links = written(links)
     if links.isEmpty():
         return parts

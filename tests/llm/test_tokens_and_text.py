@@ -353,15 +353,52 @@ def test_components_match_brute_force(documents, size):
     check_components(chosen_path.similar(documents(*rows, extra=("class", "node")), words=size).collect(), rows, size)
 
 
-def test_large_nodes_lose_no_link(documents, monkeypatch):
+@pytest.mark.parametrize("depth", [3, 9])
+def test_large_nodes_lose_no_link(documents, monkeypatch, depth):
     """With tiny nodes nearly every pair goes through the way for large ones."""
     monkeypatch.setattr(chosen_path, "SMALL", 2)
     monkeypatch.setattr(chosen_path, "BLOCK", 7)
-    monkeypatch.setattr(chosen_path, "MAX_LEVELS", 3)
+    monkeypatch.setattr(chosen_path, "MAX_LEVELS", depth)
     rows = near_copies(8)
     check_components(chosen_path.similar(documents(*rows), words=4).collect(), rows, 4)
 
 
+def test_blocks_are_bounded_by_shingles(spark):
+    pool = spark.createDataFrame([(1, k, k, 300_000) for k in range(40)] + [(2, k, k, 10) for k in range(40)],
+                                 "node long, class long, root long, n_shingles long")
+    rows = chosen_path.dealt(pool).collect()
+    assert {(r["one"], r["two"]) for r in rows if r["node"] == 2} == {(0, 0)}
+    block = {r["class"]: r["own"] for r in rows if r["node"] == 1}
+    assert len(set(block.values())) > 6
+    met = Counter()
+    for one, two in {(r["one"], r["two"]) for r in rows if r["node"] == 1}:
+        group = [r["class"] for r in rows if (r["node"], r["one"], r["two"]) == (1, one, two)]
+        met.update((a, b) for a in group for b in group if a < b and (one == two or block[a] != block[b]))
+    assert met == Counter({(a, b): 1 for a in range(40) for b in range(a + 1, 40)})
+
+
+def test_a_shared_passage_falls_apart(documents, monkeypatch):
+    """Documents that share a third of their words are large nodes at first, and small ones further down."""
+    monkeypatch.setattr(chosen_path, "SMALL", 20)
+    passage = " ".join(f"licence{k}" for k in range(30))
+    own = [" ".join(f"{k}x{n}" for n in range(50)) for k in range(1000)]
+    rows = [(k, f"{passage} {text}") for k, text in enumerate(own)] + [(1000 + k, f"{passage} {text} end") for k, text in enumerate(own[:50])]
+    compared = []
+    dealt = chosen_path.dealt
+    monkeypatch.setattr(chosen_path, "dealt", lambda pool: compared.append(pool) or dealt(pool))
+
+    def found():
+        return {r["doc_id"]: r["component_id"] for r in chosen_path.similar(documents(*rows), words=4).collect()}
+
+    expected = {k: k % 1000 for k in range(1050)}
+    assert found() == expected
+    monkeypatch.setattr(chosen_path, "MAX_LEVELS", 3)
+    assert found() == expected
+    deep, flat = ([r["count"] for r in pool.groupBy("node").count().collect()] for pool in compared)
+    assert max(flat) > 3 * max(deep)
+    assert sum(n * n for n in flat) > 10 * sum(n * n for n in deep)
+
+
 def hub_and_copies(copies=500, seed=3):
     """An original and copies that are similar to it alone: five edits of 200 words each, apart from one another."""
     draw = random.Random(seed)
