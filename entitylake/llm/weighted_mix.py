@@ -5,14 +5,15 @@ and weight from its quality. A source takes whole epochs as long as its target a
 documents with the smallest keys until the rest of its target is filled; the document that
 crosses the target is taken if that comes nearer to it.
 
-The prefix sum is cut in two levels: sums per source and key range, and a sorted running sum
-only inside the one range where a source's target falls. So a source that holds a third of
-all rows is never sorted in one task, and the decision per source is one key: documents are
-compared with it where they lie.
+The prefix sum is cut by key ranges: sums per source and range tell the one range where a
+source's target falls, and that range is cut again between its least and greatest key, until it
+holds at most ``MOST_SORTED`` documents or one key. Only then a running sum is sorted. So however
+large a source is, and however low its weights, no task sorts more than that of it, and the
+decision per source is one key: documents are compared with it where they lie.
 
 Defined results: a null text has size 0 and is never counted; a null source is a source of its
 own, last in order; repeated rows have equal keys and are taken like other rows, one by one,
-in an order that cannot be told apart; an empty table gives an empty mix.
+all or none of them at the cut; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ MAX_EPOCHS = 2
 KEY_RANGES = 4096
 LEAST_QUALITY = 0.05
 
+#: Most documents of a source in a key range that one task sorts; larger ranges are cut again.
+MOST_SORTED = 100_000
+
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -81,16 +85,61 @@ def targets(sizes: DataFrame, weights: Sequence[int], total_ratio: float, max_ep
 
 
 def keyed(docs: DataFrame, ident: str, text: str, source: str) -> DataFrame:
-    """Per document: source, id, size, key, key range. Narrow rows."""
+    """Per document: source, id, size, key. Narrow rows."""
     body, number = F.col(f"`{text}`"), F.col(f"`{ident}`")
-    return (
-        docs.select(
-            F.col(f"`{source}`").alias("source"),
-            number.alias("doc_id"),
-            word_count(body).alias("size"),
-            (-F.log(uniform(number, body)) / quality_weight(body)).alias("key"),
+    return docs.select(
+        F.col(f"`{source}`").alias("source"),
+        number.alias("doc_id"),
+        word_count(body).alias("size"),
+        (-F.log(uniform(number, body)) / quality_weight(body)).alias("key"),
+    )
+
+
+def _sums(ranged: DataFrame) -> DataFrame:
+    """Size, number, least and greatest key of the documents per source and range."""
+    return ranged.groupBy("source", "part").agg(
+        F.sum("size").alias("part_size"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+
+
+def _crossing(parts: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source (plan: source, rest, before) the range where its target falls, with the sizes of those before."""
+    running = Window.partitionBy("p.source").orderBy("p.part")
+    summed = (
+        parts.alias("p")
+        .join(plan.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source")))
+        .select(
+            "p.source", "s.rest", "p.low", "p.high", "p.n", "part_size",
+            (F.col("s.before") + F.sum("part_size").over(running)).alias("upto"),
+        )
+    )
+    begin = F.col("upto") - F.col("part_size")
+    return written(
+        summed.where((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")) & (begin < F.col("rest"))).select(
+            "source", "rest", begin.alias("before"), "low", "high", "n"
         )
-    ).withColumn("part", F.floor((1 - F.exp(-F.col("key"))) * KEY_RANGES).cast("int"))
+    )
+
+
+def _within(rows: DataFrame, crossing: DataFrame) -> DataFrame:
+    """The rows in the crossing range of their source."""
+    inside = F.col("d.source").eqNullSafe(F.col("c.source")) & F.col("d.key").between(F.col("c.low"), F.col("c.high"))
+    return rows.alias("d").join(crossing.alias("c"), inside).select("c.*", "d.size", "d.key", "d.doc_id")
+
+
+def _narrowed(rows: DataFrame, crossing: DataFrame) -> DataFrame:
+    """Crossing ranges cut until each holds few documents or one key.
+
+    The least and the greatest key of a range fall into different parts, so every round gets on.
+    """
+    large = (F.col("n") > MOST_SORTED) & (F.col("low") < F.col("high"))
+    small = crossing.where(~large)
+    while not (open_ := crossing.where(large)).isEmpty():
+        place = (F.col("key") - F.col("low")) / (F.col("high") - F.col("low")) * KEY_RANGES
+        ranged = _within(rows, open_).withColumn("part", F.least(F.floor(place), F.lit(KEY_RANGES - 1)).cast("int"))
+        crossing = _crossing(_sums(ranged), open_)
+        small = small.union(crossing.where(~large))
+    return small
 
 
 def cuts(
@@ -99,8 +148,12 @@ def cuts(
     total_ratio: float = TOTAL_RATIO,
     max_epochs: float = MAX_EPOCHS,
 ) -> DataFrame:
-    """Per source: size, target, whole epochs, and the last (key, id) that the rest still takes."""
-    parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
+    """Per source: size, target, whole epochs, and what the rest still takes.
+
+    That is all keys below ``low``, and from there on all up to ``last`` (key, id).
+    """
+    first = F.floor((1 - F.exp(-F.col("key"))) * KEY_RANGES).cast("int")
+    parts = written(_sums(rows.withColumn("part", first)))
     sizes = parts.groupBy("source").agg(F.sum("part_size").alias("source_size"))
     plan = targets(sizes, weights, total_ratio, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-9))).otherwise(0)
@@ -109,41 +162,32 @@ def cuts(
             "rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))
         )
     )
-    running = Window.partitionBy("p.source").orderBy("p.part")
-    crossing = (
-        parts.alias("p")
-        .join(plan.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source")))
-        .select("p.source", "p.part", "s.rest", "part_size", F.sum("part_size").over(running).alias("upto"))
-        .where((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("part_size") < F.col("rest")))
-        .select("source", "part", "rest", (F.col("upto") - F.col("part_size")).alias("before"))
-    )
-    crossing = written(crossing)
+    begun = plan.select("source", "rest", F.lit(0).cast("long").alias("before"))
+    crossing = written(_narrowed(rows, _crossing(parts, begun)))
+    # Repeated rows have equal keys: one row with their number.
     inside = (
-        rows.alias("d")
-        .join(
-            crossing.alias("c"),
-            (F.col("d.part") == F.col("c.part")) & F.col("d.source").eqNullSafe(F.col("c.source")),
-        )
-        .select("c.source", "c.part", "rest", "before", "size", "key", "doc_id")
-    )
-    order = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    taken = inside.withColumn("upto", F.col("before") + F.sum("size").over(order)).where(
-        F.col("upto") * 2 - F.col("size") < 2 * F.col("rest")
+        _within(rows, crossing)
+        .groupBy("source", "rest", "before", "key", "doc_id", "size")
+        .agg(F.count("*").alias("n"))
+        .withColumn("sizes", F.col("n") * F.col("size"))
     )
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("before") + F.sum("sizes").over(order) - F.col("sizes") + F.col("size")
+    taken = inside.withColumn("upto", upto).where(F.col("upto") * 2 - F.col("size") < 2 * F.col("rest"))
     last = taken.groupBy("source").agg(F.max(F.struct("key", "doc_id")).alias("last"))
     edges = crossing.alias("c").join(last.alias("l"), F.col("c.source").eqNullSafe(F.col("l.source")), "left")
-    edges = edges.select(F.col("c.source").alias("source"), "c.part", "l.last")
+    edges = edges.select(F.col("c.source").alias("source"), "c.low", "l.last")
     return written(
         plan.alias("s")
         .join(edges.alias("e"), F.col("s.source").eqNullSafe(F.col("e.source")), "left")
-        .select("s.source", "source_size", "target", "epochs", "e.part", "e.last")
+        .select("s.source", "source_size", "target", "epochs", "e.low", "e.last")
     )
 
 
 def copies() -> Column:
     """How often the mix takes a row ``d`` of source plan ``s``: its epochs, and once more below the cut."""
     key = F.struct(F.col("d.key").alias("key"), F.col("d.doc_id").alias("doc_id"))
-    below = (F.col("d.part") < F.col("s.part")) | ((F.col("d.part") == F.col("s.part")) & (key <= F.col("s.last")))
+    below = (F.col("d.key") < F.col("s.low")) | (key <= F.col("s.last"))
     return F.col("s.epochs") + F.when(below, 1).otherwise(0)
 
 
@@ -186,7 +230,7 @@ def mixed(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: st
     rows = held.select(
         "llm_row",
         F.inline(F.array(F.struct(*_key_fields("llm_id", "llm_text", "llm_source")))),
-    ).withColumn("part", F.floor((1 - F.exp(-F.col("key"))) * KEY_RANGES).cast("int"))
+    )
     return (
         rows.alias("d")
         .join(plan.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))

@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +207,35 @@ def test_mix_takes_heavier_documents_first(documents):
     assert min(taken.values()) >= 1
 
 
+@pytest.mark.parametrize("most", [50, 1, 100_000])
+def test_key_ranges_are_cut_until_they_are_small(documents, monkeypatch, most):
+    """Tables of low weight crowd into the last key range; the rows equal one sorted running sum, as DuckDB takes it."""
+    monkeypatch.setattr(weighted_mix, "MOST_SORTED", most)
+    monkeypatch.setattr(weighted_mix, "KEY_RANGES", 16)
+    rows = [(i, f"| # | $ | {i % 7} |", "en", "table") for i in range(1500)]
+    rows += [(5000 + i, "plain words " * (1 + i % 5), "en", ("a", None)[i % 2]) for i in range(900)]
+    table = documents(*rows)
+    sorted_, within = [], weighted_mix._within
+    monkeypatch.setattr(weighted_mix, "_within", lambda *a: sorted_.append(within(*a)) or sorted_[-1])
+    found = weighted_mix.mix(table).collect()
+    counts = [r["count"] for r in sorted_[-1].groupBy("source").count().collect()]
+    assert max(counts) <= most
+    assert most < 1000 or max(counts) > 1000
+    con = duckdb.connect()
+    con.register("documents", table.toPandas())
+    expected = con.execute(f"SELECT doc_id, size, source_size, taken FROM ({weighted_mix.SQL})").fetchall()
+    assert sorted((r["doc_id"], r["size"], r["source_size"], r["taken"]) for r in found) == sorted(expected)
+
+
+def test_repeated_rows_at_the_cut_stay_together(documents, monkeypatch):
+    """One document makes up most of a source: it cannot be cut, and no round is without end."""
+    monkeypatch.setattr(weighted_mix, "MOST_SORTED", 10)
+    table = documents(*[(1, "one two", "en", "a")] * 200, *[(i, "some words here", "en", "a") for i in range(2, 9)], (99, "x", "en", "b"))
+    found = weighted_mix.mix(table).collect()
+    copies = {r["taken"] for r in found if r["doc_id"] == 1}
+    assert len(found) == 208 and len(copies) == 1 and copies <= {2, 4}
+
+
 def test_mixed_rows_repeat_and_keep_columns(documents):
     table = documents(*[(i, "a b c", "en", "xyz"[i % 3]) for i in range(90)], extra=("size", "key", "part", "target"))
     found = weighted_mix.mixed(table)
