@@ -4,11 +4,13 @@ Documents with equal sets of word shingles are one class. Classes get minimum ha
 random trees: a node chooses one or two coordinates by a hash of the path so far, and a class
 goes on to the children named by its own values there. At first a node chooses 1 / threshold
 coordinates on average, so a pair at the threshold has one common child on average. Nodes of
-depth ``LEVELS`` with up to ``SMALL`` classes are compared exhaustively. Larger ones branch on,
-``LEVELS`` at a time, with two coordinates per node: a pair at the threshold then has 1.6 common
+depth ``LEVELS`` are compared exhaustively as long as they are small: a class has up to ``SMALL``
+others of different components in it, on average. Larger ones branch on if these are less alike
+than ``DENSE`` on average, ``LEVELS`` at a time, with two coordinates per node: a pair at the threshold then has 1.6 common
 children on average and hardly dies out, pairs below a similarity of 0.5 do. So what only shares
-a passage falls apart into small nodes. What is still large at ``MAX_LEVELS`` is compared as
-well, in blocks.
+a passage falls apart into small nodes. Denser ones would only multiply; they are compared where
+they are, in blocks, and so is what is still large at ``MAX_LEVELS``. About ``PROBED`` classes of a
+large node tell how alike they are; that decides about the way only, no pair is left out.
 
 Independent trees are repeated until a pair at the threshold meets almost surely: ``TREES`` miss
 it with a probability of 6e-6 where its nodes of depth 3 are small, and of 4e-5 where all of them
@@ -18,7 +20,8 @@ probabilities of the branching process, averaged over the equal ones of the ``CO
 Only links that join components matter. So each class of a node of depth ``LEVELS`` is first
 compared with the node's first one, and confirmed with the most alike of these: one comparison
 per class however large the nodes are. From then on only nodes that hold different components
-count, at every depth: groups of near copies that one link each has joined branch no further.
+count, at every depth, and of these only pairs of different components: a group of near copies
+that links have joined branches no further, and meets strangers in its nodes in proportion to them.
 Nodes are compared inside tasks, large ones in pairs of blocks that are bounded by classes and by
 shingles: what could be linked by minimum hashes is kept, and of that the pairs of different
 components are confirmed on the full sets. Only links leave a task, as many as join components.
@@ -51,9 +54,13 @@ PERCENT = 80
 WORDS = 5
 TREES = 16
 LEVELS = 3
-#: Nodes of more than ``SMALL`` classes branch on, to this depth at most.
+#: Nodes whose classes have more than ``SMALL`` others of different components branch on, to this depth at most.
 MAX_LEVELS = 9
-SMALL = 256
+SMALL = 1024
+
+#: Mean similarity from which two children per class and coordinate no longer make a node fall apart.
+DENSE = 0.5
+PROBED = 64
 COORDINATES = 64
 SKETCH_BITS = 128
 
@@ -171,25 +178,33 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 
 def uncertain(members: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (node, class, root, n_shingles) of all nodes to compare: several components, and small or deepest.
+    """Rows (node, class, root, n_shingles) of all nodes to compare: several components, and small, dense or deepest.
 
-    Nodes of more than ``SMALL`` classes that hold several components branch on until they fall
-    apart; what is large at ``MAX_LEVELS`` is handed out whole.
+    Nodes with more than ``SMALL`` pairs of different components per class branch on until they
+    fall apart, unless these pairs are alike; what is large at ``MAX_LEVELS`` is handed out whole.
     """
     signatures = classes.where("signature IS NOT NULL").select("class", "signature")
     roots = parts.select(F.col("vertex").alias("class"), "root")
     found = None
     for level in range(LEVELS, MAX_LEVELS + 1, LEVELS):
         rooted = members.join(roots, "class", "left").select("node", "class", F.coalesce("root", "class").alias("root"))
-        sizes = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-        here = written(rooted.join(sizes.where("a != b").select("node", "n"), "node"))
-        last = level + LEVELS > MAX_LEVELS
-        ready = (here if last else here.where(F.col("n") <= SMALL)).drop("n")
+        ends = rooted.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+        here = written(rooted.join(ends.select("node"), "node"))
+        if level + LEVELS > MAX_LEVELS:
+            found = here if found is None else found.union(here)
+            break
+        shares = here.groupBy("node", "root").agg(F.count("*").alias("m"))
+        totals = shares.groupBy("node").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
+        large = written(totals.where(F.col("n") * F.col("n") - F.col("own") > SMALL * F.col("n")).select("node", "n"))
+        if not large.isEmpty():
+            probed = here.join(large, "node").where(F.pmod(F.xxhash64("class", "node"), F.col("n")) < PROBED)
+            probed = probed.join(signatures, "class").select("node", F.lit(0).alias("one"), F.lit(0).alias("two"), "root", "signature")
+            large = written(probed.repartition("node").sortWithinPartitions("node").mapInArrow(_sparse, "node long"))
+        ready = here.join(large, "node", "left_anti")
         found = ready if found is None else found.union(ready)
-        large = here.where(F.col("n") > SMALL).select("node", "class")
-        if last or large.isEmpty():
+        if large.isEmpty():
             break
-        deeper = large.join(signatures, "class").select("class", "signature", "node")
+        deeper = here.join(large, "node", "left_semi").join(signatures, "class").select("class", "signature", "node")
         members = _shared(written(deeper.mapInArrow(_walker(LEVELS, False), "node long, class long")))
     return found.join(classes.select("class", "n_shingles"), "class")
 
@@ -261,13 +276,22 @@ class _Group:
         self.signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4").reshape(-1, COORDINATES)
         self.roots = rows.column("root").to_numpy()
         one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-        #: How many rows to compare with later ones; of two blocks, only rows of the other one.
-        self.front = len(self.roots) if one == two else int((rows.column("own").to_numpy() == one).sum())
         self.apart = one != two
+        #: How many rows to compare with later ones; of two blocks, only rows of the other one.
+        self.front = int((rows.column("own").to_numpy() == one).sum()) if self.apart else len(self.roots)
+        names, numbers, counts = np.unique(self.roots, return_inverse=True, return_counts=True)
+        #: Rows outside the most frequent component: all that rows of that one have to be compared with.
+        self.frequent = names[counts.argmax()]
+        self.others = np.flatnonzero(numbers != counts.argmax())
+        self.other_signatures = self.signatures[self.others]
 
     def near(self, k: int) -> np.ndarray:
         """Later rows of other components whose minimum hashes allow a link with row k."""
         low = self.front if self.apart else k + 1
+        if self.roots[k] == self.frequent:
+            start = int(np.searchsorted(self.others, low))
+            equal = (self.other_signatures[start:] == self.signatures[k]).sum(axis=1)
+            return self.others[start:][equal >= LEAST_EQUAL]
         equal = (self.signatures[low:] == self.signatures[k]).sum(axis=1)
         return np.flatnonzero((equal >= LEAST_EQUAL) & (self.roots[low:] != self.roots[k])) + low
 
@@ -286,6 +310,19 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from rows.filter(pa.array(keep)).combine_chunks().to_batches()
 
 
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes whose probed rows of different components are less alike than ``DENSE`` on average."""
+    for rows in _groups(batches):
+        group = _Group(rows)
+        equal, pairs = 0, 0
+        for k in range(len(group.roots) - 1):
+            apart = group.roots[k + 1 :] != group.roots[k]
+            equal += int((group.signatures[k + 1 :][apart] == group.signatures[k]).sum())
+            pairs += int(apart.sum())
+        if equal < DENSE * pairs * COORDINATES:
+            yield pa.RecordBatch.from_arrays([rows.column("node")[:1].combine_chunks()], ["node"])
+
+
 def _joiner(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links (u, v) that join components within a group, confirmed on the full sets."""
