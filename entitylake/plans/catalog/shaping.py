@@ -152,7 +152,7 @@ def prj7_names_of_objects(spark, sf):
         F.concat(F.lit("person."), F.col("c_custkey").cast("string")).alias("id"),
         F.struct(F.array(F.lit(" "), F.col("c_name")).alias("name")).alias("properties"),
     )
-    raw = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    raw = TB.spread(orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))).select(
         F.to_json(
             F.struct(
                 F.concat(F.lit("order."), F.col("o_orderkey").cast("string")).alias("id"),
@@ -296,7 +296,7 @@ def lim6_value_cap(spark, sf):
 
 def _order_json(spark, sf, **fields):
     """Orders as JSON entities with the given outer fields."""
-    orders = TB.table(spark, sf, "orders")
+    orders = TB.spread(TB.table(spark, sf, "orders"))
     key = F.concat(F.lit("order."), F.col("o_orderkey").cast("string"))
     body = F.struct(key.alias("id"), *[value.alias(name) for name, value in fields.items()])
     return P.scan_entities(orders.select(F.to_json(body).alias("raw")))
@@ -314,7 +314,7 @@ def prj8_property_values(spark, sf):
         F.array(F.lit(""), F.lit(" ")).alias("blank"),
     )
     mixed = F.to_json(F.struct(F.col("o_orderstatus").alias("s")))
-    rows = TB.table(spark, sf, "orders").select(
+    rows = TB.spread(TB.table(spark, sf, "orders")).select(
         F.concat(
             F.regexp_replace(
                 F.to_json(

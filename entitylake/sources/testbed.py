@@ -32,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly to the tasks of a shuffle. A narrow table is one small file, which a
+    scan takes in one task, while the JSON made of its rows costs a thousand times their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def closure(spark: SparkSession) -> DataFrame:
     rows = [(schema, up) for schema, ups in ANCESTORS.items() for up in ups]
     return spark.createDataFrame(rows, S.CLOSURE)
@@ -263,7 +269,7 @@ def raw_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People as nested JSON objects, one per row, some of them without an own id."""
     regions = table(spark, sf_dir, "region")
     places = table(spark, sf_dir, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-    df = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    df = spread(table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")))
     key = F.col("c_custkey").cast("string")
     entity_id = _id("person", F.col("c_custkey"))
     url = F.concat(F.lit(ORIGIN + "/api/2/entities/"), entity_id)

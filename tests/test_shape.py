@@ -254,3 +254,18 @@ def test_names_and_numbers_at_any_depth(entity):
     rows = entity({"id": "a", "schema": "Page", "properties": {"owner": [{"caption": name, "id": "x"}], "index": number, "document": ["d"]}})
     row = rows.first()
     assert row.props["owner"] == ["Deep Name"] and row.page_index == 7.0
+
+
+def test_json_of_narrow_tables_is_made_in_many_tasks(spark, tmp_path):
+    from entitylake.plans.catalog import shaping
+    from entitylake.sources import testbed as TB
+
+    spark.range(400).selectExpr("id AS c_custkey", "'n' AS c_name", "id % 2 AS c_nationkey", "'m' AS c_mktsegment", "1.5D AS c_acctbal").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 0L AS n_nationkey, 'N' AS n_name, 0L AS n_regionkey UNION ALL SELECT 1L, 'M', 0L").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0L AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.range(400).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "'p' AS o_orderpriority").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    people = TB.raw_people(spark, str(tmp_path))
+    assert people.count() == 400
+    for rows in (people, shaping.prj13_link(spark, str(tmp_path)), shaping.prj8_property_values(spark, str(tmp_path)), shaping.prj7_names_of_objects(spark, str(tmp_path))):
+        held = [n for n in rows.rdd.glom().map(len).collect() if n]
+        assert sum(held) == 400 and len(held) == 4 and max(held) < 200
