@@ -4,7 +4,8 @@ A saved query asks for words, phrases and exact filters, all of them required, a
 words or phrases. Its conditions become tokens: the words themselves, and one token per filter.
 The rarest token of a query is its key. Entities meet a query only through its key, so the work
 follows the number of candidates, not entities times queries; candidates are then verified on the
-entity. The plan is the same for one query and for a million.
+entity. The plan is the same for one query and for a million. Hits are counted another way, in
+cells of entities and queries, because the pairs of both can be too many to be rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from entitylake.functions import tokens as W
 from entitylake.operators import predicates as P
+from entitylake.operators.tally import FOUND, count_cell
 from entitylake.session import written
 
 #: One saved query. ``words`` and ``excluded`` may hold phrases; ``filters`` names properties,
@@ -25,6 +27,11 @@ _MARK = "\x00"
 _ANY = _MARK + "any"
 _OUTER = ("schema", "collection_id", "dataset")
 
+#: Entities and queries of a cell that is counted in one call, and conditions that are still broadcast.
+BLOCK = 16_384
+CHUNK = 1_000_000
+BROADCAST_ATOMS = 1_000_000
+
 
 def _lines(phrases: Column) -> Column:
     """Each phrase as `` word word ``; blank ones are dropped."""
@@ -116,9 +123,73 @@ def percolate(entities: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
+def _evidence(lengths: list[int]) -> Column:
+    """Everything a query can ask for that an entity holds: runs of so many words, facts, ``_ANY``."""
+
+    def runs(words: Column, n: int) -> Column:
+        if n == 1:
+            return words
+        each = F.transform(words, lambda w, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
+        return F.filter(each, lambda run: run.isNotNull())
+
+    words = F.col("words")
+    return F.array_distinct(F.concat(*[runs(words, n) for n in lengths], F.col("facts"), F.array(F.lit(_ANY))))
+
+
+def _tallied(entities: DataFrame, queries: DataFrame) -> DataFrame:
+    """``query_id, n`` of the queries that some entity satisfies, without a row per pair.
+
+    What queries ask for is numbered, entities keep what they hold of it, and each cell of one
+    block of entities and one chunk of queries is counted by itself (``tally``).
+    """
+    saved = prepared(queries.filter(F.col("query_id").isNotNull()))
+    plain = lambda lines: F.transform(lines, lambda line: F.trim(line))
+    every = F.array_distinct(F.concat(plain("lines"), F.col("facts")))
+    saved = written(
+        saved.select(
+            "query_id",
+            F.when(F.size(every) == 0, F.array(F.lit(_ANY))).otherwise(every).alias("must"),
+            plain("unwanted").alias("never"),
+        )
+        .distinct()
+        .withColumn("ask", F.monotonically_increasing_id())
+    )
+    named = saved.select(F.explode(F.concat("must", "never")).alias("token")).distinct()
+    atoms = written(named.withColumn("atom", F.monotonically_increasing_id()))
+    length = F.when(~F.contains("token", F.lit(_MARK)), F.size(F.split("token", " ")))
+    lengths = sorted(r.n for r in atoms.select(length.alias("n")).distinct().collect() if r.n is not None)
+    known = F.broadcast(atoms) if atoms.count() <= BROADCAST_ATOMS else atoms
+
+    must = F.transform("must", lambda t: F.struct(t.alias("token"), F.lit(True).alias("wanted")))
+    never = F.transform("never", lambda t: F.struct(t.alias("token"), F.lit(False).alias("wanted")))
+    asked = saved.select("ask", "query_id", F.inline(F.concat(must, never))).join(atoms, "token")
+    coded = asked.groupBy("ask", "query_id").agg(
+        F.collect_list(F.when(F.col("wanted"), F.col("atom"))).alias("must"),
+        F.collect_list(F.when(~F.col("wanted"), F.col("atom"))).alias("never"),
+    )
+    some = entities.filter(F.col("id").isNotNull())
+    blocks, chunks = (-(-n // size) or 1 for n, size in ((some.count(), BLOCK), (saved.count(), CHUNK)))
+    spread = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    split = some.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64("id").alias("key"),
+        F.inline(F.array(F.struct(P.search_words().alias("words"), _facts().alias("facts")))),
+    )
+    held = (
+        split.select("row", "key", F.explode(_evidence(lengths)).alias("token"))
+        .join(known, "token")
+        .select("row", "key", "atom", F.pmod("key", F.lit(blocks)).cast("int").alias("block"), spread(chunks, "chunk"))
+    )
+    rows = coded.select(
+        "query_id", "must", "never", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), spread(blocks, "block")
+    )
+    cells = held.groupBy("block", "chunk").cogroup(rows.groupBy("block", "chunk"))
+    return cells.applyInArrow(count_cell, FOUND).groupBy("query_id").agg(F.sum("n").alias("n"))
+
+
 def hits_per_saved_query(entities: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, n``: distinct entities per saved query, zero included."""
-    counts = percolate(entities, queries).groupBy("query_id").agg(F.count("*").alias("n"))
+    counts = _tallied(entities, queries)
     names = queries.select("query_id").distinct()
     return names.join(counts, "query_id", "left").select("query_id", F.coalesce("n", F.lit(0)).alias("n"))
 

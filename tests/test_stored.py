@@ -178,3 +178,17 @@ def test_stored_neighbourhoods(spark, corpus, vocabulary, tmp_path):
     found = N.fuzzy_hits(postings, table, words, 1).collect()
     assert {r.word for r in found} == {"ddd"}
     assert sorted(r.id for r in found) == ids(R.fuzzy_ids(postings, "ddd", 1))
+
+
+def test_counts_need_no_row_per_hit(spark, corpus, tmp_path, monkeypatch):
+    """Cells of a few entities and queries, ids that repeat with other texts, two ways of one query."""
+    monkeypatch.setattr(PC, "percolate", None)
+    monkeypatch.setattr(PC, "BLOCK", 40)
+    monkeypatch.setattr(PC, "CHUNK", 5)
+    rows = [(k, *v) for k, v in SAVED.items()] + [("word", ["f"], None, None), ("word", ["f"], None, None), (None, ["a"], None, None)]
+    again = corpus.filter("id < 'n3'").withColumn("texts", F.col("texts").withField("indexText", F.array(F.lit("f dd")))).withColumn("schema", F.lit("Email"))
+    table = corpus.unionByName(again)
+    counts = {r.query_id: r.n for r in PC.hits_per_saved_query(table, spark.createDataFrame(rows, PC.SAVED_QUERY)).collect()}
+    expected = {name: len(scan(table, *conditions)) for name, conditions in SAVED.items()}
+    expected["word"] = len(set(scan(table, *SAVED["word"])) | set(scan(table, ["f"], None, None)))
+    assert counts == {**expected, None: 0}
