@@ -19,25 +19,63 @@ from entitylake.session import written
 # --- Types and their ancestors --------------------------------------------
 
 
-def ancestor_closure(parents: DataFrame, child: str = "schema", parent: str = "parent") -> DataFrame:
-    """``schema, ancestor`` for every type and all types above it, itself included.
+#: Slices that the ancestors of one type are listed in, so no list holds all of very many.
+SLICES = 4
 
-    Pairs are doubled: a round joins all known pairs with themselves, so a chain of n steps takes
-    log n rounds. Each round counts distinct pairs with partial aggregation.
-    """
-    direct = parents.select(F.col(child).alias("schema"), F.col(parent).alias("ancestor"))
-    names = direct.select(F.explode(F.array("schema", "ancestor")).alias("schema")).filter("schema IS NOT NULL").distinct()
-    own = names.select("schema", F.col("schema").alias("ancestor"))
-    direct = direct.filter("schema IS NOT NULL AND ancestor IS NOT NULL")
+
+def _doubled(direct: DataFrame, own: DataFrame) -> DataFrame:
+    """All pairs, by joining known pairs with themselves until none is new."""
     known = written(own.unionByName(direct).distinct())
     count = known.count()
-    while True:
+    while count:
         above = known.select(F.col("schema").alias("ancestor"), F.col("ancestor").alias("top"))
         doubled = written(known.join(above, "ancestor").select("schema", F.col("top").alias("ancestor")).distinct())
         more = doubled.count()
         if more == count:
-            return known
+            break
         known, count = doubled, more
+    return known
+
+
+def ancestor_closure(parents: DataFrame, child: str = "schema", parent: str = "parent") -> DataFrame:
+    """``schema, ancestor`` for every type and all types above it, itself included.
+
+    Types that nothing is below need no rounds: they have the ancestors of their parents. They are
+    taken off, and again the types that are lowest then, as long as that takes off at least half of
+    the steps. Pairs of the rest are doubled: a round joins all known pairs with themselves, so a
+    chain of n steps takes log n rounds. The lowest types then get lists of their parents' ancestors,
+    which meet at the type and are made distinct there; only lists are shuffled.
+    """
+    direct = parents.select(F.col(child).alias("schema"), F.col(parent).alias("ancestor"))
+    names = direct.select(F.explode(F.array("schema", "ancestor")).alias("schema")).filter("schema IS NOT NULL").distinct()
+    rest = direct.filter("schema IS NOT NULL AND ancestor IS NOT NULL AND schema <> ancestor")
+    layers, steps = [], rest.count()
+    while steps:
+        above = rest.select(F.col("ancestor").alias("schema")).distinct().withColumn("inner", F.lit(True))
+        marked = written(rest.join(above, "schema", "left").withColumn("inner", F.col("inner").isNotNull()))
+        left = marked.filter("inner").count()
+        if 2 * left > steps:
+            rest = marked.drop("inner")
+            break
+        layers.append(marked.filter("NOT inner").drop("inner"))
+        rest, steps = marked.filter("inner").drop("inner"), left
+    pairs = rest
+    if steps:
+        inner = rest.select(F.explode(F.array("schema", "ancestor")).alias("schema")).distinct()
+        pairs = _doubled(rest, inner.select("schema", F.col("schema").alias("ancestor")))
+        pairs = pairs.filter("schema <> ancestor")
+    for layer in reversed(layers):
+        lists = pairs.groupBy(F.col("schema").alias("ancestor"), F.pmod(F.xxhash64("ancestor"), F.lit(SLICES)).alias("slice")).agg(
+            F.collect_list("ancestor").alias("tops")
+        )
+        met = layer.join(lists.drop("slice"), "ancestor", "left").select(
+            "schema", F.concat(F.array("ancestor"), F.coalesce("tops", F.array().cast("array<string>"))).alias("tops")
+        )
+        # Distinct pairs of a type lie where the type is: no further shuffle.
+        grown = met.repartition("schema").select("schema", F.explode("tops").alias("ancestor")).distinct()
+        last = layer is layers[0]
+        pairs = pairs.unionByName(grown if last else written(grown))
+    return pairs.unionByName(names.select("schema", F.col("schema").alias("ancestor")))
 
 
 # --- Links between entities -----------------------------------------------

@@ -124,3 +124,14 @@ def test_hops_over_entities(entity):
     assert found == {"c": (0, None), "o": (1, "c"), "p": (2, "o"), "o2": (3, "p"), "d": (4, "o2")}
     with pytest.raises(ValueError):
         G.within_hops(links, corpus, -1)
+
+
+def test_closure_of_many_low_types_shuffles_lists(spark):
+    """Low types take no part in the rounds; a cycle above them, a diamond and a step to itself stay right."""
+    pairs = [(f"low{i}", f"mid{(i + k) % 7}") for i in range(40) for k in range(3)]
+    pairs += [(f"mid{i}", f"top{i % 2}") for i in range(7)] + [("top0", "a"), ("a", "b"), ("b", "a"), ("top1", "top1"), ("mid3", "a"), ("low1", "top0")]
+    table = spark.createDataFrame([*pairs, pairs[0], ("alone", None), (None, "over")], "schema string, parent string")
+    closure = G.ancestor_closure(table)
+    found = [tuple(r) for r in closure.collect()]
+    assert set(found) == all_above(pairs) | {("alone", "alone"), ("over", "over")} and len(found) == len(set(found))
+    assert "collect_list" in closure._jdf.queryExecution().optimizedPlan().toString()
