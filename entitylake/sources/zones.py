@@ -75,6 +75,18 @@ def _coordinates(zones: Mapping[str, str]) -> list[Column]:
     return [spread, F.least(F.greatest(day / 2, F.lit(0)), F.lit(most)).cast("long")]
 
 
+def placed(entities: DataFrame, zones: Mapping[str, str]) -> DataFrame:
+    """Rows as they are written: each task's by schema and along the curve.
+
+    Rows stay in the tasks they come from. Entity rows are wide, and a shuffle that only gathered a
+    schema's rows would not bring neighbours on the curve together: files span all of it either way,
+    their row groups do not.
+    """
+    rows = S.conform(entities).withColumns(zone_columns(zones)).withColumn("schema_dir", F.col("schema"))
+    order = rows.withColumn("curve", curve(*_coordinates(_checked(zones))))
+    return order.sortWithinPartitions("schema_dir", "curve", "id").drop("curve")
+
+
 def write_zoned(
     entities: DataFrame,
     path: str,
@@ -83,11 +95,8 @@ def write_zoned(
     row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
     """The entity table with zone columns, one directory per schema, along the curve, Bloom filters for ids."""
-    rows = S.conform(entities).withColumns(zone_columns(zones)).withColumn("schema_dir", F.col("schema"))
-    order = rows.withColumn("curve", curve(*_coordinates(_checked(zones))))
-    spread = order.hint("rebalance", F.col("schema_dir")).sortWithinPartitions("schema_dir", "curve", "id").drop("curve")
     (
-        spread.write.mode(mode)
+        placed(entities, zones).write.mode(mode)
         .option("parquet.bloom.filter.enabled#id", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
         .option("parquet.block.size", str(row_group_bytes))

@@ -98,3 +98,12 @@ def test_scans_leave_out_row_groups(spark, tmp_path):
     assert scanned(Z.lookup(table, ["kabsent", "k0"]).select("id", "props")) == 0
     one = table.select("id").first().id
     assert 0 < scanned(Z.lookup(table, [one]).select("id", "props")) < total / 2
+
+
+def test_wide_rows_are_written_where_they_are(spark, corpus, tmp_path):
+    parts = corpus.repartition(3).cache()
+    Z.write_zoned(parts, f"{tmp_path}/t", ZONES)
+    written = spark.read.parquet(f"{tmp_path}/t").filter("id IS NOT NULL")
+    by_file = {frozenset(r.ids) for r in written.groupBy(F.input_file_name(), "schema_dir").agg(F.collect_set("id").alias("ids")).collect()}
+    by_task = {frozenset(r.ids) for r in parts.groupBy(F.spark_partition_id(), "schema").agg(F.collect_set("id").alias("ids")).collect()}
+    assert by_file == by_task
