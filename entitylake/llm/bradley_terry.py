@@ -5,8 +5,10 @@ with probability sigmoid(w . (x - y)). The weights w come from logistic loss on
 differences. The labels' share of bad documents then picks a quantile of the training scores as
 threshold, and a document's score is the sigmoid of its distance from it.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE`` of each label, by hash of
-the id). Scoring is one projection of built-in functions over the whole text, without a shuffle.
+The model is fitted on all labelled rows and all pairs of a good and a bad one. Each Newton step
+is one pass over the rows' features: the loss of a pair depends on its two strengths only, so
+rows are summed up by strength (``BINS`` of ``1 / FINE``) and pairs are taken between the sums, each
+at its mean strength. The threshold is the exact quantile over all rows. Scoring is one projection of built-in functions over the whole text, without a shuffle.
 
 Defined results: a null or empty text has all ratios 0 and is scored like any other; labels that
 are null are not used, and a document labelled both ways equally often is not either; without
@@ -16,18 +18,22 @@ stay, those named like an output column are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitylake.llm.rule_table import measured
-from entitylake.llm.shared import bind, without, words_of
+from entitylake.llm.shared import bind, without, words_of, written
 
-#: Labelled rows of either kind that a model is fitted on, at most, and pairs made of them.
-SAMPLE = 8_000
-PAIRS = 60_000
+#: Classes of strength on either side of 0, and classes in a unit of strength.
+BINS = 1_024
+FINE = 16
+#: Strengths that are sorted on the driver to find an exact quantile, at most.
+FEW = 10_000
 PENALTY = 1e-3
 STEPS = 40
 
@@ -101,31 +107,99 @@ class Ranking:
 UNTRAINED = Ranking((0.0,) * len(FEATURES), 0.0, 1.0)
 
 
-def fit(good: np.ndarray, bad: np.ndarray, penalty: float = PENALTY, seed: int = 5) -> Ranking:
-    """Newton steps on the logistic loss of pairs (good over bad)."""
-    if not len(good) or not len(bad):
+def _sums(weights: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per label and class of strength: rows, summed strengths, summed features and their products."""
+    width = len(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            good = batch.column(0).to_numpy(zero_copy_only=False)
+            strength = x @ weights
+            place = np.clip(np.floor(strength * FINE), -BINS, BINS - 1).astype(np.int64) + BINS
+            code = place * 2 + good
+            order = np.argsort(code, kind="stable")
+            edges = np.flatnonzero(np.diff(code[order], prepend=-1))
+            for rows in np.split(order, edges[1:]):
+                part = x[rows]
+                sums = np.concatenate([[len(rows), strength[rows].sum()], part.sum(axis=0), (part.T @ part).ravel()])
+                key = int(code[rows[0]])
+                total[key] = total[key] + sums if key in total else sums
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.list_(pa.float64()))], ["code", "sums"]
+            )
+
+    return run
+
+
+def _slope_and_curve(sums: dict[int, np.ndarray], w: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the mean loss over all pairs, from the sums of each label and class of strength."""
+    width = len(w)
+    sides = [np.array([sums[k] for k in sorted(sums) if k % 2 == good]) for good in (1, 0)]
+    (n, s, x, xx), (m, t, y, yy) = ((a[:, 0], a[:, 1] / a[:, 0], a[:, 2 : 2 + width], a[:, 2 + width :]) for a in sides)
+    pairs = n.sum() * m.sum()
+    p = 1 / (1 + np.exp(np.clip(s[:, None] - t[None, :], -30, 30)))  # how surely the pair is still lost
+    q = p * (1 - p)
+    slope = penalty * w - ((p @ m) @ x - (n @ p) @ y) / pairs
+    own = ((q @ m) @ xx + (n @ q) @ yy).reshape(width, width)
+    cross = x.T @ q @ y
+    return slope, (own - cross - cross.T) / pairs + penalty * np.eye(width)
+
+
+def order_statistic(table: DataFrame, column: str, place: int) -> float:
+    """The value at a place (from 0) of the ascending order, by counts in ever smaller ranges."""
+    low, high = table.agg(F.min(column), F.max(column)).first()
+    rows = table.select(column)
+    while low < high:
+        step = (high - low) / 1024
+        part = F.least(F.greatest(F.floor((F.col(column) - low) / step), F.lit(0)), F.lit(1023))
+        found = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        for row in sorted(found.collect(), key=lambda r: r["part"]):
+            if place < row["n"]:
+                break
+            place -= row["n"]
+        low, high = row["low"], row["high"]
+        rows = rows.where(F.col(column).between(low, high))
+        if row["n"] <= FEW:
+            return float(sorted(r[0] for r in rows.collect())[place])
+    return float(low)
+
+
+def fit(rows: DataFrame, penalty: float = PENALTY) -> Ranking:
+    """Newton steps on the logistic loss of all pairs (good over bad) of rows ``good, x``."""
+    width = len(FEATURES)
+    each = [F.get("x", F.lit(k)) for k in range(width)]
+    found = rows.agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"), *[F.stddev_pop(v).alias(f"x{k}") for k, v in enumerate(each)]
+    ).first()
+    if not found["good"] or not found["bad"]:
         return UNTRAINED
-    draw = np.random.default_rng(seed)
-    both = np.concatenate([good, bad])
-    scale = both.std(axis=0)
+    scale = np.array([found[f"x{k}"] for k in range(width)])
     scale[scale < 1e-9] = 1.0
-    count = min(PAIRS, len(good) * len(bad))
-    gaps = (good[draw.integers(0, len(good), count)] - bad[draw.integers(0, len(bad), count)]) / scale
-    w = np.zeros(both.shape[1])
+    scaled = rows.select("good", F.array(*[v / F.lit(float(u)) for v, u in zip(each, scale)]).alias("x"))
+    w = np.zeros(width)
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(np.clip(gaps @ w, -30, 30)))  # how surely the pair is still lost
-        slope = penalty * w - gaps.T @ p / count
-        curve = (gaps * (p * (1 - p))[:, None]).T @ gaps / count + penalty * np.eye(len(w))
+        sums: dict[int, np.ndarray] = {}
+        for row in scaled.mapInArrow(_sums(w), "code int, sums array<double>").collect():
+            part = np.array(row["sums"])
+            sums[row["code"]] = sums[row["code"]] + part if row["code"] in sums else part
+        slope, curve = _slope_and_curve(sums, w, penalty)
         step = np.linalg.solve(curve, slope)
         w -= step
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-4:
             break
-    strengths = np.sort((both / scale) @ w)
+    weights = tuple((w / scale).tolist())
+    strengths = rows.select(Ranking(weights, 0.0, 1.0).strength(F.col("x")).alias("s"))
     # The quantile at the share of bad documents, between two neighbours in the ranking.
-    place = len(bad)
-    threshold = float((strengths[place - 1] + strengths[min(place, len(strengths) - 1)]) / 2)
-    spread = float(max(np.abs(strengths - threshold).mean() / 4, 1e-9))
-    return Ranking(tuple((w / scale).tolist()), threshold, spread)
+    place = found["bad"]
+    last = found["good"] + found["bad"] - 1
+    threshold = (order_statistic(strengths, "s", place - 1) + order_statistic(strengths, "s", min(place, last))) / 2
+    away = strengths.agg(F.avg(F.abs(F.col("s") - F.lit(threshold)))).first()[0]
+    return Ranking(weights, threshold, float(max(away / 4, 1e-9)))
 
 
 def train(
@@ -136,13 +210,10 @@ def train(
     label: str = "quality",
     modulus: int = 3,
     remainder: int = 1,
-    sample: int = SAMPLE,
 ) -> Ranking:
-    """A ranking from labelled documents; ids whose CRC-32 leaves the remainder are held out.
+    """A ranking from all labelled documents; ids whose CRC-32 leaves the remainder are held out.
 
-    The sample keeps the labels' shares: all labels are counted, then ids whose hash is small
-    enough are taken, and the smallest ``2 * sample`` of them at most. Only those ids are
-    broadcast and only their features come to the driver.
+    Their features are written once to the shared folder; sums over them come to the driver.
     """
     number = F.col(f"`{ident}`")
     votes = (
@@ -151,18 +222,12 @@ def train(
         .agg(F.avg(F.col(f"`{label}`").cast("double")).alias("vote"))
         .where("vote != 0.5")
     )
-    chosen = votes.orderBy(F.xxhash64("llm_id", F.lit("bradley")), "llm_id").limit(2 * sample)
     rows = (
         docs.select(number.alias("llm_id"), F.col(f"`{text}`").alias("llm_text"))
-        .join(F.broadcast(chosen), "llm_id")
-        .select((F.col("vote") > 0.5).alias("good"), features(F.col("llm_text")).alias("x"))
-        .limit(2 * sample)
-        .collect()
+        .join(votes, "llm_id")
+        .select((F.col("vote") > 0.5).alias("good"), F.explode(F.array(features(F.col("llm_text")))).alias("x"))
     )
-    width = len(FEATURES)
-    good = np.array([row["x"] for row in rows if row["good"]], dtype=float).reshape(-1, width)
-    bad = np.array([row["x"] for row in rows if not row["good"]], dtype=float).reshape(-1, width)
-    return fit(good, bad)
+    return fit(written(rows))
 
 
 def ranked(docs: DataFrame, model: Ranking, text: str = "text") -> DataFrame:

@@ -256,3 +256,25 @@ def test_most_frequent_labels_are_learned(documents):
     rows = [(i, f"the house number {i}", "en", "s") for i in range(40)] + [(100 + i, "x", f"noise {i}", "s") for i in range(30)]
     model = ecoc_language.train(documents(*rows), languages=2)
     assert len(model.names) <= 2 and "en" in model.names
+
+
+def test_ranking_is_fitted_on_all_labelled_rows(spark):
+    """Sums by strength give what all pairs give one by one, for more rows than a sample held."""
+    draw = np.random.default_rng(3)
+    width = len(bradley_terry.FEATURES)
+    few = np.concatenate([draw.normal(0.4, 1, (90, width)), draw.normal(0, 1, (60, width))])
+    good = np.arange(150) < 90
+    schema = "good boolean, x array<double>"
+    model = bradley_terry.fit(spark.createDataFrame([(bool(g), x.tolist()) for g, x in zip(good, few)], schema))
+    scale = few.std(axis=0)
+    gaps = ((few[good][:, None] - few[~good][None]) / scale).reshape(-1, width)
+    w = np.zeros(width)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(gaps @ w))
+        slope = bradley_terry.PENALTY * w - gaps.T @ p / len(gaps)
+        w -= np.linalg.solve((gaps * (p * (1 - p))[:, None]).T @ gaps / len(gaps) + bradley_terry.PENALTY * np.eye(width), slope)
+    assert np.allclose(np.array(model.weights) * scale, w, atol=0.01)
+    strengths = np.sort(few @ np.array(model.weights))
+    assert np.isclose(model.threshold, strengths[59:61].mean())
+    many = spark.range(40_000).selectExpr("id % 4 > 0 AS good", f"array_repeat(CAST(id AS double), {width}) AS x")
+    assert np.isclose(bradley_terry.order_statistic(many.selectExpr("x[0] AS s"), "s", 31_234), 31_234)
