@@ -8,7 +8,11 @@ threshold, and a document's score is the sigmoid of its distance from it.
 The model is fitted on all labelled rows and all pairs of a good and a bad one. Each Newton step
 is one pass over the rows' features: the loss of a pair depends on its two strengths only, so
 rows are summed up by strength (``BINS`` of ``1 / FINE``) and pairs are taken between the sums, each
-at its mean strength. The threshold is the exact quantile over all rows. Scoring is one projection of built-in functions over the whole text, without a shuffle.
+at its mean strength. The threshold is the exact quantile over all rows. Scoring is one projection of
+built-in functions over the whole text, without a shuffle.
+
+Texts never meet the labels: a row's features are computed where its text is read, and only they are
+joined. Who trains and scores the same rows computes them once (``featured``) and names the column.
 
 Defined results: a null or empty text has all ratios 0 and is scored like any other; labels that
 are null are not used, and a document labelled both ways equally often is not either; without
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitylake.llm.rule_table import measured
+from entitylake.llm.rule_table import measured_words
 from entitylake.llm.shared import bind, without, words_of, written
 
 #: Classes of strength on either side of 0, and classes in a unit of strength.
@@ -62,14 +66,14 @@ def features(text: Column) -> Column:
     """The features of a text as an array of numbers near 0 to 1, in the order of ``FEATURES``."""
     whole = F.coalesce(text, F.lit(""))
 
-    def numbers(m: Column) -> Column:
+    def numbers(m: Column, found: Column) -> Column:
         words = F.greatest(m["n_words"], F.lit(1)).cast("double")
         chars = F.greatest(m["word_chars"], F.lit(1)).cast("double")
         lines = F.greatest(m["n_lines"], F.lit(1)).cast("double")
         capitals = F.length(whole) - F.length(F.regexp_replace(whole, r"\p{Lu}", ""))
         digits = F.length(whole) - F.length(F.translate(whole, "0123456789", ""))
         # Of many words fewer are new, so the share of distinct words counts against its usual decline.
-        distinct = F.size(F.array_distinct(words_of(whole)))
+        distinct = F.size(F.array_distinct(found))
         return F.array(
             F.log1p(m["n_words"].cast("double")) / 10,
             F.least(F.lit(2.0), m["word_chars"] / words / 10),
@@ -84,7 +88,13 @@ def features(text: Column) -> Column:
             F.log1p(words / lines) / 10,
         )
 
-    return bind(measured(text), numbers)
+    return bind(words_of(text), lambda found: bind(measured_words(text, found), lambda m: numbers(m, found)))
+
+
+def featured(docs: DataFrame, text: str = "text", name: str = "features") -> DataFrame:
+    """The input with the features of its text as a column, computed once, behind a generator."""
+    kept = [F.col(f"`{column}`") for column in without(docs, name).columns]
+    return docs.select(*kept, F.explode(F.array(features(F.col(f"`{text}`")))).alias(name))
 
 
 @dataclass(frozen=True)
@@ -210,10 +220,12 @@ def train(
     label: str = "quality",
     modulus: int = 3,
     remainder: int = 1,
+    found: str | None = None,
 ) -> Ranking:
     """A ranking from all labelled documents; ids whose CRC-32 leaves the remainder are held out.
 
-    Their features are written once to the shared folder; sums over them come to the driver.
+    Their features (those in the column ``found``, if it is named) are written once to the shared
+    folder; sums over them come to the driver.
     """
     number = F.col(f"`{ident}`")
     votes = (
@@ -222,18 +234,23 @@ def train(
         .agg(F.avg(F.col(f"`{label}`").cast("double")).alias("vote"))
         .where("vote != 0.5")
     )
-    rows = (
-        docs.select(number.alias("llm_id"), F.col(f"`{text}`").alias("llm_text"))
-        .join(votes, "llm_id")
-        .select((F.col("vote") > 0.5).alias("good"), F.explode(F.array(features(F.col("llm_text")))).alias("x"))
-    )
+    if found is None:
+        learned = ~held_out(number.try_cast(votes.schema["llm_id"].dataType), modulus, remainder)
+        some = docs.where(number.isNotNull() & learned).select(number.alias("llm_id"), F.col(f"`{text}`").alias("llm_text"))
+        narrow = featured(some, "llm_text", "x").drop("llm_text")
+    else:
+        narrow = docs.select(number.alias("llm_id"), F.col(f"`{found}`").alias("x"))
+    rows = narrow.join(votes, "llm_id").select((F.col("vote") > 0.5).alias("good"), "x")
     return fit(written(rows))
 
 
-def ranked(docs: DataFrame, model: Ranking, text: str = "text") -> DataFrame:
-    """The input with ``score`` and ``predicted``. The features are computed once, behind a generator."""
+def ranked(docs: DataFrame, model: Ranking, text: str = "text", found: str | None = None) -> DataFrame:
+    """The input with ``score`` and ``predicted``; the features come from the column ``found``, if it is named.
+
+    Else they are computed once, behind a generator.
+    """
     kept = [F.col(f"`{name}`") for name in without(docs, "score", "predicted").columns]
-    score = bind(features(F.col(f"`{text}`")), model.score)
+    score = bind(features(F.col(f"`{text}`")), model.score) if found is None else model.score(F.col(f"`{found}`"))
     table = docs.select(*kept, F.explode(F.array(score)).alias("score"))
     return table.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -247,7 +264,8 @@ def accepted(docs: DataFrame, model: Ranking, text: str = "text") -> DataFrame:
 def op4_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score, learned from the labels that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return ranked(docs, model).select(
+    table = written(featured(docs).drop("text"))
+    model = train(table, spark.read.parquet(f"{sf_dir}/labels.parquet"), found="features")
+    return ranked(table, model, found="features").select(
         "doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted"
     )

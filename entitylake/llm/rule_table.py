@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from entitylake.llm.shared import SPACES, bind, without, words_of
 
-#: The symbols counted, and the length of the windows of repeated words.
+#: The symbols counted, and the length of the windows of repeated words (a power of two).
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 BASE_WORDS = 20
@@ -72,11 +72,19 @@ def count_chars(text: Column, chars: str) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of 8 words found twice or more in the text.
 
-    Windows are compared by a 64-bit hash. A text whose windows are all different (nearly
-    every text) ends with one hash set; else the windows are sorted by hash, and the lengths
-    that the repeated ones cover are summed in order of position: n log n in the words.
+    Windows are compared by a 64-bit hash, made of the hashes of their halves, down to single
+    words. A text whose windows are all different (nearly every text) ends with one hash set;
+    else the windows are sorted by hash, and the lengths that the repeated ones cover are summed
+    in order of position: n log n in the words.
     """
 
+    def windows(hashes: Column, span: int) -> Column:
+        """From a hash at each place of the ``span`` words there to those of ``WINDOW`` words."""
+        if span == WINDOW:
+            return covered(hashes)
+        firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - span, F.lit(0)))
+        return bind(F.transform(firsts, lambda h, i: F.xxhash64(h, F.get(hashes, i + span))), lambda h: windows(h, 2 * span))
+
     def covered(hashes: Column) -> Column:
         pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
@@ -99,34 +107,33 @@ def repeated_words(words: Column) -> Column:
             bind(bind(pairs, positions), length)
         )
 
-    starts = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
-    hashes = F.transform(starts, lambda start: F.xxhash64(F.slice(words, start, WINDOW)))
-    return F.when(F.size(words) <= WINDOW, F.lit(0).cast("long")).otherwise(bind(hashes, covered))
+    hashes = F.transform(words, lambda word: F.xxhash64(word))
+    return F.when(F.size(words) <= WINDOW, F.lit(0).cast("long")).otherwise(bind(hashes, lambda h: windows(h, 1)))
 
 
 def measured(text: Column) -> Column:
     """All measures of a text as one struct; its words are split once."""
-    whole = F.coalesce(text, F.lit(""))
+    return bind(words_of(text), lambda words: measured_words(text, words))
 
-    def with_lines(words: Column) -> Column:
-        def fields(lines: Column) -> Column:
-            return F.struct(
-                F.size(words).cast("long").alias("n_words"),
-                F.length(F.translate(whole, SPACES, "")).cast("long").alias("word_chars"),
-                count_chars(whole, SYMBOLS).alias("n_symbols"),
-                (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-                repeated_words(words).alias("n_repeat_words"),
-                count_chars(whole, "!").alias("n_shouts"),
-                F.size(F.filter(words, lambda word: F.lower(word).isin(*STOP_WORDS)))
-                .cast("long")
-                .alias("n_stop_words"),
-                F.size(lines).cast("long").alias("n_lines"),
-            )
 
-        spoken = F.filter(F.split(whole, "\n"), lambda line: F.translate(line, SPACES, "") != "")
-        return bind(spoken, fields)
+def measured_words(text: Column, words: Column) -> Column:
+    """All measures of a text whose words are split already."""
+    whole = F.coalesce(text, F.lit(""))
+
+    def fields(lines: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.translate(whole, SPACES, "")).cast("long").alias("word_chars"),
+            count_chars(whole, SYMBOLS).alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            repeated_words(words).alias("n_repeat_words"),
+            count_chars(whole, "!").alias("n_shouts"),
+            F.size(F.filter(words, lambda word: F.lower(word).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+            F.size(lines).cast("long").alias("n_lines"),
+        )
 
-    return bind(words_of(text), with_lines)
+    spoken = F.filter(F.split(whole, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    return bind(spoken, fields)
 
 
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:

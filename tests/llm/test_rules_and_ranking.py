@@ -49,6 +49,14 @@ def test_base_measures_match_brute_force(documents):
         assert tuple(row[name] for name in names) == brute_base(TEXTS[row["doc_id"]]), row["doc_id"]
 
 
+def test_windows_of_the_same_words_in_another_order_differ(documents):
+    words = "a b c d e f g h".split()
+    halves, pairs = words[4:] + words[:4], [w for k in (2, 0, 6, 4) for w in words[k : k + 2]]
+    texts = [" ".join(part) for part in (words + halves[::-1] + pairs + words[::-1], words + halves + words, words + ["x"] + words)]
+    for row in rule_table.quality_rules(documents(*enumerate(texts))).collect():
+        assert row["n_repeat_words"] == brute_base(texts[row["doc_id"]])[4], row["doc_id"]
+
+
 def test_rules_are_compiled_to_one_projection(documents):
     table = documents((1, "the cat sat on the mat and " * 4))
     plan = rule_table.quality_rules(table)._jdf.queryExecution().executedPlan().toString()
@@ -84,6 +92,54 @@ def test_ranking_learns_from_pairs(documents, spark):
     assert bradley_terry.accepted(table, model).columns == table.columns
 
 
+def joined_types(table):
+    """The types of the columns on either side of the plan's joins, a set for each join."""
+    nodes = [table._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        below = [node.children().apply(k) for k in range(node.children().size())]
+        nodes += below
+        if node.nodeName() == "Join":
+            yield {x.output().apply(k).dataType().simpleString() for x in below for k in range(x.output().size())}
+
+
+def labelled(documents, spark):
+    texts = [f"the house number {i} is on the left side of the road." if i % 2 else f"BUY!! NOW{i}!! $$$ ### {i}{i}" for i in range(90)]
+    table = documents(*enumerate(texts), (None, "the road"), (3, None), (4, "the road"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1)], "doc_id long, quality int")
+    return table, labels
+
+
+def test_texts_are_not_joined_with_labels(documents, spark, tmp_path, monkeypatch):
+    table, labels = labelled(documents, spark)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    plans, calls, write, measure = [], [], bradley_terry.written, bradley_terry.features
+    monkeypatch.setattr(bradley_terry, "written", lambda t: plans.extend(joined_types(t)) or write(t))
+    monkeypatch.setattr(bradley_terry, "features", lambda text: calls.append(1) or measure(text))
+    bradley_terry.train(table, labels)
+    assert len(plans) == 1 and not any("string" in types for types in plans)
+    calls.clear()
+    scores = bradley_terry.op4_bradley_terry(spark, str(tmp_path))
+    plans += joined_types(scores)
+    assert len(plans) == 2 and not any("string" in types for types in plans)
+    assert len(calls) == 1  # once for a text, for training and scoring alike
+    assert scores.columns == ["doc_id", "held_out", "score", "predicted"] and scores.count() == table.count()
+
+
+def test_named_features_give_the_same_ranking(documents, spark):
+    table, labels = labelled(documents, spark)
+    with_features = bradley_terry.featured(table, name="f")
+    model = bradley_terry.train(table, labels)
+    for docs, found in ((with_features, "f"), (with_features.drop("text"), "f"), (table.withColumn("doc_id", F.col("doc_id").cast("int")), None)):
+        other = bradley_terry.train(docs, labels, found=found)
+        assert other.weights == pytest.approx(model.weights) and other.threshold == pytest.approx(model.threshold)
+    found = bradley_terry.ranked(with_features, model, found="f")
+    assert found.columns == [*table.columns, "f", "score", "predicted"]
+    again = bradley_terry.ranked(table, model)
+    assert Counter(found.select(*again.columns).collect()) == Counter(again.collect())
+
+
 def test_ranking_without_both_labels(documents, spark):
     table = documents((1, "a"), (2, None))
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
