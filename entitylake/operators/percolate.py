@@ -10,12 +10,15 @@ cells of entities and queries, because the pairs of both can be too many to be r
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitylake.functions import tokens as W
 from entitylake.operators import predicates as P
-from entitylake.operators.tally import FOUND, count_cell
+from entitylake.operators import tally as T
 from entitylake.session import written
 
 #: One saved query. ``words`` and ``excluded`` may hold phrases; ``filters`` names properties,
@@ -27,10 +30,17 @@ _MARK = "\x00"
 _ANY = _MARK + "any"
 _OUTER = ("schema", "collection_id", "dataset")
 
-#: Entities and queries of a cell that is counted in one call, and conditions that are still broadcast.
-BLOCK = 16_384
+#: Entities of a span at least, and spans at most.
+BLOCK = 2048
+SPANS = 24
+#: Queries and conditions of a chunk at most: a task holds them.
 CHUNK = 1_000_000
-BROADCAST_ATOMS = 1_000_000
+CHUNK_CONDITIONS = 4_000_000
+#: Conditions that are known by a short number, and bits that tell what is asked for at all.
+COMMON = 1_000_000
+MOST_BITS = 1 << 28
+#: Bits of one bitmap that Spark makes.
+PAGE = 32_768
 
 
 def _lines(phrases: Column) -> Column:
@@ -123,75 +133,88 @@ def percolate(entities: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
-def _evidence(lengths: list[int]) -> Column:
-    """Everything a query can ask for that an entity holds: runs of so many words, facts, ``_ANY``."""
-
-    def runs(words: Column, n: int) -> Column:
-        if n == 1:
-            return words
-        each = F.transform(words, lambda w, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
-        return F.filter(each, lambda run: run.isNotNull())
+def _hashed(tokens: Column) -> Column:
+    return F.transform(tokens, lambda token: F.xxhash64(token))
 
-    words = F.col("words")
-    return F.array_distinct(F.concat(*[runs(words, n) for n in lengths], F.col("facts"), F.array(F.lit(_ANY))))
 
+def _condition(token: Column) -> Column:
+    """A condition as the hashes of its words; a fact is a word."""
+    return _hashed(F.when(F.contains(token, F.lit(_MARK)), F.array(token)).otherwise(F.split(token, " ")))
 
-def _tallied(entities: DataFrame, queries: DataFrame) -> DataFrame:
-    """``query_id, n`` of the queries that some entity satisfies, without a row per pair.
 
-    What queries ask for is numbered, entities keep what they hold of it, and each cell of one
-    block of entities and one chunk of queries is counted by itself (``tally``).
-    """
-    saved = prepared(queries.filter(F.col("query_id").isNotNull()))
+def _numbered(queries: DataFrame) -> DataFrame:
+    """``query_id, ask, ways``: each query once, by a number, with its different ways to be satisfied."""
     plain = lambda lines: F.transform(lines, lambda line: F.trim(line))
     every = F.array_distinct(F.concat(plain("lines"), F.col("facts")))
-    saved = written(
-        saved.select(
-            "query_id",
-            F.when(F.size(every) == 0, F.array(F.lit(_ANY))).otherwise(every).alias("must"),
-            plain("unwanted").alias("never"),
-        )
-        .distinct()
-        .withColumn("ask", F.monotonically_increasing_id())
-    )
-    named = saved.select(F.explode(F.concat("must", "never")).alias("token")).distinct()
-    atoms = written(named.withColumn("atom", F.monotonically_increasing_id()))
-    length = F.when(~F.contains("token", F.lit(_MARK)), F.size(F.split("token", " ")))
-    lengths = sorted(r.n for r in atoms.select(length.alias("n")).distinct().collect() if r.n is not None)
-    known = F.broadcast(atoms) if atoms.count() <= BROADCAST_ATOMS else atoms
-
-    must = F.transform("must", lambda t: F.struct(t.alias("token"), F.lit(True).alias("wanted")))
-    never = F.transform("never", lambda t: F.struct(t.alias("token"), F.lit(False).alias("wanted")))
-    asked = saved.select("ask", "query_id", F.inline(F.concat(must, never))).join(atoms, "token")
-    coded = asked.groupBy("ask", "query_id").agg(
-        F.collect_list(F.when(F.col("wanted"), F.col("atom"))).alias("must"),
-        F.collect_list(F.when(~F.col("wanted"), F.col("atom"))).alias("never"),
+    must = F.when(F.size(every) == 0, F.array(F.lit(_ANY))).otherwise(every)
+    way = F.struct(
+        F.transform(F.array_sort(must), _condition).alias("must"),
+        F.transform(F.array_sort(plain("unwanted")), _condition).alias("never"),
     )
+    # A query without an id is no query; its row stays, with a count of zero.
+    ways = F.collect_set(F.when(F.col("query_id").isNotNull(), way))
+    return prepared(queries).groupBy("query_id").agg(ways.alias("ways")).withColumn("ask", F.monotonically_increasing_id())
+
+
+def _asked(queries: DataFrame, chunks: int, most: int) -> tuple[T.Known, dict[int, np.ndarray]]:
+    """What queries ask for most, and for each chunk a bit by the end of each hash. Both are
+    bounded; ``most`` is about the number of a chunk's conditions."""
+    hashes = queries.select("chunk", F.explode(F.concat("must", "never")).alias("hash"))
+    often = written(hashes.groupBy("hash").agg(F.count("*").alias("n")))
+    # How many hashes are asked for so often; that these numbers are different keeps them few.
+    sizes = sorted(((row.n, row["count"]) for row in often.groupBy("n").count().collect()), reverse=True)
+    least = [n for (n, _), total in zip(sizes, accumulate(count for _, count in sizes), strict=True) if total <= COMMON]
+    top = often.filter(F.col("n") >= least[-1] if least else F.lit(False)).toArrow()
+    order = np.lexsort((top["hash"].to_numpy(), -top["n"].to_numpy()))
+    known = T.Known(top["hash"].to_numpy()[order].view(np.uint64), len(least) == len(sizes))
+
+    size = max(min(1 << (16 * most).bit_length(), 1 << (MOST_BITS // chunks).bit_length() - 1), PAGE)
+    at = F.pmod("hash", F.lit(size))
+    pages = hashes.groupBy("chunk", (at / PAGE).cast("int").alias("page")).agg(F.bitmap_construct_agg(at % PAGE).alias("bits"))
+    bits: dict[int, np.ndarray] = {}
+    for row in pages.collect():
+        of_chunk = bits.setdefault(row.chunk, np.zeros(size // 8, np.uint8))
+        of_chunk[row.page * PAGE // 8 :][: PAGE // 8] = np.frombuffer(row.bits, np.uint8)
+    return known, bits
+
+
+def _tallied(entities: DataFrame, saved: DataFrame) -> DataFrame:
+    """``ask, n`` of the queries that some entity satisfies, without a row per pair.
+
+    ``saved`` is a written table of numbered queries. Entities keep hashes of what they hold of the
+    conditions, and each cell of one span of entities and one chunk of queries is counted by itself
+    (``tally``). Entities travel once per chunk and queries once per span; chunks are as large
+    as a task can hold and spans at most ``SPANS``, so what is shuffled does not follow the cells.
+    """
+    ways = saved.select("ask", F.inline("ways"))
+    lengths = ways.select(F.explode(F.concat("must", "never")).alias("words")).groupBy(F.size("words").alias("n")).count().collect()
     some = entities.filter(F.col("id").isNotNull())
-    blocks, chunks = (-(-n // size) or 1 for n, size in ((some.count(), BLOCK), (saved.count(), CHUNK)))
-    spread = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    split = some.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.xxhash64("id").alias("key"),
-        F.inline(F.array(F.struct(P.search_words().alias("words"), _facts().alias("facts")))),
-    )
-    held = (
-        split.select("row", "key", F.explode(_evidence(lengths)).alias("token"))
-        .join(known, "token")
-        .select("row", "key", "atom", F.pmod("key", F.lit(blocks)).cast("int").alias("block"), spread(chunks, "chunk"))
-    )
-    rows = coded.select(
-        "query_id", "must", "never", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"), spread(blocks, "block")
+    conditions = sum(row["count"] for row in lengths)
+    chunks = max(-(-saved.count() // CHUNK), -(-conditions // CHUNK_CONDITIONS), 1)
+    spans = min(-(-some.count() // BLOCK) or 1, SPANS)
+    by = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
+
+    hashed = written(ways.select(by("ask", chunks).alias("chunk"), "*").mapInArrow(T.hashed, T.HASHED))
+    known, bits = _asked(hashed, chunks, conditions // chunks)
+    facts = F.filter(F.concat(_facts(), F.array(F.lit(_ANY))), lambda fact: fact.isNotNull())
+    held = some.select(
+        F.xxhash64("id").alias("key"), _hashed(P.search_words()).alias("words"), _hashed(facts).alias("facts")
+    ).mapInArrow(T.holdings([row.n for row in lengths], known, bits), T.HELD)
+    cells = (
+        hashed.mapInArrow(T.packs(known), T.PACKED)
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(spans - 1))).alias("span"))
+        .unionByName(held.withColumn("span", by("key", spans)), allowMissingColumns=True)
+        .repartitionById(chunks * spans, F.col("chunk") * spans + F.col("span"))
+        .sortWithinPartitions(F.asc_nulls_first("key"))
     )
-    cells = held.groupBy("block", "chunk").cogroup(rows.groupBy("block", "chunk"))
-    return cells.applyInArrow(count_cell, FOUND).groupBy("query_id").agg(F.sum("n").alias("n"))
+    return cells.mapInArrow(T.cell(known), T.FOUND).groupBy("ask").agg(F.sum("n").alias("n"))
 
 
 def hits_per_saved_query(entities: DataFrame, queries: DataFrame) -> DataFrame:
     """``query_id, n``: distinct entities per saved query, zero included."""
-    counts = _tallied(entities, queries)
-    names = queries.select("query_id").distinct()
-    return names.join(counts, "query_id", "left").select("query_id", F.coalesce("n", F.lit(0)).alias("n"))
+    saved = written(_numbered(queries))
+    counts = _tallied(entities, saved)
+    return saved.join(counts, "ask", "left").select("query_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def verify_claims(entities: DataFrame, queries: DataFrame) -> DataFrame:

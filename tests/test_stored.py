@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from entitylake.operators import positions as PO
 from entitylake.operators import predicates as P
 from entitylake.operators import rank as R
 from entitylake.operators import search as S
+from entitylake.operators import tally as T
 
 
 @pytest.fixture(scope="module")
@@ -192,3 +195,105 @@ def test_counts_need_no_row_per_hit(spark, corpus, tmp_path, monkeypatch):
     expected = {name: len(scan(table, *conditions)) for name, conditions in SAVED.items()}
     expected["word"] = len(set(scan(table, *SAVED["word"])) | set(scan(table, ["f"], None, None)))
     assert counts == {**expected, None: 0}
+
+
+def shuffled_rows(df):
+    """Rows that the query's own exchanges wrote, after it ran."""
+    df.collect()
+    found, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec":
+            found += node.metrics().apply("shuffleRecordsWritten").value()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        else:
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_cells_do_not_multiply_what_is_shuffled(spark, entity, monkeypatch):
+    """Neither queries nor what entities hold travel as a row per block of entities."""
+    monkeypatch.setattr(PC, "BLOCK", 4)
+    n = 400
+    table = entity(*[{"id": f"n{i}", "schema": "Pages", "properties": {"indexText": [f"of all w{i} {' '.join(f'v{i % 7}x{k}' for k in range(9))}"]}} for i in range(n)])
+    rows = [(f"q{i}", [f"w{i}", "of all", f"v{i % 7}x3"], [f"w{i + 1}"], None) for i in range(n)]
+    found = PC.hits_per_saved_query(table, spark.createDataFrame(rows, PC.SAVED_QUERY))
+    assert {r.n for r in found.collect()} == {1}
+    assert shuffled_rows(found) < 6 * n
+
+
+def test_more_ways_than_are_worked_on_at_once(spark, entity):
+    """An entity that satisfies a query in thousands of ways counts once."""
+    n = 5000
+    table = entity({"id": "n", "schema": "Pages", "properties": {"indexText": [" ".join(f"w{i}" for i in range(n))]}})
+    ways = spark.range(n).select(*PC.saved_query(F.lit("q"), F.array(F.concat(F.lit("w"), F.col("id").cast("string")))))
+    assert [tuple(r) for r in PC.hits_per_saved_query(table, ways).collect()] == [("q", 1)]
+
+
+def test_short_numbers():
+    sizes = np.array([0, 3, 0, 4, 1])
+    numbers = np.array([0, 127, 128, 5, 5, 2**40, 2**62, 16384])
+    packed = T._short(T._gaps(numbers, sizes), sizes)
+    for low in range(3):
+        gaps, many = T._numbers(packed.slice(low))
+        assert many.tolist() == sizes[low:].tolist()
+        assert T._summed(gaps, many).tolist() == numbers[sizes[:low].sum() :].tolist()
+
+
+@pytest.mark.parametrize(("width", "piece", "room", "batch"), [(2048, 4096, 1 << 26, 1000), (16, 3, 1 << 26, 7), (256, 64, 600, 90)])
+@pytest.mark.parametrize("known", [0, 9, 10_000])
+def test_cells_like_testing_all(monkeypatch, width, piece, room, batch, known):
+    """Ids of one row, of some and of more than a strip holds; queries with several ways; two chunks."""
+    monkeypatch.setattr(T, "WIDTH", width)
+    monkeypatch.setattr(T, "SLICE", piece)
+    monkeypatch.setattr(T, "STRIP_BYTES", room)
+    monkeypatch.setattr(T, "WORDS", 50)
+    monkeypatch.setattr(T, "PACK", 11)
+    draw = random.Random(known + width)
+    hashes = [draw.getrandbits(64) - 2**63 for _ in range(40)]
+    keys = [draw.choice([draw.randrange(-400, 400), 3, -9]) for _ in range(500)]
+    texts = [[draw.choice(hashes[:12]) for _ in range(draw.randrange(12))] for _ in keys]
+    facts = [[draw.choice(hashes[30:34])] for _ in keys]
+
+    def condition():
+        return draw.choice([lambda: [draw.choice(hashes[:14]) for _ in range(draw.choice([1, 1, 2, 3]))], lambda: [draw.choice(hashes[30:35])]])()
+
+    asks = sorted(draw.choice([draw.randrange(60), 4]) for _ in range(120))
+    ways = [(a % 2, a, [condition() for _ in range(draw.randrange(1, 4))], [condition() for _ in range(draw.randrange(3))]) for a in asks]
+    nested = pa.list_(pa.list_(pa.int64()))
+    arrays = [pa.array([w[0] for w in ways], pa.int32()), pa.array([w[1] for w in ways]), *[pa.array([w[i] for w in ways], nested) for i in (2, 3)]]
+    hashed = [*T.hashed([pa.RecordBatch.from_arrays(arrays, names=["chunk", "ask", "must", "never"])])]
+    every = np.unique(np.concatenate([b.column(name).flatten().to_numpy() for b in hashed for name in ("must", "never")]).view(np.uint64))
+    list_of = T.Known(np.array(draw.sample(every.tolist(), min(known, len(every))), np.uint64), known >= len(every))
+    bits = {chunk: np.zeros(64, np.uint8) for chunk in (0, 1)}
+    for b in hashed:
+        for chunk, must, never in zip(b["chunk"].to_pylist(), b["must"].to_pylist(), b["never"].to_pylist(), strict=True):
+            for h in must + never:
+                bits[chunk][h % 512 // 8] |= 1 << h % 8
+    longs = pa.list_(pa.int64())
+    entities = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(texts, longs), pa.array(facts, longs)], names=["key", "words", "facts"])
+    held = pa.Table.from_batches(T.holdings([3, 1, 2], list_of, bits)([entities])).sort_by("key")
+    packed = pa.Table.from_batches(T.packs(list_of)(hashed))
+
+    counts = {}
+    for chunk in (0, 1):
+        queries, rows = (t.filter(pa.compute.equal(t["chunk"], chunk)) for t in (packed, held))
+        assert queries.num_rows > 1
+        both = pa.concat_tables([queries, rows], promote_options="default").combine_chunks()
+        for found in T.cell(list_of)(both.to_batches(max_chunksize=batch)):
+            counts |= dict(zip(found["ask"].to_pylist(), found["n"].to_pylist(), strict=True))
+
+    def holds(i, words):
+        return words in [texts[i][k : k + len(words)] for k in range(len(texts[i]))] or (len(words) == 1 and words[0] in facts[i])
+
+    for ask in set(asks):
+        hits = {
+            keys[i]
+            for i in range(len(keys))
+            if any(all(holds(i, c) for c in must) and not any(holds(i, c) for c in never) for _, a, must, never in ways if a == ask)
+        }
+        assert counts.get(ask, 0) == len(hits), ask
