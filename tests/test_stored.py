@@ -226,6 +226,17 @@ def test_cells_do_not_multiply_what_is_shuffled(spark, entity, monkeypatch):
     assert shuffled_rows(found) < 6 * n
 
 
+def test_claims_do_not_multiply_what_is_shuffled(spark, entity, monkeypatch):
+    monkeypatch.setattr(PC, "BLOCK", 4)
+    n = 400
+    table = entity(*[{"id": f"n{i}", "schema": "Pages", "properties": {"indexText": [f"w{i} of v{i % 5}"]}} for i in range(n)])
+    rows = [(f"q{i}", [f"w{i}", f"of v{i % 5 if i % 4 else 7}"], None, {"schema": "Pages"}) for i in range(n)]
+    claims = PC.verify_claims(table, spark.createDataFrame(rows, PC.SAVED_QUERY))
+    verdicts = claims.groupBy("verdict").agg(F.count("*"), F.sum("n"))
+    assert sorted(tuple(r) for r in verdicts.collect()) == [("indexed matches", 300, 300), ("no indexed match", 100, 0)]
+    assert shuffled_rows(verdicts) < 6 * n
+
+
 def test_more_ways_than_are_worked_on_at_once(spark, entity):
     """An entity that satisfies a query in thousands of ways counts once."""
     n = 5000
